@@ -13,7 +13,7 @@ in double):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 K_PATTERN = r'"k":\s*(-?\d+)'
@@ -23,17 +23,23 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
-def points_from_events(events: DataFrame) -> DataFrame:
+def event_lat() -> Column:
+    return F.lit(35.0) + (F.col("user_id") % 10) * 2 + F.col("value") / F.lit(100.0)
+
+
+def event_lon() -> Column:
     k = F.regexp_extract(F.col("props"), K_PATTERN, 1).cast("bigint")
-    lat = F.lit(35.0) + (F.col("user_id") % 10) * 2 + F.col("value") / F.lit(100.0)
-    raw_lon = F.lit(-180.0) + (F.col("user_id") * 37) % 360 + (k * 5309 + 137) / F.lit(100000.0)
+    raw = F.lit(-180.0) + (F.col("user_id") * 37) % 360 + (k * 5309 + 137) / F.lit(100000.0)
+    return F.when(raw >= 180.0, raw - 360.0).otherwise(raw)
+
+
+def points_from_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").alias("id"),
         F.date_trunc("second", F.col("ts")).alias("dt"),
-        lat.alias("lat"),
-        raw_lon.alias("_l"),
-    ).select("id", "dt", "lat",
-             F.when(F.col("_l") >= 180.0, F.col("_l") - 360.0).otherwise(F.col("_l")).alias("lon"))
+        event_lat().alias("lat"),
+        event_lon().alias("lon"),
+    )
 
 
 def read_event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
