@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 
 from ..config import EARTH_RADIUS_KM, Limits
 from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
-from .sequence import BUCKET, DEFAULT_SPLIT_SECONDS, time_bucket, with_previous
+from .sequence import (BUCKET, DEFAULT_SPLIT_SECONDS, partition_by_bucket, time_bucket,
+                       with_previous)
 
 SEGMENT_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -197,10 +198,10 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
                          F.coalesce("lat", F.lit(0.0)).alias("lat"),
                          F.col("lon").isNotNull().alias("lon_ok"),
                          F.coalesce("lon", F.lit(0.0)).alias("lon"))
-    first_by_bucket = (pts.withColumn(BUCKET, bucket)
-                       .groupBy("id", BUCKET).agg(F.min(first_key).alias("_first")))
+    pts = partition_by_bucket(pts, "id", bucket)      # the only shuffle of all rows
+    first_by_bucket = pts.groupBy("id", BUCKET).agg(F.min(first_key).alias("_first"))
 
-    paired = with_previous(pts.where(good), "id", ORDER, [], bucket)
+    paired = with_previous(pts.where(good), "id", ORDER, [], None)
     p = F.col("prev")
     t = elapsed_seconds(p["dt"], F.col("dt")).cast("double")
     d = haversine_km(p["lat"], p["lon"], F.col("lat"), F.col("lon"))

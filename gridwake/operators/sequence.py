@@ -6,7 +6,9 @@ id is split into time buckets: ``lag`` runs inside ``(id, bucket)`` and the
 first row of a bucket takes the last row of the nearest earlier non-empty
 bucket from a small per-bucket summary (one row per id and bucket, built
 with partial aggregation). The summary is joined on ``(id, bucket)``, the
-same keys as the window, so the large side is shuffled once.
+same keys as the window, so the large side is shuffled once: the rows are
+hash-partitioned on ``(id, bucket)`` a single time and the summary, the
+join and the window all reuse that partitioning.
 """
 
 from __future__ import annotations
@@ -24,16 +26,28 @@ def time_bucket(ts_col: Column, split_seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts_col) / F.lit(int(split_seconds)))
 
 
+def partition_by_bucket(df: DataFrame, key: str, bucket: Column) -> DataFrame:
+    """Add ``BUCKET`` and hash-partition on ``(key, BUCKET)`` (one shuffle).
+
+    Rows without a key or bucket belong to no track and are dropped here; the
+    explicit predicate also keeps both consumers of the exchange identical,
+    so Spark reuses it instead of scanning the input twice."""
+    return (df.withColumn(BUCKET, bucket)
+            .where(F.col(key).isNotNull() & F.col(BUCKET).isNotNull())
+            .repartition(key, BUCKET))
+
+
 def with_previous(df: DataFrame, key: str, order: Sequence[str], carry: Sequence[str],
-                  bucket: Column, prev_name: str = "prev") -> DataFrame:
+                  bucket: Column | None, prev_name: str = "prev") -> DataFrame:
     """Add a struct column ``prev_name`` holding ``order + carry`` fields of the
     previous row of the same ``key`` in ``order`` (ascending, nulls first),
     or null for the first row of the key. Also adds ``BUCKET``.
 
+    ``bucket=None`` means ``df`` already went through ``partition_by_bucket``.
     ``order`` must identify a row's place uniquely up to identical rows.
     """
     fields = list(dict.fromkeys([*order, *carry]))
-    d = df.withColumn(BUCKET, bucket)
+    d = df if bucket is None else partition_by_bucket(df, key, bucket)
     row = F.struct(*[F.col(c) for c in fields])
 
     # one row per (key, bucket): its last row; struct ordering = order columns first

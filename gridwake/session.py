@@ -12,6 +12,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+JIT_FLAGS = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -28,6 +29,12 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("GRIDWAKE_DRIVER_MEMORY", "8g"))
+        # Wide geo projections compile to methods above HotSpot's 8000-byte JIT
+        # limit; let the JIT compile them instead of interpreting them.
+        .config("spark.driver.extraJavaOptions", JIT_FLAGS)
+        .config("spark.executor.extraJavaOptions", JIT_FLAGS)
+        # keep small shuffles (segments before a 10-100x explode) parallel
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
