@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from ..config import EARTH_RADIUS_KM, Limits
 from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
+from .anchored_chunks import anchored_chunk_segments
 from .sequence import (BUCKET, DEFAULT_SPLIT_SECONDS, partition_by_bucket, time_bucket,
                        with_previous)
 
@@ -173,7 +174,7 @@ _SCAN_SCHEMA = ("id string, alat double, alon double, blat double, blon double,
 
 def segments_anchored(points: DataFrame, limits: Limits = Limits(),
                       split_seconds: int = DEFAULT_SPLIT_SECONDS,
-                      zero_time_velocity: float = -1.0) -> DataFrame:
+                      zero_time_velocity: float = -1.0, slow_path: str = "chunked") -> DataFrame:
     """Anchored rule (a rejected row does not become the next start).
 
     Plan: pair each good row with the previous good row (skew-safe window).
@@ -182,9 +183,16 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     row before ``cut`` whose distance to its predecessor breaks the distance
     limit. Before ``fd`` the anchor is always the previous row, so those
     pairs are final (native fast path). Only the stretch from the row before
-    ``fd`` up to ``cut`` needs the sequential rule; it is streamed, sorted by
-    id, through an Arrow scan that keeps the anchor between batches.
+    ``fd`` up to ``cut`` needs the sequential rule.
+
+    ``slow_path="chunked"`` (default) scans that stretch in parallel
+    ``(id, time bucket)`` chunks with speculative entry anchors and exact
+    fix-up rounds (``anchored_chunks``), so a hot id is split over many
+    tasks; it runs Spark actions and checkpoints. ``slow_path="per_id"``
+    streams each id through one sorted Arrow scan (lazy, one task per id).
     """
+    if slow_path not in ("chunked", "per_id"):
+        raise ValueError("slow_path must be 'chunked' or 'per_id'")
     inclusive = True if limits.inclusive is None else bool(limits.inclusive)
     T_, D_ = float(limits.time_s), float(limits.distance_km)
 
@@ -226,6 +234,9 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
         (F.col("first.lat_ok") & F.col("first.lon_ok")).alias("alive"))
 
     rows = paired.join(info, ["id", BUCKET], "left").where(F.col("alive"))
+    if slow_path == "chunked":
+        # both the native part and the chunked scan read this once-written table
+        rows = rows.select("id", BUCKET, "dt", "lat", "lon", "prev", "cut", "fd").checkpoint(eager=True)
     before_cut = F.col("cut").isNull() | (me < F.col("cut"))
     before_fd = F.col("fd").isNull() | (me < F.col("fd.k"))
 
@@ -234,8 +245,11 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
             .select(*_segment_projection("prev", zero_time_velocity)))
 
     slow_in = (rows.where(F.col("fd").isNotNull() & before_cut & (me >= F.col("fd.anchor")))
-               .select("id", F.unix_timestamp("dt").alias("ts"), "lat", "lon",
+               .select("id", F.col(BUCKET).alias("chunk"), F.unix_timestamp("dt").alias("ts"), "lat", "lon",
                        F.col("dt").alias("_dt")))
+    if slow_path == "chunked":
+        slow = anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity)
+        return fast.unionByName(slow)
     slow = (slow_in.repartition("id")
             .sortWithinPartitions("id", "_dt", "lat", "lon")
             .select("id", "ts", "lat", "lon")
