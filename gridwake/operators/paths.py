@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from ..config import EARTH_RADIUS_KM, Limits
 from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
 from .anchored_chunks import anchored_chunk_segments
-from .sequence import (BUCKET, DEFAULT_SPLIT_SECONDS, partition_by_bucket, time_bucket,
-                       with_previous)
+from .sequence import (BUCKET, DEFAULT_SPLIT_SECONDS, partition_by_bucket, resolve_split,
+                       time_bucket, with_previous)
 
 SEGMENT_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -80,13 +80,17 @@ def _segment_projection(prev: str, zero_time_velocity: float) -> list[Column]:
 
 
 def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
-                         split_seconds: int = DEFAULT_SPLIT_SECONDS,
+                         split_seconds: int | str = DEFAULT_SPLIT_SECONDS,
                          zero_time_velocity: float = math.inf) -> DataFrame:
-    """Consecutive rule (every row becomes the next start)."""
+    """Consecutive rule (every row becomes the next start).
+
+    ``split_seconds``: time-bucket width that splits each id over tasks;
+    ``"auto"`` sizes it from the data (one small aggregate job)."""
     inclusive = bool(limits.inclusive) if limits.inclusive is not None else False
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
            .where(F.col("dt").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
-    paired = with_previous(pts, "id", ORDER, [], time_bucket(F.col("dt"), split_seconds))
+    split = resolve_split(pts, split_seconds)
+    paired = with_previous(pts, "id", ORDER, [], time_bucket(F.col("dt"), split))
     seg = paired.where(F.col("prev").isNotNull()).select(*_segment_projection("prev", zero_time_velocity))
     d, t, v = F.col("distance_km"), F.col("time_s"), F.col("velocity_kmh")
     keep = (d > 0) & ~F.isnan(d) & _within(d, limits.distance_km, inclusive) & _within(t, limits.time_s, inclusive)
@@ -173,7 +177,7 @@ _SCAN_SCHEMA = ("id string, alat double, alon double, blat double, blon double,
 
 
 def segments_anchored(points: DataFrame, limits: Limits = Limits(),
-                      split_seconds: int = DEFAULT_SPLIT_SECONDS,
+                      split_seconds: int | str = DEFAULT_SPLIT_SECONDS,
                       zero_time_velocity: float = -1.0, slow_path: str = "chunked") -> DataFrame:
     """Anchored rule (a rejected row does not become the next start).
 
@@ -199,7 +203,7 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
            .where(F.col("dt").isNotNull()))
     good = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    bucket = time_bucket(F.col("dt"), split_seconds)
+    bucket = time_bucket(F.col("dt"), resolve_split(pts, split_seconds))
 
     # ids whose first row (by dt, then nulls first) has bad coordinates emit nothing
     first_key = F.struct(F.col("dt"), F.col("lat").isNotNull().alias("lat_ok"),

@@ -22,6 +22,29 @@ BUCKET = "_bucket"
 DEFAULT_SPLIT_SECONDS = 7 * 86400
 
 
+def choose_split_seconds(points: DataFrame, key: str = "id", ts: str = "dt",
+                         target_rows: int = 2_000_000, probe_seconds: int = 3600,
+                         min_seconds: int = 60, max_seconds: int = 30 * 86400) -> int:
+    """Bucket width such that even the densest key's busiest stretch puts
+    about ``target_rows`` rows into one bucket.
+
+    One aggregate job (partial aggregation, a scalar back to the driver):
+    rows per (key, probe interval), maximum over all of them."""
+    peak = (points.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+            .groupBy(key, time_bucket(F.col(ts), probe_seconds).alias("_p"))
+            .count().agg(F.max("count")).first()[0])
+    if not peak:
+        return max_seconds
+    width = int(probe_seconds * target_rows / peak)
+    return max(min_seconds, min(max_seconds, width))
+
+
+def resolve_split(points: DataFrame, split_seconds: int | str, key: str = "id", ts: str = "dt") -> int:
+    if split_seconds == "auto":
+        return choose_split_seconds(points, key, ts)
+    return int(split_seconds)
+
+
 def time_bucket(ts_col: Column, split_seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts_col) / F.lit(int(split_seconds)))
 

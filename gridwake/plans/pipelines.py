@@ -22,7 +22,7 @@ PATH_MODES = ("anchored", "consecutive")
 
 
 def build_segments(points: DataFrame, limits: Limits, path_mode: str,
-                   split_seconds: int = DEFAULT_SPLIT_SECONDS,
+                   split_seconds: int | str = DEFAULT_SPLIT_SECONDS,
                    zero_time_velocity: float | None = None) -> DataFrame:
     if path_mode == "anchored":
         return segments_anchored(points, limits, split_seconds,
@@ -42,7 +42,7 @@ class TriplineOptions:
     dateline: str = "short_way"
     digits: str = "exact"
     origin_hit: str = "keep"
-    split_seconds: int = DEFAULT_SPLIT_SECONDS
+    split_seconds: int | str = DEFAULT_SPLIT_SECONDS
 
 
 def legacy_tripline_options(**overrides) -> TriplineOptions:
@@ -79,7 +79,7 @@ class MercatorOptions:
     plane_offset: int = 0
     precision: str = "exact"
     velocity_decay: float | None = None
-    split_seconds: int = DEFAULT_SPLIT_SECONDS
+    split_seconds: int | str = DEFAULT_SPLIT_SECONDS
 
 
 def legacy_mercator_options(**overrides) -> MercatorOptions:

@@ -176,3 +176,14 @@ def test_split_size_does_not_change_result(points):
     a = rows_of(segments_consecutive(points(rows), split_seconds=1000))
     b = rows_of(segments_consecutive(points(rows), split_seconds=10 ** 9))
     assert a == b
+
+
+def test_auto_split(points):
+    from gridwake.operators.sequence import choose_split_seconds
+    rows = random_tracks(13, bad=False)
+    p = points(rows)
+    w = choose_split_seconds(p, target_rows=3)
+    assert 60 <= w <= 30 * 86400
+    a = rows_of(segments_consecutive(p, split_seconds="auto"))
+    b = rows_of(segments_consecutive(p, split_seconds=10 ** 9))
+    assert a == b
