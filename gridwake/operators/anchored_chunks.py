@@ -154,14 +154,18 @@ def _same(a: Column, b: Column) -> Column:
 
 
 def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: float, inclusive: bool,
-                            zero_time_velocity: float) -> DataFrame:
+                            zero_time_velocity: float, checkpoint_input: bool = True) -> DataFrame:
     """Segments of the anchored rule for ``rows`` (``id, chunk, ts, lat, lon,
     _dt``); each id's first row is its anchor. Runs Spark actions (one scan
     plus a few small fix-up rounds); the returned frame reads checkpoints."""
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     fn = chunk_scanner(time_limit, dist_limit, inclusive, zero_time_velocity)
-    rows = rows.select("id", "chunk", "ts", "lat", "lon", "_dt").checkpoint(eager=True)
+    # callers pass a cheap filter over an already checkpointed table; checkpoint
+    # here only when asked, so rescans never recompute a long lineage
+    rows = rows.select("id", "chunk", "ts", "lat", "lon", "_dt")
+    if checkpoint_input:
+        rows = rows.checkpoint(eager=True)
 
     # speculative entry of each chunk: the last row of the id's previous chunk
     by_chunk = Window.partitionBy("id").orderBy("chunk")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import COORD_TOLERANCE, MIN_INTERPOLATION_SPEED, Grid, label_digits
 from ..functions.geo import bearing_deg, haversine_km
-from ..functions.timefn import format_ts, temporal_bucket
+from ..functions.timefn import temporal_bucket
 
 DATELINE_MODES = ("short_way", "literal")
 
@@ -228,6 +228,3 @@ def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
         cols.append(F.when(south_on_meridian | (glon1 > glon2), F.lit(-1)).otherwise(F.lit(1)).alias("sign"))
     return hits.select(*cols)
 
-
-def crossing_time_label(ts: Column) -> Column:
-    return format_ts(ts)

@@ -252,7 +252,8 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
                .select("id", F.col(BUCKET).alias("chunk"), F.unix_timestamp("dt").alias("ts"), "lat", "lon",
                        F.col("dt").alias("_dt")))
     if slow_path == "chunked":
-        slow = anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity)
+        slow = anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity,
+                                       checkpoint_input=False)
         return fast.unionByName(slow)
     slow = (slow_in.repartition("id")
             .sortWithinPartitions("id", "_dt", "lat", "lon")

@@ -51,15 +51,15 @@ def cell_direction(crossings: DataFrame) -> DataFrame:
 def cell_track_ids(crossings: DataFrame, sep: str = ",") -> DataFrame:
     """Distinct track ids per cell and bucket, sorted and joined by ``sep``.
 
-    ``(cell, bucket, track)`` is made distinct first (partial aggregation),
-    so the per-cell list holds each id once; the list itself is the
-    result, one string per cell."""
-    per_track = crossings.select(*CELL_KEYS, "lat", "lon", "track_id").groupBy(*CELL_KEYS, "track_id").agg(
-        F.first("lat").alias("lat"), F.first("lon").alias("lon"))
-    return (per_track.groupBy(*CELL_KEYS)
+    One ``groupBy`` with ``collect_set``: duplicates are removed map-side
+    (partial aggregation) before the single shuffle, so a cell's list holds
+    each id once and its size is bounded by the distinct tracks in the cell
+    (the result itself)."""
+    return (crossings.groupBy(*CELL_KEYS)
             .agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"),
-                 F.count(F.lit(1)).alias("n_tracks"),
-                 F.array_join(F.array_sort(F.collect_list("track_id")), sep).alias("ids")))
+                 F.collect_set("track_id").alias("_ids"))
+            .select(*CELL_KEYS, "lat", "lon", F.size("_ids").cast("bigint").alias("n_tracks"),
+                    F.array_join(F.array_sort("_ids"), sep).alias("ids")))
 
 
 def cell_track_pairs(crossings: DataFrame) -> DataFrame:
