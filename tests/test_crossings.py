@@ -87,3 +87,57 @@ def test_crossing_sign(points):
     s = seg_of(points, [("a", 0, 0.05, 0.25), ("a", 3600, 0.05, 0.05)])
     x = crossings(s, Grid(0.1, 0.1, WORLD), with_sign=True).collect()
     assert {r.sign for r in x} == {-1}
+
+
+def _closed_intersect(a, b, c, d):
+    """Exact closed-segment intersection test (rational arithmetic)."""
+    from fractions import Fraction as Q
+
+    def orient(p, q, r):
+        v = (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+        return (v > 0) - (v < 0)
+
+    def on(p, q, r):
+        return min(p[0], q[0]) <= r[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= r[1] <= max(p[1], q[1])
+
+    a, b, c, d = ([Q(x) for x in p] for p in (a, b, c, d))
+    o1, o2, o3, o4 = orient(a, b, c), orient(a, b, d), orient(c, d, a), orient(c, d, b)
+    if o1 != o2 and o3 != o4:
+        return True
+    return ((o1 == 0 and on(a, b, c)) or (o2 == 0 and on(a, b, d))
+            or (o3 == 0 and on(c, d, a)) or (o4 == 0 and on(c, d, b)))
+
+
+def test_crossings_equal_general_intersection(spark):
+    import math
+    import random
+    from datetime import datetime, timezone
+    rnd = random.Random(3)
+    res = 0.5
+    region = Region(-10.0, -10.0, 10.0, 10.0)
+    rows, expected = [], set()
+    t0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    for i in range(300):
+        a = (rnd.uniform(-9, 9), rnd.uniform(-9, 9))
+        b = (a[0] + rnd.uniform(-3, 3), a[1] + rnd.uniform(-3, 3))
+        if rnd.random() < 0.1:
+            b = (a[0], b[1])          # parallel to latitude lines
+        rows.append((f"s{i}", a[0], a[1], b[0], b[1]))
+        lo_k, hi_k = math.floor(region.lat_min / res), math.ceil(region.lat_max / res)
+        for k in range(lo_k, hi_k):
+            y = k * res
+            c, d = (y, region.lon_min), (y, region.lon_max)
+            if a[0] != b[0] and _closed_intersect(a, b, c, d):
+                expected.add((f"s{i}", "lat", k))
+        lo_k, hi_k = math.floor(region.lon_min / res), math.ceil(region.lon_max / res)
+        for k in range(lo_k, hi_k):
+            x = k * res
+            c, d = (region.lat_min, x), (region.lat_max, x)
+            if a[1] != b[1] and _closed_intersect(a, b, c, d):
+                expected.add((f"s{i}", "lon", k))
+    seg = spark.createDataFrame(rows, "id string, alat double, alon double, blat double, blon double") \
+        .withColumn("adt", F.lit(t0)).withColumn("velocity_kmh", F.lit(10.0))
+    got = crossings(seg, Grid(res, res, region)).collect()
+    have = {(r.track_id, r.axis, r.lat_idx if r.axis == "lat" else r.lon_idx) for r in got}
+    assert len(got) == len(have)
+    assert have == expected
