@@ -2,10 +2,10 @@
 
 from .geo import (bearing_deg, elapsed_seconds, haversine_km, haversine_m, in_box,
                   mercator_pixel, speed_kmh, tile_of_pixel, wrap_pair)
-from .timefn import format_ts, parse_dt, temporal_bucket
+from .timefn import bucket_start, format_ts, parse_dt, temporal_bucket
 
 __all__ = [
     "bearing_deg", "elapsed_seconds", "haversine_km", "haversine_m", "in_box",
     "mercator_pixel", "speed_kmh", "tile_of_pixel", "wrap_pair",
-    "format_ts", "parse_dt", "temporal_bucket",
+    "bucket_start", "format_ts", "parse_dt", "temporal_bucket",
 ]

@@ -26,24 +26,30 @@ def parse_dt(text) -> Column:
     )
 
 
-def temporal_bucket(ts, split: str) -> Column:
-    """Truncate a timestamp to a named bucket and render it as
-    ``yyyy-MM-dd HH:mm:ss`` text.
+def bucket_start(ts, split: str) -> Column:
+    """Start of the named time bucket as a timestamp.
 
     Names (case-insensitive): all, year, month, day, hour, 10min, minute;
-    any other name leaves the timestamp as it is (whole seconds)."""
+    ``all`` maps every time to 9999-01-01 00:00:00; any other name leaves
+    the timestamp as it is (whole seconds)."""
     ts = _c(ts)
     name = (split or "").lower()
     if name == "all":
-        return F.when(ts.isNotNull(), F.lit(ALL_TIME_LABEL))
+        return F.when(ts.isNotNull(), F.make_timestamp(F.lit(9999), F.lit(1), F.lit(1),
+                                                      F.lit(0), F.lit(0), F.lit(0)))
     if name in ("year", "month", "day", "hour", "minute"):
-        out = F.date_trunc(name, ts)
-    elif name == "10min":
-        out = F.date_trunc("hour", ts) + F.make_dt_interval(
+        return F.date_trunc(name, ts)
+    if name == "10min":
+        return F.date_trunc("hour", ts) + F.make_dt_interval(
             F.lit(0), F.lit(0), F.floor(F.minute(ts) / 10).cast("int") * 10, F.lit(0))
-    else:
-        out = F.date_trunc("second", ts)
-    return F.date_format(out, LABEL_FORMAT)
+    return F.date_trunc("second", ts)
+
+
+def temporal_bucket(ts, split: str) -> Column:
+    """The named time bucket rendered as ``yyyy-MM-dd HH:mm:ss`` text."""
+    if (split or "").lower() == "all":
+        return F.when(_c(ts).isNotNull(), F.lit(ALL_TIME_LABEL))
+    return F.date_format(bucket_start(ts, split), LABEL_FORMAT)
 
 
 def format_ts(ts) -> Column:

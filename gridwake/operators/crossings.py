@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import COORD_TOLERANCE, MIN_INTERPOLATION_SPEED, Grid, label_digits
 from ..functions.geo import bearing_deg, haversine_km
-from ..functions.timefn import temporal_bucket
+from ..functions.timefn import bucket_start, temporal_bucket
 
 DATELINE_MODES = ("short_way", "literal")
 
@@ -89,27 +89,32 @@ def _hits(df: DataFrame, grids: list[Grid], axes: Sequence[str], dateline: str)
     res_lat = _per_grid(grids, lambda g: F.lit(float(g.res_lat)))
     res_lon = _per_grid(grids, lambda g: F.lit(float(g.res_lon)))
 
-    def candidates(code: int, res: Column, lo_v: Column, hi_v: Column, kmin: Column, kmax: Column) -> Column:
+    def bounds(res: Column, lo_v: Column, hi_v: Column, kmin: Column, kmax: Column):
         lo = F.greatest(F.floor((lo_v - res) / res), kmin)
         hi = F.least(F.ceil((hi_v + res) / res), kmax) - 1
-        seq = F.transform(F.sequence(lo, hi), lambda k: F.struct(F.lit(code).alias("a"), k.alias("k")))
-        return F.when(lo <= hi, seq).otherwise(F.array().cast("array<struct<a:int,k:bigint>>"))
-
-    parts = []
-    if "lat" in axes:
-        parts.append(candidates(0, res_lat, F.least(lat1, lat2), F.greatest(lat1, lat2),
-                                _per_grid(grids, lambda g: F.lit(g.lat_index_min)),
-                                _per_grid(grids, lambda g: F.lit(g.lat_index_max))))
-    if "lon" in axes:
-        # the candidate range always uses the shifted longitudes
-        parts.append(candidates(1, res_lon, F.least(slon1, slon2), F.greatest(slon1, slon2),
-                                _per_grid(grids, lambda g: F.lit(g.lon_index_min)),
-                                _per_grid(grids, lambda g: F.lit(g.lon_index_max))))
-    cand = parts[0] if len(parts) == 1 else F.concat(*parts)
-    x = df.select("*", F.explode(cand).alias("_c"))
-
-    is_lat = F.col("_c.a") == 0
-    k = F.col("_c.k")
+        return lo, F.greatest(hi - lo + 1, F.lit(0))
+
+    zero = F.lit(0).cast("bigint")
+    lat_lo, n_lat = (bounds(res_lat, F.least(lat1, lat2), F.greatest(lat1, lat2),
+                            _per_grid(grids, lambda g: F.lit(g.lat_index_min)),
+                            _per_grid(grids, lambda g: F.lit(g.lat_index_max)))
+                     if "lat" in axes else (zero, zero))
+    # the longitude candidate range always uses the shifted longitudes
+    lon_lo, n_lon = (bounds(res_lon, F.least(slon1, slon2), F.greatest(slon1, slon2),
+                            _per_grid(grids, lambda g: F.lit(g.lon_index_min)),
+                            _per_grid(grids, lambda g: F.lit(g.lon_index_max)))
+                     if "lon" in axes else (zero, zero))
+    # one integer sequence per segment: positions [0, n_lat) are latitude
+    # lines, [n_lat, n_lat + n_lon) longitude lines
+    x = (df.select("*", lat_lo.alias("_llo"), n_lat.alias("_nlat"), lon_lo.alias("_olo"),
+                   (n_lat + n_lon).alias("_n"))
+         .where(F.col("_n") > 0)
+         .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("_i")))
+
+    is_lat = F.col("_i") < F.col("_nlat")
+    k = F.when(is_lat, F.col("_llo") + F.col("_i")).otherwise(F.col("_olo") + F.col("_i") - F.col("_nlat"))
+    x = x.withColumn("_k", k)
+    k = F.col("_k")
     line = k.cast("double") * F.when(is_lat, res_lat).otherwise(res_lon)
     x = x.withColumn("_line", line)
     line = F.col("_line")
@@ -132,7 +137,7 @@ def _hits(df: DataFrame, grids: list[Grid], axes: Sequence[str], dateline: str)
         F.when(is_lat, cross).otherwise(line).alias("cross_lon"),
         F.when(is_lat, k).otherwise(F.floor(cross / res_lat)).alias("lat_idx"),
         F.when(is_lat, F.floor(cross / res_lon)).otherwise(k).alias("lon_idx"),
-    ).drop("_c", "_line", "_cross")
+    ).drop("_llo", "_nlat", "_olo", "_n", "_i", "_k", "_line", "_cross")
 
 
 def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
@@ -143,7 +148,8 @@ def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
 
     Input: segments with ``id, alat, alon, blat, blon, adt, velocity_kmh``.
     Output: ``grid, axis, track_id, lat_idx, lon_idx, lat, lon, cross_lat,
-    cross_lon, crossing_ts, dt, velocity, direction`` (+ ``sign``).
+    cross_lon, crossing_ts, dt, bucket_ts, velocity, direction`` (+ ``sign``);
+    ``dt`` is the bucket as text, ``bucket_ts`` the same bucket as a timestamp.
 
     ``dateline``: ``short_way`` routes a segment over the antimeridian when
     its ends are more than 180 degrees apart; ``literal`` only shifts the
@@ -220,6 +226,7 @@ def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
             F.col("lon_idx").cast("bigint").alias("lon_idx"),
             F.col("lat"), F.col("lon"), F.col("cross_lat"), F.col("cross_lon"),
             F.col("crossing_ts"), temporal_bucket(F.col("crossing_ts"), temporal_split).alias("dt"),
+            bucket_start(F.col("crossing_ts"), temporal_split).alias("bucket_ts"),
             F.col("velocity"), F.col("direction")]
     if with_sign:
         glon1 = F.col("slon1") if dateline == "short_way" else F.col("lon1")

@@ -11,9 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefn import LABEL_FORMAT
+
 CELL_KEYS = ["grid", "lat_idx", "lon_idx", "dt"]
 
 
+def _keyed(crossings: DataFrame) -> tuple[DataFrame, list[str], bool]:
+    """Group on the bucket timestamp when present (cheaper than text per
+    crossing); the ``dt`` text is then rendered once per group."""
+    if "bucket_ts" in crossings.columns:
+        return crossings.drop("dt"), ["grid", "lat_idx", "lon_idx", "bucket_ts"], True
+    return crossings, CELL_KEYS, False
+
+
+def _with_dt(df: DataFrame, from_ts: bool) -> DataFrame:
+    if not from_ts:
+        return df
+    return df.withColumn("dt", F.date_format("bucket_ts", LABEL_FORMAT)).drop("bucket_ts")
+
+
 def cell_stats(crossings: DataFrame, label_keys: bool = False) -> DataFrame:
     """One row per (grid, cell, time bucket): ``value`` (crossings),
     ``velocity`` (mean, -1 sentinels included), ``direction`` (arithmetic
@@ -21,19 +37,20 @@ def cell_stats(crossings: DataFrame, label_keys: bool = False) -> DataFrame:
 
     ``label_keys=True`` groups on the rounded labels instead of the indices
     (legacy: coarse labels may merge cells)."""
+    x, keys, from_ts = _keyed(crossings)
     if label_keys:
-        keys = ["grid", "lat", "lon", "dt"]
+        keys = ["grid", "lat", "lon", keys[-1]]
         extra = [F.min("lat_idx").alias("lat_idx"), F.min("lon_idx").alias("lon_idx")]
     else:
-        keys = CELL_KEYS
         extra = [F.first("lat").alias("lat"), F.first("lon").alias("lon")]
-    return (crossings.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("value"),
-                 F.avg("velocity").alias("velocity"),
-                 F.avg("direction").alias("_dir"),
-                 *extra)
-            .withColumn("direction", F.col("_dir").cast("int"))
-            .drop("_dir"))
+    out = (x.groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("value"),
+                F.avg("velocity").alias("velocity"),
+                F.avg("direction").alias("_dir"),
+                *extra)
+           .withColumn("direction", F.col("_dir").cast("int"))
+           .drop("_dir"))
+    return _with_dt(out, from_ts)
 
 
 def cell_counts(crossings: DataFrame) -> DataFrame:
@@ -55,16 +72,20 @@ def cell_track_ids(crossings: DataFrame, sep: str = ",") -> DataFrame:
     (partial aggregation) before the single shuffle, so a cell's list holds
     each id once and its size is bounded by the distinct tracks in the cell
     (the result itself)."""
-    return (crossings.groupBy(*CELL_KEYS)
-            .agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"),
-                 F.collect_set("track_id").alias("_ids"))
-            .select(*CELL_KEYS, "lat", "lon", F.size("_ids").cast("bigint").alias("n_tracks"),
-                    F.array_join(F.array_sort("_ids"), sep).alias("ids")))
+    x, keys, from_ts = _keyed(crossings)
+    out = (x.groupBy(*keys)
+           .agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"),
+                F.collect_set("track_id").alias("_ids"))
+           .select(*keys, "lat", "lon", F.size("_ids").cast("bigint").alias("n_tracks"),
+                   F.array_join(F.array_sort("_ids"), sep).alias("ids")))
+    return _with_dt(out, from_ts)
 
 
 def cell_track_pairs(crossings: DataFrame) -> DataFrame:
     """Long form of the id lists: one row per (cell, bucket, track) with the
     number of crossings; no per-cell collection at all."""
-    return (crossings.groupBy(*CELL_KEYS, "track_id")
-            .agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"),
-                 F.count(F.lit(1)).alias("n_crossings")))
+    x, keys, from_ts = _keyed(crossings)
+    out = (x.groupBy(*keys, "track_id")
+           .agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"),
+                F.count(F.lit(1)).alias("n_crossings")))
+    return _with_dt(out, from_ts)
