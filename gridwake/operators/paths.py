@@ -35,7 +35,7 @@ from ..config import EARTH_RADIUS_KM, Limits
 from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
 from .anchored_chunks import anchored_chunk_segments
 from .sequence import (BUCKET, DEFAULT_SPLIT_SECONDS, partition_by_bucket, resolve_split,
-                       time_bucket, with_previous)
+                       time_bucket, with_previous, with_previous_within)
 
 SEGMENT_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -90,7 +90,12 @@ def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
            .where(F.col("dt").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
     split = resolve_split(pts, split_seconds)
-    paired = with_previous(pts, "id", ORDER, [], time_bucket(F.col("dt"), split))
+    if limits.time_s <= split:
+        # pairs further apart than the time limit are never emitted, so each
+        # bucket only needs the previous bucket's last time-limit seconds
+        paired = with_previous_within(pts, "id", ORDER, F.col("dt"), split, limits.time_s)
+    else:
+        paired = with_previous(pts, "id", ORDER, [], time_bucket(F.col("dt"), split))
     seg = paired.where(F.col("prev").isNotNull()).select(*_segment_projection("prev", zero_time_velocity))
     d, t, v = F.col("distance_km"), F.col("time_s"), F.col("velocity_kmh")
     keep = (d > 0) & ~F.isnan(d) & _within(d, limits.distance_km, inclusive) & _within(t, limits.time_s, inclusive)

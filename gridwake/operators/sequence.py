@@ -13,6 +13,7 @@ join and the window all reuse that partitioning.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,3 +84,35 @@ def with_previous(df: DataFrame, key: str, order: Sequence[str], carry: Sequence
     return (joined
             .withColumn(prev_name, F.coalesce(F.lag(row).over(w), F.col("_carry")))
             .drop("_carry"))
+
+
+def with_previous_within(df: DataFrame, key: str, order: Sequence[str], ts: Column,
+                         split_seconds: int, horizon_seconds: float,
+                         prev_name: str = "prev") -> DataFrame:
+    """Previous row of the same key, for rows whose predecessor matters only
+    when it is at most ``horizon_seconds`` earlier (``horizon <= split``).
+
+    Each row lying within the horizon of the next bucket's start is also
+    emitted, marked as a copy, into that bucket (one ``explode``, no second
+    scan). The window over ``(key, bucket)`` then sees a bucket's own rows
+    preceded by the previous bucket's tail, so ``lag`` is exact whenever the
+    true predecessor is within the horizon, and null (or a row beyond the
+    horizon) otherwise. One shuffle and one sort; no summary, no join.
+    Copies are dropped from the result."""
+    if horizon_seconds > split_seconds:
+        raise ValueError("horizon must not exceed the bucket width")
+    fields = list(dict.fromkeys(order))
+    secs = F.unix_timestamp(ts) if not isinstance(ts, str) else F.unix_timestamp(F.col(ts))
+    b = F.floor(secs / F.lit(int(split_seconds)))
+    reach = int(math.ceil(horizon_seconds))
+    near_end = secs >= (b + 1) * int(split_seconds) - reach
+    offsets = F.when(near_end, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    d = (df.select("*", b.alias("_b0"), F.explode(offsets).alias("_copy"))
+         .withColumn(BUCKET, F.col("_b0") + F.col("_copy"))
+         .where(F.col(key).isNotNull() & F.col(BUCKET).isNotNull())
+         .repartition(key, BUCKET))
+    row = F.struct(*[F.col(c) for c in fields])
+    w = Window.partitionBy(key, BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return (d.withColumn(prev_name, F.lag(row).over(w))
+            .where(F.col("_copy") == 0)
+            .drop("_b0", "_copy"))

@@ -187,3 +187,21 @@ def test_auto_split(points):
     a = rows_of(segments_consecutive(p, split_seconds="auto"))
     b = rows_of(segments_consecutive(p, split_seconds=10 ** 9))
     assert a == b
+
+
+def test_consecutive_tail_copies_equal_loop(points):
+    # time limit <= bucket width takes the tail-copy path; small buckets make
+    # many pairs straddle a bucket boundary
+    rows = random_tracks(17, bad=False)
+    for T, split in ((3000.0, 3600), (7200.0, 7200), (600.0, 86400)):
+        got = segments_consecutive(points(rows), Limits(time_s=T, distance_km=300.0), split_seconds=split)
+        g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+        assert g == loop_consecutive(rows, T, 300.0)
+
+
+def test_consecutive_tail_copies_inclusive(points):
+    p = points([("a", 0, 0.0, 0.0), ("a", 3600, 0.0, 0.1), ("a", 7200, 0.0, 0.2)])
+    lim = Limits(time_s=3600, distance_km=100, inclusive=True)
+    assert segments_consecutive(p, lim, split_seconds=3600).count() == 2
+    lim = Limits(time_s=3600, distance_km=100, inclusive=False)
+    assert segments_consecutive(p, lim, split_seconds=3600).count() == 0
