@@ -16,10 +16,16 @@ id (a third of all rows, say) stall a single core, so the rows are cut into
    is marked dead from that chunk on. This repeats until nothing changes.
    The first chunk is fixed, so after k rounds at least k chunks are final;
    in practice chains re-join within a chunk and one or two rounds suffice.
+3. *Bounded finish.* Two tracks interleaved under one id (each consistent
+   on its own) can make speculation correct only one chunk per round. After
+   ``MAX_SPEC_ROUNDS`` rounds the chunks before an id's first changed chunk
+   are final, so that id's remaining chunks are finished by one sequential
+   scan from the now exact entry: exact, with the round count bounded.
 
-The result is exactly the sequential rule. Each round's state is
-checkpointed to ``spark.checkpoint.dir`` so lineage stays short and lost
-executors recompute only the current round.
+The result is exactly the sequential rule. Every scan's output is
+checkpointed to ``spark.checkpoint.dir`` (and the small chunk state every
+few rounds), so lineage stays short and lost executors recompute only the
+current round.
 """
 
 from __future__ import annotations
@@ -44,6 +50,9 @@ _ARROW = pa.schema([
     ("dead", pa.bool_()),
 ])
 MAX_ROUNDS = 10_000
+MAX_SPEC_ROUNDS = 3     # speculative fix-up rounds before the exact sequential finish
+STATE_CHECKPOINT_EVERY = 4
+_DEBUG = bool(__import__("os").environ.get("GRIDWAKE_DEBUG_CHUNKS"))
 LAST_RUN: dict[str, int] = {}   # diagnostics of the most recent call: fix-up rounds used
 
 
@@ -184,6 +193,7 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
              .checkpoint(eager=True))
 
     by_id = Window.partitionBy("id")
+    suffix = None
     for rnd in range(1, MAX_ROUNDS + 1):
         prev_exit = F.lag("x_exit").over(by_chunk)
         prev_dead = F.lag("x_dead").over(by_chunk)
@@ -196,9 +206,27 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
             (F.col("t_dead") != F.col("entry_dead"))
             | (~F.col("t_dead") & ~_same(F.col("t_entry"), F.col("entry"))))
         st = st.withColumn("changed", changed)   # cheap windows over the checkpointed state
+        if _DEBUG:
+            print("round", rnd, st.where(F.col("changed")).orderBy("id", "chunk")
+                  .select("id", "chunk", "entry", "entry_dead", "t_entry", "t_dead", "x_exit", "x_dead").collect()[:6])
         if st.where(F.col("changed")).limit(1).count() == 0:
             LAST_RUN["rounds"] = rnd - 1
             break
+        if rnd > MAX_SPEC_ROUNDS:
+            # Speculation is not converging (e.g. two interleaved tracks under
+            # one id, each consistent on its own). Every chunk before an id's
+            # first changed chunk is final, and that chunk's entry is exact:
+            # finish each such id's remaining chunks with one sequential scan.
+            LAST_RUN["rounds"] = rnd - 1
+            first_bad = st.where(F.col("changed")).groupBy("id").agg(F.min("chunk").alias("c0"))
+            start = (st.join(first_bad, "id").where(F.col("chunk") == F.col("c0"))
+                     .where(~F.col("t_dead")).select("id", "c0", "t_entry"))
+            tail = (rows.join(start.select("id", "c0"), "id").where(F.col("chunk") >= F.col("c0"))
+                    .select("id", F.col("c0").alias("chunk"), "ts", "lat", "lon", "_dt"))
+            entries = start.select("id", F.col("c0").alias("chunk"), "t_entry.ts", "t_entry.lat", "t_entry.lon")
+            tail_out = _scan(tail, entries, fn).checkpoint(eager=True)
+            suffix = (first_bad, tail_out.where(F.col("kind") == 0))
+            break
         todo = st.where(F.col("changed") & ~F.col("t_dead")).select("id", "chunk", "t_entry")
         redo_rows = rows.join(todo.select("id", "chunk"), ["id", "chunk"], "left_semi")
         out = _scan(redo_rows, todo.select("id", "chunk", "t_entry.ts", "t_entry.lat", "t_entry.lon"),
@@ -212,8 +240,11 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
             F.when(ch, dd).otherwise(F.col("entry_dead")).alias("entry_dead"),
             F.when(ch & dd, F.lit(None)).when(ch, F.col("n_exit")).otherwise(F.col("x_exit")).alias("x_exit"),
             F.when(ch & dd, F.lit(True)).when(ch, F.col("n_dead")).otherwise(F.col("x_dead")).alias("x_dead"),
-            F.when(ch, F.lit(rnd)).otherwise(F.col("round")).alias("round"))
-            .checkpoint(eager=True))
+            F.when(ch, F.lit(rnd)).otherwise(F.col("round")).alias("round")))
+        if rnd % STATE_CHECKPOINT_EVERY == 0:
+            # the state is tiny and derived from checkpointed scans; cutting its
+            # lineage every few rounds keeps plans short in long fix-ups
+            state = state.checkpoint(eager=True)
     else:
         raise RuntimeError("anchored fix-up did not converge")
 
@@ -221,7 +252,14 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
     for o in outs[1:]:
         segs = segs.unionByName(o)
     final = state.where(~F.col("entry_dead")).select("id", "chunk", "round")
-    return segs.join(final, ["id", "chunk", "round"], "left_semi").select(
+    keep = segs.join(final, ["id", "chunk", "round"], "left_semi")
+    cols = ["id", "alat", "alon", "blat", "blon", "ats", "bts", "time_s", "distance_km", "velocity_kmh"]
+    if suffix is not None:
+        first_bad, tail_segs = suffix
+        keep = (keep.join(first_bad, "id", "left")
+                .where(F.col("c0").isNull() | (F.col("chunk") < F.col("c0")))
+                .select(*cols).unionByName(tail_segs.select(*cols)))
+    return keep.select(
         "id", "alat", "alon", "blat", "blon",
         F.timestamp_seconds("ats").alias("adt"), F.timestamp_seconds("bts").alias("bdt"),
         "time_s", "distance_km", "velocity_kmh")

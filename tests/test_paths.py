@@ -205,3 +205,27 @@ def test_consecutive_tail_copies_inclusive(points):
     assert segments_consecutive(p, lim, split_seconds=3600).count() == 2
     lim = Limits(time_s=3600, distance_km=100, inclusive=False)
     assert segments_consecutive(p, lim, split_seconds=3600).count() == 0
+
+
+def test_anchored_outlier_at_every_chunk_boundary(points):
+    # rows every 100 s; the last row of every 1000 s chunk is a far outlier, so
+    # every chunk's speculative entry (previous chunk's last row) is wrong
+    rows = []
+    lat = 0.0
+    for i in range(200):
+        t = i * 100
+        if t % 1000 == 900:
+            rows.append(("x", t, 40.0, 40.0))
+        else:
+            lat += 0.01
+            rows.append(("x", t, lat, 0.0))
+    # a stationary id and one that dies in the middle
+    rows += [("y", i * 100, 5.0, 5.0) for i in range(30)]
+    rows += [("z", i * 100, 1.0 + 0.01 * i, 1.0) for i in range(10)] + [("z", 5000 + i * 100, 1.0, 1.0) for i in range(10)]
+    from gridwake.operators import anchored_chunks
+    for split, path in ((1000, "chunked"), (1000, "per_id")):
+        got = segments_anchored(points(rows), Limits(time_s=1500.0, distance_km=50.0),
+                                split_seconds=split, slow_path=path)
+        g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+        assert g == loop_anchored(rows, 1500.0, 50.0)
+    assert anchored_chunks.LAST_RUN["rounds"] >= 1
