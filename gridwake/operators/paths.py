@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from ..config import EARTH_RADIUS_KM, Limits
 from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
+from ..session import ensure_checkpoint_dir
 from .anchored_chunks import anchored_chunk_segments
 from .sequence import (BUCKET, DEFAULT_SPLIT_SECONDS, partition_by_bucket, resolve_split,
                        time_bucket, with_previous, with_previous_within)
@@ -197,8 +198,9 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     ``slow_path="chunked"`` (default) scans that stretch in parallel
     ``(id, time bucket)`` chunks with speculative entry anchors and exact
     fix-up rounds (``anchored_chunks``), so a hot id is split over many
-    tasks; it runs Spark actions and checkpoints. ``slow_path="per_id"``
-    streams each id through one sorted Arrow scan (lazy, one task per id).
+    tasks. ``slow_path="per_id"`` streams each id through one sorted Arrow
+    scan (one task per id). Both modes write the window-annotated rows once
+    to ``spark.checkpoint.dir`` (a Spark action at call time).
     """
     if slow_path not in ("chunked", "per_id"):
         raise ValueError("slow_path must be 'chunked' or 'per_id'")
@@ -210,15 +212,41 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     good = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     bucket = time_bucket(F.col("dt"), resolve_split(pts, split_seconds))
 
-    # ids whose first row (by dt, then nulls first) has bad coordinates emit nothing
-    first_key = F.struct(F.col("dt"), F.col("lat").isNotNull().alias("lat_ok"),
-                         F.coalesce("lat", F.lit(0.0)).alias("lat"),
-                         F.col("lon").isNotNull().alias("lon_ok"),
-                         F.coalesce("lon", F.lit(0.0)).alias("lon"))
     pts = partition_by_bucket(pts, "id", bucket)      # the only shuffle of all rows
-    first_by_bucket = pts.groupBy("id", BUCKET).agg(F.min(first_key).alias("_first"))
-
-    paired = with_previous(pts.where(good), "id", ORDER, [], None)
+    # The only sort: one window pass over every row of an (id, bucket), bad
+    # rows included, yields the previous good row inside the bucket, whether
+    # the row opens the bucket and whether it is the bucket's last good row.
+    w = Window.partitionBy("id", BUCKET).orderBy(
+        F.col("dt").asc(), F.col("lat").asc_nulls_first(), F.col("lon").asc_nulls_first())
+    goodrow = F.when(good, F.struct("dt", "lat", "lon"))
+    x = pts.select(
+        "id", BUCKET, "dt", "lat", "lon", good.alias("_good"),
+        F.last(goodrow, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_pg"),
+        (F.row_number().over(w) == 1).alias("_head"),
+        (good & (F.count(goodrow).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                 == F.count(goodrow).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+         ).alias("_tail"))
+    # written once: the summary, the pairing and both outputs read it, so the
+    # data is shuffled and sorted once (without it each consumer re-sorts)
+    ensure_checkpoint_dir(x.sparkSession)
+    x = x.checkpoint(eager=True)
+
+    # per (id, bucket) summary from the flagged rows only (at most two per bucket):
+    # the last good row carried into later buckets, and whether the id's very
+    # first row (nulls first) has bad coordinates - then the id emits nothing
+    wb = Window.partitionBy("id").orderBy(BUCKET)
+    summary = (x.where(F.col("_head") | F.col("_tail"))
+               .groupBy("id", BUCKET)
+               .agg(F.max(F.when(F.col("_head"), ~F.col("_good"))).alias("_head_bad"),
+                    F.max(F.when(F.col("_tail"), F.struct("dt", "lat", "lon"))).alias("_last"))
+               .select("id", BUCKET,
+                       F.last("_last", ignorenulls=True)
+                       .over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+                       F.first("_head_bad")
+                       .over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_dead")))
+
+    paired = (x.where(F.col("_good")).join(summary, ["id", BUCKET], "left")
+              .withColumn("prev", F.coalesce(F.col("_pg"), F.col("_carry"))))
     p = F.col("prev")
     t = elapsed_seconds(p["dt"], F.col("dt")).cast("double")
     d = haversine_km(p["lat"], p["lon"], F.col("lat"), F.col("lon"))
@@ -227,25 +255,17 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
               .withColumn("_late", p.isNotNull() & _over(F.col("_t"), T_, inclusive))
               .withColumn("_far", p.isNotNull() & ~F.col("_late") & _over(F.col("_d"), D_, inclusive)))
 
-    # per (id, bucket) summaries, aggregated where the rows already are
+    # per (id, bucket) violation summaries, then id-wide minima over the buckets
     viol = (paired.groupBy("id", BUCKET)
             .agg(F.min(F.when(F.col("_late"), me)).alias("_cut"),
                  F.min(F.when(F.col("_far"), F.struct(me.alias("k"), p.alias("anchor")))).alias("_fd")))
     wid = Window.partitionBy("id")
-    info = (viol.join(first_by_bucket, ["id", BUCKET], "full")
-            .select("id", BUCKET,
-                    F.min("_cut").over(wid).alias("cut"),
-                    F.min("_fd").over(wid).alias("fd"),
-                    F.min("_first").over(wid).alias("first")))
+    info = viol.select("id", BUCKET, F.min("_cut").over(wid).alias("cut"), F.min("_fd").over(wid).alias("fd"))
     info = info.select(
         "id", BUCKET, "cut",
-        F.when(F.col("cut").isNull() | (F.col("fd.k") < F.col("cut")), F.col("fd")).alias("fd"),
-        (F.col("first.lat_ok") & F.col("first.lon_ok")).alias("alive"))
+        F.when(F.col("cut").isNull() | (F.col("fd.k") < F.col("cut")), F.col("fd")).alias("fd"))
 
-    rows = paired.join(info, ["id", BUCKET], "left").where(F.col("alive"))
-    if slow_path == "chunked":
-        # both the native part and the chunked scan read this once-written table
-        rows = rows.select("id", BUCKET, "dt", "lat", "lon", "prev", "cut", "fd").checkpoint(eager=True)
+    rows = paired.where(~F.col("_dead")).join(info, ["id", BUCKET], "left")
     before_cut = F.col("cut").isNull() | (me < F.col("cut"))
     before_fd = F.col("fd").isNull() | (me < F.col("fd.k"))
 
@@ -257,8 +277,7 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
                .select("id", F.col(BUCKET).alias("chunk"), F.unix_timestamp("dt").alias("ts"), "lat", "lon",
                        F.col("dt").alias("_dt")))
     if slow_path == "chunked":
-        slow = anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity,
-                                       checkpoint_input=False)
+        slow = anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity)
         return fast.unionByName(slow)
     slow = (slow_in.repartition("id")
             .sortWithinPartitions("id", "_dt", "lat", "lon")
