@@ -189,8 +189,7 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
     outs = [out.where(F.col("kind") == 0).withColumn("round", F.lit(0))]
     state = (spec.join(_exits(out), ["id", "chunk"])
              .select("id", "chunk", "entry", F.lit(False).alias("entry_dead"), "x_exit", "x_dead",
-                     F.lit(0).alias("round"))
-             .checkpoint(eager=True))
+                     F.lit(0).alias("round")))
 
     by_id = Window.partitionBy("id")
     suffix = None
