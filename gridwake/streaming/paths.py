@@ -111,3 +111,11 @@ def stream_cell_counts(segments: DataFrame, grid: Grid = Grid(), bucket: str = "
             .select("grid", "lat_idx", "lon_idx", F.col("w.start").alias("bucket_start"),
                     F.col("w.end").alias("bucket_end"), "value", "velocity",
                     F.col("direction").cast("int").alias("direction")))
+
+
+def stream_tripline(points: DataFrame, limits: Limits = Limits(inclusive=False), grid: Grid = Grid(),
+                    bucket: str = "1 hour", watermark: str = "1 day") -> DataFrame:
+    """Positions stream -> consecutive segments (per-id state) -> crossings ->
+    cell counts per event-time window, as one streaming query (append mode:
+    a window is emitted once, when the watermark passes its end)."""
+    return stream_cell_counts(stream_segments(points, limits), grid, bucket, watermark)

@@ -57,3 +57,28 @@ def test_stream_cell_counts(spark):
         .agg(F.max("value").alias("v")).agg(F.sum("v")).first()[0]
     from gridwake.operators.crossings import crossings
     assert total == crossings(spark.read.parquet(seg_dir), grid).count()
+
+
+def test_stream_tripline_chained(spark):
+    from gridwake.streaming import stream_tripline
+    from gridwake.operators.crossings import crossings
+    pts = read_event_points(spark, SF)
+    root = _scratch(spark)
+    src = os.path.join(root, "points")
+    pts.withColumn("slice", F.floor(F.dayofmonth("dt") / 11)).repartition(1, "slice") \
+        .write.partitionBy("slice").parquet(src)
+    from pyspark.sql import types as T
+    schema = T.StructType(pts.schema.fields + [T.StructField("slice", T.LongType())])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    lim = Limits(time_s=86400, distance_km=300, inclusive=False)
+    grid = Grid(1.0, 1.0, Region(-90.0, -360.0, 90.0, 180.0))
+    q = (stream_tripline(stream, lim, grid, "1 hour", "1 day").writeStream.format("memory")
+         .queryName("tripline_stream").outputMode("append")
+         .option("checkpointLocation", os.path.join(root, "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.lat_idx, r.lon_idx, r.bucket_start): r.value for r in spark.table("tripline_stream").collect()}
+    batch = (crossings(segments_consecutive(pts, lim), grid, temporal_split="hour")
+             .groupBy("lat_idx", "lon_idx", "bucket_ts").count().collect())
+    exp = {(r.lat_idx, r.lon_idx, r.bucket_ts): r["count"] for r in batch}
+    assert got and all(exp.get(k) == v for k, v in got.items())
