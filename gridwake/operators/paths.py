@@ -53,6 +53,7 @@ SEGMENT_SCHEMA = T.StructType([
 SEGMENT_COLUMNS = SEGMENT_SCHEMA.fieldNames()
 
 ORDER = ["dt", "lat", "lon"]
+MAX_TAIL_SPLIT = 30 * 86400   # largest time limit served by the one-sort tail-copy pairing
 
 
 def _over(value: Column, limit: float, inclusive: bool) -> Column:
@@ -91,10 +92,12 @@ def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
            .where(F.col("dt").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
     split = resolve_split(pts, split_seconds)
-    if limits.time_s <= split:
+    if limits.time_s <= MAX_TAIL_SPLIT:
         # pairs further apart than the time limit are never emitted, so each
-        # bucket only needs the previous bucket's last time-limit seconds
-        paired = with_previous_within(pts, "id", ORDER, F.col("dt"), split, limits.time_s)
+        # bucket only needs the previous bucket's last time-limit seconds; the
+        # bucket is widened to the limit when the limit is the larger
+        width = max(split, int(math.ceil(limits.time_s)))
+        paired = with_previous_within(pts, "id", ORDER, F.col("dt"), width, limits.time_s)
     else:
         paired = with_previous(pts, "id", ORDER, [], time_bucket(F.col("dt"), split))
     seg = paired.where(F.col("prev").isNotNull()).select(*_segment_projection("prev", zero_time_velocity))
