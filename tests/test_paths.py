@@ -1,7 +1,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from gridwake.config import Limits
 from gridwake.operators.paths import count_segments, segments_anchored, segments_consecutive
