@@ -33,3 +33,18 @@ def write_tiles(tiles: DataFrame, path: str, name: str = "tiles", description: s
     each row ``tile_x, tile_y, bins`` plus the set's name and description."""
     (tiles.withColumn("name", F.lit(name)).withColumn("description", F.lit(description))
      .write.mode("overwrite").partitionBy("level").parquet(path))
+
+
+def write_cell_tables(cell_stats: DataFrame, base_path: str, fmt: str = "parquet") -> dict[str, str]:
+    """Write the per-cell stats once, then the count, velocity and direction
+    tables as projections read back from that written table, so the path,
+    crossing and aggregation work runs once for all of them. Returns the
+    paths written."""
+    base = base_path.rstrip("/")
+    paths = {name: f"{base}/{name}" for name in ("cell_stats", "counts", "velocity", "direction")}
+    write_stage(cell_stats, paths["cell_stats"], fmt=fmt)
+    stats = cell_stats.sparkSession.read.format(fmt).load(paths["cell_stats"])
+    keys = [c for c in ("grid", "lat_idx", "lon_idx", "lat", "lon", "dt") if c in stats.columns]
+    for name, col in (("counts", "value"), ("velocity", "velocity"), ("direction", "direction")):
+        write_stage(stats.select(*keys, col), paths[name], fmt=fmt)
+    return paths

@@ -31,3 +31,16 @@ def test_mercator_pipeline_defaults(spark):
                                 F.aggregate("bins", F.lit(0.0), lambda a, x: a + x).alias("s"))
     agg = tiles.agg(F.min("n"), F.max("n"), F.sum("s")).first()
     assert agg[0] == agg[1] == 65536 and agg[2] == hits
+
+
+def test_write_cell_tables(spark):
+    import tempfile
+    from gridwake.sinks import write_cell_tables
+    pts = read_event_points(spark, SF)
+    out = tripline_pipeline(pts, TriplineOptions(limits=Limits(time_s=86400, distance_km=300)))
+    d = tempfile.mkdtemp(prefix="gw-cells-")
+    paths = write_cell_tables(out["cell_stats"], d)
+    n = spark.read.parquet(paths["cell_stats"]).count()
+    for name, col in (("counts", "value"), ("velocity", "velocity"), ("direction", "direction")):
+        t = spark.read.parquet(paths[name])
+        assert t.count() == n and col in t.columns
