@@ -23,10 +23,12 @@ PATH_MODES = ("anchored", "consecutive")
 
 def build_segments(points: DataFrame, limits: Limits, path_mode: str,
                    split_seconds: int | str = DEFAULT_SPLIT_SECONDS,
-                   zero_time_velocity: float | None = None) -> DataFrame:
+                   zero_time_velocity: float | None = None,
+                   anchored_slow_path: str = "chunked") -> DataFrame:
     if path_mode == "anchored":
         return segments_anchored(points, limits, split_seconds,
-                                 -1.0 if zero_time_velocity is None else zero_time_velocity)
+                                 -1.0 if zero_time_velocity is None else zero_time_velocity,
+                                 slow_path=anchored_slow_path)
     if path_mode == "consecutive":
         return segments_consecutive(points, limits, split_seconds,
                                     math.inf if zero_time_velocity is None else zero_time_velocity)
@@ -43,6 +45,7 @@ class TriplineOptions:
     digits: str = "exact"
     origin_hit: str = "keep"
     split_seconds: int | str = DEFAULT_SPLIT_SECONDS
+    anchored_slow_path: str = "chunked"     # or "per_id"
 
 
 def legacy_tripline_options(**overrides) -> TriplineOptions:
@@ -54,7 +57,8 @@ def legacy_tripline_options(**overrides) -> TriplineOptions:
 
 def tripline_pipeline(points: DataFrame, opts: TriplineOptions = TriplineOptions()) -> dict[str, DataFrame]:
     """points -> segments -> crossings -> per-cell count / velocity / direction / ids."""
-    seg = build_segments(points, opts.limits, opts.path_mode, opts.split_seconds)
+    seg = build_segments(points, opts.limits, opts.path_mode, opts.split_seconds,
+                         anchored_slow_path=opts.anchored_slow_path)
     x = crossings(seg, list(opts.grids), temporal_split=opts.temporal_split,
                   dateline=opts.dateline, digits=opts.digits, origin_hit=opts.origin_hit)
     stats = cell_stats(x, label_keys=(opts.digits == "reference"))
