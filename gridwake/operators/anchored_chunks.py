@@ -52,7 +52,6 @@ _ARROW = pa.schema([
 MAX_ROUNDS = 10_000
 MAX_SPEC_ROUNDS = 3     # speculative fix-up rounds before the exact sequential finish
 STATE_CHECKPOINT_EVERY = 4
-_DEBUG = bool(__import__("os").environ.get("GRIDWAKE_DEBUG_CHUNKS"))
 LAST_RUN: dict[str, int] = {}   # diagnostics of the most recent call: fix-up rounds used
 
 
@@ -205,9 +204,6 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
             (F.col("t_dead") != F.col("entry_dead"))
             | (~F.col("t_dead") & ~_same(F.col("t_entry"), F.col("entry"))))
         st = st.withColumn("changed", changed)   # cheap windows over the checkpointed state
-        if _DEBUG:
-            print("round", rnd, st.where(F.col("changed")).orderBy("id", "chunk")
-                  .select("id", "chunk", "entry", "entry_dead", "t_entry", "t_dead", "x_exit", "x_dead").collect()[:6])
         if st.where(F.col("changed")).limit(1).count() == 0:
             LAST_RUN["rounds"] = rnd - 1
             break
