@@ -1,0 +1,11 @@
+"""Movement analytics on PySpark.
+
+Functions that run inside Python tasks are pickled by value, so executors
+need no copy of this package on their import path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
