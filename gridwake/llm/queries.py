@@ -9,15 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_join
+from .order_minhash import order_fingerprints
+from .quality import quality_scores
 from .tables import read_table
+from .toxicity import toxicity_scores
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_order_minhash": op2_order_minhash,
+    "op3_toxicity": op3_toxicity,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_SQL = {
