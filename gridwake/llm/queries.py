@@ -6,12 +6,15 @@ production parameters. ``ORACLE_SQL``: DuckDB SQL where SQL can express one.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_join
+from .license_scan import license_scan
 from .order_minhash import order_fingerprints
 from .quality import quality_scores
 from .tables import read_table
+from .token_counts import token_counts
 from .toxicity import toxicity_scores
 
 
@@ -27,6 +30,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -35,6 +46,8 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_order_minhash": op2_order_minhash,
     "op3_toxicity": op3_toxicity,
+    "op7_token_counts": op7_token_counts,
+    "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
 }
 
