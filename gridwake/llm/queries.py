@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .order_minhash import order_fingerprints
+from .packing import pack
 from .quality import quality_scores
 from .tables import read_table
 from .token_counts import token_counts
@@ -30,6 +31,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_order_minhash": op2_order_minhash,
     "op3_toxicity": op3_toxicity,
+    "op4_packing": op4_packing,
     "op7_token_counts": op7_token_counts,
     "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
