@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import share, shared_value
 from .textunits import LOWER, NOT_ALNUM, Units, text_slices
 
 ANCHORS = 3
@@ -142,7 +143,7 @@ def _frequencies(vocabulary: np.ndarray):
 
 def _scan(shared):
     def run(batches):
-        index = shared.value
+        index = shared_value(shared)
         base = [k for k, t in enumerate(index.templates) if t.base]
         for batch in batches:
             out = {c: [] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")}
@@ -190,6 +191,6 @@ def license_scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + NOTIC
                .groupBy("word", "total").agg(F.sum("df").alias("df")).collect())   # one row per template word
     df = {r["word"] % (1 << 64): r["df"] for r in counted if not r["total"]}
     total = sum(r["df"] for r in counted if r["total"])
-    shared = spark.sparkContext.broadcast(TemplateIndex(templates, df, total))
+    shared = share(spark, TemplateIndex(templates, df, total))
     return base.mapInArrow(_scan(shared), f"doc_id {id_type}, n_words long, n_base long, first_word long, "
                                           "last_word long, base_labels string, labels string, score double")

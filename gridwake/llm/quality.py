@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out, labelled_sample
+from .tables import share, shared_value
 from .textunits import ASCII_SPACE, LOWER, NOT_ALNUM, Texts, Units, text_slices
 
 WORD_SLOTS = 1 << 15
@@ -63,7 +64,7 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     per_word = 1 / np.maximum(n, 1)
     length = words.end - words.begin
 
-    def share(flags: np.ndarray) -> np.ndarray:
+    def word_share(flags: np.ndarray) -> np.ndarray:
         return np.bincount(doc[flags], minlength=docs) * per_word
     again = np.zeros(len(h), dtype=bool)
     again[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])
@@ -76,7 +77,7 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     chunks = Units(texts, ASCII_SPACE)
     pieces = np.maximum(np.diff(chunks.bounds), 1)
     statistics = np.column_stack([
-        per_byte, share(again), distinct, most * per_word, share(length <= 3), share(length >= 12),
+        per_byte, word_share(again), distinct, most * per_word, word_share(length <= 3), word_share(length >= 12),
         np.minimum(np.bincount(doc, weights=length, minlength=docs) * per_word / 16, 1),
         np.minimum(n / pieces / 4, 1), np.minimum(counts[:, 1:].sum(axis=1) / np.maximum(size, 1), 1)])
     # square roots spread the small shares, where the differences are
@@ -158,7 +159,7 @@ def train(texts: list[str | None], y: np.ndarray, epochs: int = 8, batch: int =
 
 def _score(shared):
     def run(batches):
-        model = shared.value
+        model = shared_value(shared)
         for batch in batches:
             parts = [model.scores(*features(t)) for t in text_slices(batch.column(1))]
             scores = np.concatenate(parts) if parts else np.zeros(0)
@@ -180,7 +181,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int =
     """One row per row of ``docs`` (``doc_id, text``): ``doc_id, held_out,
     score, predicted`` (``score >= cut``). Null texts count as empty; repeated
     rows are scored each; other columns are ignored."""
-    shared = docs.sparkSession.sparkContext.broadcast(quality_model(docs, labels, mod, rest, per_class))  # fixed size
+    shared = share(docs.sparkSession, quality_model(docs, labels, mod, rest, per_class))  # fixed size
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"),
                        held_out(F.col("doc_id"), mod, rest).alias("held_out"))
     id_type = base.schema["doc_id"].dataType.simpleString()

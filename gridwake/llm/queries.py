@@ -9,6 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contaminated
 from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .order_minhash import order_fingerprints
@@ -17,6 +18,7 @@ from .quality import quality_scores
 from .tables import read_table
 from .token_counts import token_counts
 from .toxicity import toxicity_scores
+from .warc import derivatives
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +37,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derivatives(read_table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -52,6 +62,8 @@ QUERIES = {
     "op2_order_minhash": op2_order_minhash,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_token_counts": op7_token_counts,
     "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,

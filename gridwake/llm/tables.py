@@ -6,6 +6,7 @@ import sys
 import types
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
@@ -34,3 +35,13 @@ def worker_cache(name: str) -> dict:
     workers keep what earlier tasks have computed. Callers bound its size."""
     module = sys.modules.setdefault("_gridwake_worker_cache", types.ModuleType("_gridwake_worker_cache"))
     return module.__dict__.setdefault(name, {})
+
+
+def share(spark: SparkSession, value):
+    """Broadcast ``value``; its classes are pickled by value like task code.
+    Callers bound its size."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(broadcast):
+    return cloudpickle.loads(broadcast.value)
