@@ -15,6 +15,7 @@ from .license_scan import license_scan
 from .order_minhash import order_fingerprints
 from .packing import pack
 from .quality import quality_scores
+from .secrets import secret_scan
 from .tables import read_table
 from .token_counts import token_counts
 from .toxicity import toxicity_scores
@@ -57,6 +58,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_order_minhash": op2_order_minhash,
@@ -67,6 +72,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL = {
