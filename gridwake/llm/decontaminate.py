@@ -26,6 +26,7 @@ phrases). Repeated rows of texts report each; repeated items report each.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import share, shared_value
-from .textunits import LOWER, NOT_ALNUM, Units, ngram_hashes, text_slices
+from .textunits import LOWER, NOT_ALNUM, Texts, Units, ngram_hashes, text_slices
 
 N = 3
 MIN_WORDS = 5
@@ -157,49 +158,61 @@ def _frequencies(vocabulary: np.ndarray):
     return run
 
 
+def _hits(index: ItemIndex, texts: Texts, threshold: float):
+    """(text, item, (score, start, end)) of every aligned pair of a slice."""
+    units = Units(texts, NOT_ALNUM, LOWER[texts.buf])
+    h = units.hashes()
+    where, owner, diagonal = index.proposals(ngram_hashes(h, N))
+    doc = np.searchsorted(units.bounds, where, side="right") - 1
+    inside = where + N <= units.bounds[doc + 1]
+    doc, owner, diagonal = doc[inside], owner[inside], diagonal[inside]
+    if not len(doc):
+        return
+    order = np.lexsort((owner, doc))
+    doc, owner, diagonal = doc[order], owner[order], diagonal[order]
+    cuts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1])])
+    for a, b in zip(cuts, [*cuts[1:], len(doc)]):
+        lo, hi = units.bounds[doc[a]], units.bounds[doc[a] + 1]
+        found = index.search(h[lo:hi], owner[a], diagonal[a:b] - lo, threshold)
+        if found:
+            yield int(doc[a]), int(owner[a]), found
+
+
 def _scan(shared, threshold: float):
     def run(batches):
         index = shared_value(shared)
         for batch in batches:
-            row, item, score, start, end, matched = [], [], [], [], [], []
+            row, item, score, start, end = [], [], [], [], []
             for texts in text_slices(batch.column(1)):
-                units = Units(texts, NOT_ALNUM, LOWER[texts.buf])
-                h = units.hashes()
-                grams = ngram_hashes(h, N)
-                where, owner, diagonal = index.proposals(grams)
-                doc = np.searchsorted(units.bounds, where, side="right") - 1
-                inside = where + N <= units.bounds[doc + 1]
-                doc, owner, diagonal = doc[inside], owner[inside], diagonal[inside]
-                order = np.lexsort((owner, doc))
-                doc, owner, diagonal = doc[order], owner[order], diagonal[order]
-                cuts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1])]) if len(doc) else []
-                for a, b in zip(cuts, [*cuts[1:], len(doc)]):
-                    lo, hi = units.bounds[doc[a]], units.bounds[doc[a] + 1]
-                    found = index.search(h[lo:hi], owner[a], diagonal[a:b] - lo, threshold)
-                    if found:
-                        row.append(texts.first + int(doc[a])); item.append(int(owner[a]))
-                        score.append(found[0]); start.append(found[1]); end.append(found[2])
-            ids = batch.column(0).take(pa.array(row, pa.int64()))
-            yield pa.record_batch([ids, pa.array(item, pa.int64()), pa.array(score, pa.float64()),
-                                   pa.array(start, pa.int64()), pa.array(end, pa.int64())],
+                for doc, owner, found in _hits(index, texts, threshold):
+                    row.append(texts.first + doc); item.append(owner)
+                    score.append(found[0]); start.append(found[1]); end.append(found[2])
+            yield pa.record_batch([batch.column(0).take(pa.array(row, pa.int64())), pa.array(item, pa.int64()),
+                                   pa.array(score, pa.float64()), pa.array(start, pa.int64()),
+                                   pa.array(end, pa.int64())],
                                   names=["doc_id", "item", "score", "start_word", "end_word"])
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per text (``docs``: ``doc_id, text``) and test item
-    (``benchmark``: ``item_id, text``) that align with at least ``threshold``:
-    ``doc_id, item_id, score, start_word, end_word`` (aligned words of the
-    text, counted from 0). Clean texts have no row."""
-    spark = docs.sparkSession
-    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def _clean(shared, column: int, threshold: float):
+    def run(batches):
+        index = shared_value(shared)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for texts in text_slices(batch.column(column).cast(pa.string())):
+                for doc, _, _ in _hits(index, texts, threshold):
+                    keep[texts.first + doc] = False
+            yield batch.filter(pa.array(keep))
+    return run
+
+
+def item_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[ItemIndex]:
+    """Indexes over blocks of at most about ``BLOCK_CHARS`` characters of
+    items, each with word frequencies counted over all texts of ``docs``."""
+    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    id_type = base.schema["doc_id"].dataType.simpleString()
-    item_type = items.schema["item_id"].dataType
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // BLOCK_CHARS))
-    schema = f"doc_id {id_type}, item long, score double, start_word long, end_word long"
-    result = None
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()   # one block of items
         block = [(r["item_id"], w) for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
@@ -207,19 +220,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         if not block:
             continue
         vocabulary = np.unique(np.concatenate([w for _, w in block]))
-        counts = (base.select("text").mapInArrow(_frequencies(vocabulary), "what string, word long, n long")
+        counts = (texts.mapInArrow(_frequencies(vocabulary), "what string, word long, n long")
                   .groupBy("what", "word").agg(F.sum("n").alias("n")).collect())                   # words of the block
         frequency = {r["word"] % (1 << 64): r["n"] for r in counts if r["what"] == "word"}
         total = {r["what"]: r["n"] for r in counts if r["what"] != "word"}
-        index = ItemIndex(block, frequency, total.get("words", 0), total.get("texts", 0))
+        yield ItemIndex(block, frequency, total.get("words", 0), total.get("texts", 0))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per text (``docs``: ``doc_id, text``) and test item
+    (``benchmark``: ``item_id, text``) that align with at least ``threshold``:
+    ``doc_id, item_id, score, start_word, end_word`` (aligned words of the
+    text, counted from 0). Clean texts have no row."""
+    spark = docs.sparkSession
+    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    id_type = base.schema["doc_id"].dataType.simpleString()
+    item_type = benchmark.schema["item_id"].dataType.simpleString()
+    result = None
+    for index in item_blocks(docs, benchmark):
         shared = share(spark, index)                                               # bounded by BLOCK_CHARS
-        numbers = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(block)],
-                                        f"item long, item_id {item_type.simpleString()}")
-        found = (base.mapInArrow(_scan(shared, threshold), schema).join(F.broadcast(numbers), "item")
-                 .select("doc_id", "item_id", "score", "start_word", "end_word"))
+        numbers = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(index.items)],
+                                        f"item long, item_id {item_type}")
+        found = (base.mapInArrow(_scan(shared, threshold),
+                                 f"doc_id {id_type}, item long, score double, start_word long, end_word long")
+                 .join(F.broadcast(numbers), "item").select("doc_id", "item_id", "score", "start_word", "end_word"))
         result = found if result is None else result.unionByName(found)
     if result is None:
-        empty = base.where("false").select("doc_id")
-        return empty.select("doc_id", F.lit(None).cast(item_type).alias("item_id"), F.lit(0.0).alias("score"),
-                            F.lit(0).cast("long").alias("start_word"), F.lit(0).cast("long").alias("end_word"))
+        return (base.where("false").select("doc_id", F.lit(None).cast(item_type).alias("item_id"),
+                                           F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("start_word"),
+                                           F.lit(0).cast("long").alias("end_word")))
     return result
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text aligns with no item."""
+    kept = docs
+    for index in item_blocks(docs, benchmark):
+        kept = kept.mapInArrow(_clean(share(docs.sparkSession, index), docs.columns.index("text"), threshold),
+                               docs.schema)
+    return kept

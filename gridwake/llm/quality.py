@@ -169,6 +169,15 @@ def _score(shared):
     return run
 
 
+def _keep(shared, column: int, cut: float):
+    def run(batches):
+        model = shared_value(shared)
+        for batch in batches:
+            parts = [model.scores(*features(t)) for t in text_slices(batch.column(column).cast(pa.string()))]
+            yield batch.filter(pa.array((np.concatenate(parts) if parts else np.zeros(0)) >= cut))
+    return run
+
+
 def quality_model(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1,
                   per_class: int = PER_CLASS) -> FactorisationMachine:
     """Train on labelled rows whose ``crc32(doc_id) mod mod`` is not ``rest``."""
@@ -187,3 +196,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int =
     id_type = base.schema["doc_id"].dataType.simpleString()
     scored = base.mapInArrow(_score(shared), f"doc_id {id_type}, held_out boolean, score double")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, cut: float = 0.5,
+                 per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``cut``."""
+    shared = share(docs.sparkSession, quality_model(docs, labels, mod, rest, per_class))
+    return docs.mapInArrow(_keep(shared, docs.columns.index("text"), cut), docs.schema)
