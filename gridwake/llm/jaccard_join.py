@@ -317,3 +317,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select("doc_id", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+
+
+def keep_one_of_each_group(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when every group of linked
+    rows keeps its row with the smallest ``doc_id``. Rows repeated with the
+    same id and text stay once; rows without an id all stay."""
+    found = jaccard_join(docs, words=words, num=num, den=den)
+    stay = found.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
+    kept = docs.where(F.col("doc_id").isNotNull()).join(stay.hint("merge"), "doc_id", "left_semi")
+    return (kept.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+            .unionByName(docs.where(F.col("doc_id").isNull())))
