@@ -99,7 +99,7 @@ def derive(uri: str | None, page: str | None, date: str, record_id: str | None =
                 "warc-block-digest", "warc-payload-digest", "warc-refers-to-payload-digest"):
             extra.append((name.strip(), _flat(value)))
     title, lang = _TITLE.search(page), _LANG.search(page)
-    links = [html.unescape(next(g for g in m if g or g == "")) if any(m) else "" for m in _HREF.findall(page)]
+    links = [html.unescape("".join(m)) for m in _HREF.findall(page)]
     fields = [("title", _flat(html.unescape(title[1]))) if title else None,
               ("language", lang[1]) if lang else None,
               ("payload-bytes", str(len(page.encode("utf-8")))),
