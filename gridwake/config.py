@@ -35,10 +35,10 @@ class Region:
         pipeline where coordinates must be real longitudes."""
         for v in (self.lat_min, self.lat_max):
             if v < -90 or v > 90:
-                raise ValueError("Latitude values must be between -90 and 90 inclusive.")
+                raise ValueError(f"region latitudes {self.lat_min}, {self.lat_max} leave [-90, 90]")
         for v in (self.lon_min, self.lon_max):
             if v < -180 or v > lon_upper:
-                raise ValueError(f"Longitude values must be between -180 and {lon_upper} inclusive.")
+                raise ValueError(f"region longitudes {self.lon_min}, {self.lon_max} leave [-180, {lon_upper}]")
         return self
 
 

@@ -1,13 +1,14 @@
 """Geodesy and grid arithmetic as native Spark column expressions.
 
-Every function maps Columns to a Column, so the expressions stay inside
-whole-stage code generation; no Python runs per row.
+Functions map Columns to a Column, so the expressions stay inside whole-stage
+code generation; ``great_circle_km`` is the one numpy twin, for task code.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def wrap_pair(a, b) -> tuple[Column, Column]:
 def haversine_km(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Column:
     """Great-circle distance ``2R atan2(sqrt(a), sqrt(1-a))`` after wrapping
     both coordinate pairs. ``a`` is clamped to [0, 1] so rounding noise can
-    never produce NaN."""
+    never produce NaN; NaN or infinite coordinates give NaN."""
     la1, la2 = wrap_pair(lat1, lat2)
     lo1, lo2 = wrap_pair(lon1, lon2)
     dlat = F.radians(la2 - la1)
@@ -42,7 +43,20 @@ def haversine_km(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Col
     a = (F.sin(dlat / 2) * F.sin(dlat / 2)
          + F.cos(F.radians(la1)) * F.cos(F.radians(la2)) * F.sin(dlon / 2) * F.sin(dlon / 2))
     a = F.least(F.greatest(a, F.lit(0.0)), F.lit(1.0))
-    return F.lit(float(radius)) * (2 * F.atan2(F.sqrt(a), F.sqrt(1 - a)))
+    # Spark orders NaN above all numbers, so the clamp turns it into 1; the zero
+    # term brings NaN back (and makes it of infinities) at no further cost
+    spoiled = (_c(lat1) + _c(lon1) + _c(lat2) + _c(lon2)) * F.lit(0.0)
+    return F.lit(float(radius)) * (2 * F.atan2(F.sqrt(a), F.sqrt(1 - a))) + spoiled
+
+
+def great_circle_km(lat1, lon1, lat2, lon2):
+    """Numpy form of the distance for code that runs in tasks. The sines have
+    period 360, so no wrapping is needed; NaN and infinities give NaN."""
+    with np.errstate(invalid="ignore"):
+        phi1, phi2 = np.radians(lat1), np.radians(lat2)
+        half_lat, half_lon = (phi2 - phi1) / 2, np.radians(np.subtract(lon2, lon1)) / 2
+        chord = np.clip(np.sin(half_lat) ** 2 + np.cos(phi1) * np.cos(phi2) * np.sin(half_lon) ** 2, 0.0, 1.0)
+        return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(chord), np.sqrt(1 - chord))
 
 
 def haversine_m(lat1, lon1, lat2, lon2) -> Column:

@@ -15,15 +15,17 @@ def _c(x) -> Column:
 
 
 def parse_dt(text) -> Column:
-    """Parse ``yyyy-MM-dd HH:mm:ss`` or ``yyyy-MM-ddTHH:mm:ss`` after cutting
-    the text at its first ``.``; anything else gives null (rows are dropped
-    by the caller, never raise)."""
-    t = F.trim(_c(text).cast("string"))
-    cut = F.substring_index(t, ".", 1)
-    return F.coalesce(
-        F.try_to_timestamp(cut, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(cut, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-    )
+    """Parse ``y-M-d H:m:s`` or ``y-M-dTH:m:s``, fields padded or not, after
+    cutting the text at its first ``.``; anything else, impossible dates
+    included, gives null (rows are dropped by the caller, never raise)."""
+    cut = F.substring_index(F.trim(_c(text).cast("string")), ".", 1)
+    part = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?: +|T)(\d{1,2}):(\d{1,2}):(\d{1,2})$"
+
+    def field(k: int) -> Column:
+        return F.lpad(F.regexp_extract(cut, part, k), 2, "0")
+    padded = F.concat(F.regexp_extract(cut, part, 1), F.lit("-"), field(2), F.lit("-"), field(3), F.lit(" "),
+                      field(4), F.lit(":"), field(5), F.lit(":"), field(6))
+    return F.when(cut.rlike(part), F.try_to_timestamp(padded, F.lit("yyyy-MM-dd HH:mm:ss")))
 
 
 def bucket_start(ts, split: str) -> Column:

@@ -1,260 +1,210 @@
 """Anchored rule for the post-outlier stretch of tracks, split into time chunks.
 
 The anchored rule is sequential: whether a row is accepted depends on the
-anchor left by all earlier rows. Running one id in one task would let a hot
-id (a third of all rows, say) stall a single core, so the rows are cut into
-``(id, chunk)`` pieces that are scanned in parallel:
-
-1. *Speculate.* Each chunk is scanned assuming that its entry anchor is the
-   last row of the id's previous chunk (true whenever that row was
-   accepted, which outliers rarely prevent). The first chunk of an id starts
-   from its first row, which is exact. Every scan also reports its exit
-   state: the anchor it ended with, or "dead" once a row came too late.
-2. *Fix up.* A chunk's true entry is its predecessor's exit. Chunks whose
-   entry differs from the one they were scanned with are scanned again with
-   the true entry (only those chunks' rows are read); an id whose track died
-   is marked dead from that chunk on. This repeats until nothing changes.
-   The first chunk is fixed, so after k rounds at least k chunks are final;
-   in practice chains re-join within a chunk and one or two rounds suffice.
-3. *Bounded finish.* Two tracks interleaved under one id (each consistent
-   on its own) can make speculation correct only one chunk per round. After
-   ``MAX_SPEC_ROUNDS`` rounds the chunks before an id's first changed chunk
-   are final, so that id's remaining chunks are finished by one sequential
-   scan from the now exact entry: exact, with the round count bounded.
-
-The result is exactly the sequential rule. Every scan's output is
-checkpointed to ``spark.checkpoint.dir`` (and the small chunk state every
-few rounds), so lineage stays short and lost executors recompute only the
-current round.
+anchor left by all earlier rows. Rows are cut into ``(id, chunk)`` pieces, and
+each piece is a *transfer map*: from the anchor it is entered with to the
+anchor it is left with (or to the end of the track, once a row comes too
+late). Maps are evaluated where they are needed and then composed:
+
+1. *Explore.* Every chunk is scanned from the last row of the id's previous
+   chunk (the first chunk: from its own first row, which is exact). Each exit
+   found is an entry of the next chunk; entries a chunk was not scanned with
+   yet are scanned in the next round, all chunks at once. Tracks interleaved
+   under one id lead to as many entries per chunk as there are tracks, and
+   chains that meet share their exits, so the maps close after a few rounds;
+   the loop ends when no new (chunk, entry) pair appears. Every scan handles
+   one chunk's rows, whatever the shape of the tracks.
+2. *Compose.* The pairs that the real track passes are those reachable from
+   each id's first chunk. Pointer doubling finds them in log2(chunks)
+   equi-joins over the map table (a few rows per chunk).
+3. Segments scanned from reachable pairs are the result.
+
+The scan follows a chunk in numpy: runs of rows that stay in reach of their
+predecessor are accepted at once, and only where a row is out of reach are
+later rows searched, in blocks. Distances in the output are computed by the
+column expressions all operators share.
+
+Scans and maps are written as Parquet to the intermediate folder, so lineage
+stays short and lost executors recompute only the current round.
 """
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import EARTH_RADIUS_KM
-from ..session import ensure_checkpoint_dir
-
-CHUNK_SCAN_DDL = ("kind int, id string, chunk bigint, ats bigint, alat double, alon double, "
-                  "bts bigint, blat double, blon double, time_s double, distance_km double, "
-                  "velocity_kmh double, dead boolean")
-_ARROW = pa.schema([
-    ("kind", pa.int32()), ("id", pa.string()), ("chunk", pa.int64()),
-    ("ats", pa.int64()), ("alat", pa.float64()), ("alon", pa.float64()),
-    ("bts", pa.int64()), ("blat", pa.float64()), ("blon", pa.float64()),
-    ("time_s", pa.float64()), ("distance_km", pa.float64()), ("velocity_kmh", pa.float64()),
-    ("dead", pa.bool_()),
-])
-MAX_ROUNDS = 10_000
-MAX_SPEC_ROUNDS = 3     # speculative fix-up rounds before the exact sequential finish
-STATE_CHECKPOINT_EVERY = 4
-LAST_RUN: dict[str, int] = {}   # diagnostics of the most recent call: fix-up rounds used
+from ..functions.geo import elapsed_seconds, great_circle_km, haversine_km, speed_kmh
+from ..session import intermediate
 
+SCAN_DDL = ("kind int, id string, chunk bigint, entered boolean, ets bigint, elat double, elon double, "
+            "ats bigint, alat double, alon double, bts bigint, blat double, blon double")
+_KEY = ["id", "chunk", "entered", "ets", "elat", "elon"]
+SEARCH_BLOCK = 32
 
-def haversine_py(la1, lo1, la2, lo2, r=EARTH_RADIUS_KM):
-    """Scalar twin of ``functions.geo.haversine_km``."""
-    if la1 < -90 and la2 > 90:
-        la2 -= 360
-    elif la2 < -90 and la1 > 90:
-        la1 -= 360
-    if lo1 < -90 and lo2 > 90:
-        lo2 -= 360
-    elif lo2 < -90 and lo1 > 90:
-        lo1 -= 360
-    dlat = math.radians(la2 - la1)
-    dlon = math.radians(lo2 - lo1)
-    a = (math.sin(dlat / 2) * math.sin(dlat / 2)
-         + math.cos(math.radians(la1)) * math.cos(math.radians(la2))
-         * math.sin(dlon / 2) * math.sin(dlon / 2))
-    a = min(max(a, 0.0), 1.0)
-    return r * (2 * math.atan2(math.sqrt(a), math.sqrt(1 - a)))
 
-
-def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool, zero_time_velocity: float):
-    """``mapInArrow`` function over rows sorted by (id, chunk, e, dt, lat, lon).
-
-    ``e = 0`` marks a chunk's entry anchor, ``e = 1`` its data rows. Emits
-    segments (kind 0) and one exit record per chunk (kind 1)."""
+def follow(ts: np.ndarray, lat: np.ndarray, lon: np.ndarray, time_limit: float, dist_limit: float,
+           inclusive: bool) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """Follow the anchored rule from row 0: (starts, ends) of accepted steps
+    as row numbers, the last anchor's row number, and whether the track ended."""
+    n = len(ts)
 
     def late(t):
         return t > time_limit if inclusive else t >= time_limit
 
     def far(d):
-        return (d > dist_limit if inclusive else d >= dist_limit) and not math.isnan(d)
-
-    def empty():
-        return {f.name: [] for f in _ARROW}
-
-    def put(out, kind, key, a, b=None, t=None, d=None, v=None, dead=False):
-        out["kind"].append(kind); out["id"].append(key[0]); out["chunk"].append(key[1])
-        out["ats"].append(a[0] if a else None); out["alat"].append(a[1] if a else None)
-        out["alon"].append(a[2] if a else None)
-        out["bts"].append(b[0] if b else None); out["blat"].append(b[1] if b else None)
-        out["blon"].append(b[2] if b else None)
-        out["time_s"].append(t); out["distance_km"].append(d); out["velocity_kmh"].append(v)
-        out["dead"].append(dead)
+        with np.errstate(invalid="ignore"):
+            return d > dist_limit if inclusive else d >= dist_limit      # NaN is never far
+
+    late_step = late(np.diff(ts).astype(float))
+    stops = np.flatnonzero(late_step | far(great_circle_km(lat[:-1], lon[:-1], lat[1:], lon[1:])))
+    starts, ends, at = [], [], 0
+    while True:
+        k = int(np.searchsorted(stops, at))
+        stop = int(stops[k]) if k < len(stops) else n - 1
+        starts.append(np.arange(at, stop))
+        ends.append(np.arange(at + 1, stop + 1))
+        at = stop
+        if k == len(stops):
+            return np.concatenate(starts), np.concatenate(ends), at, False
+        if late_step[at]:
+            return np.concatenate(starts), np.concatenate(ends), at, True
+        # the next row is out of reach: look for the first later one in reach
+        lo, size, found = at + 2, SEARCH_BLOCK, None
+        while lo < n and found is None:
+            hi = min(lo + size, n)
+            too_late = late((ts[lo:hi] - ts[at]).astype(float))
+            near = ~far(great_circle_km(lat[at], lon[at], lat[lo:hi], lon[lo:hi]))
+            hit = np.flatnonzero(too_late | near)
+            if len(hit):
+                found = lo + int(hit[0])
+                if too_late[hit[0]]:
+                    return np.concatenate(starts), np.concatenate(ends), at, True
+            lo, size = hi, size * 2
+        if found is None:
+            return np.concatenate(starts), np.concatenate(ends), at, False
+        starts.append(np.array([at]))
+        ends.append(np.array([found]))
+        at = found
+
+
+def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool):
+    """``mapInArrow`` function over rows sorted by (chunk key, dt, lat, lon).
+
+    Emits the moved steps (kind 0) and, unless the track ends in it, one exit
+    per chunk and entry (kind 1, the anchor in ``ats, alat, alon``). A chunk
+    may stretch over batches: only its anchor is carried."""
+
+    def emit(key, kind, a, b):
+        n = len(a[0])
+        out = [pa.array(np.full(n, kind, np.int32))]
+        for value, field in zip(key, ("string", "int64", "bool_", "int64", "float64", "float64")):
+            out.append(pa.array([value] * n, getattr(pa, field)()))
+        out += [pa.array(a[0], pa.int64()), pa.array(a[1]), pa.array(a[2])]
+        out += ([pa.array(b[0], pa.int64()), pa.array(b[1]), pa.array(b[2])] if b else
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())])
+        return pa.record_batch(out, names=[part.split()[0] for part in SCAN_DDL.split(", ")])
 
     def scan(batches):
-        cur, anchor, dead = None, None, False
+        key, anchor, ended = None, None, False
         for batch in batches:
-            ids = batch.column("id").to_pylist()
-            chunks = batch.column("chunk").to_pylist()
-            es = batch.column("e").to_pylist()
-            ts = batch.column("ts").to_pylist()
-            lat = batch.column("lat").to_pylist()
-            lon = batch.column("lon").to_pylist()
-            out = empty()
-            for i in range(len(ids)):
-                key = (ids[i], chunks[i])
-                if key != cur:
-                    if cur is not None:
-                        put(out, 1, cur, anchor, dead=dead)
-                    cur, anchor, dead = key, None, False
-                row = (ts[i], lat[i], lon[i])
-                if es[i] == 0 or anchor is None:
-                    anchor = row
+            if not batch.num_rows:
+                continue
+            frame = batch.to_pydict()
+            keys = list(zip(*[frame[c] for c in _KEY]))
+            ts = batch.column("ts").to_numpy(zero_copy_only=False)
+            lat = batch.column("lat").to_numpy(zero_copy_only=False)
+            lon = batch.column("lon").to_numpy(zero_copy_only=False)
+            cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if keys[lo] != key:
+                    if key is not None and not ended:
+                        yield emit(key, 1, [[v] for v in anchor], None)
+                    key, ended = keys[lo], False
+                    anchor = key[3:] if key[2] else None
+                if ended:
                     continue
-                if dead:
-                    continue
-                t = float(row[0] - anchor[0])
-                if late(t):
-                    dead = True
-                    continue
-                d = haversine_py(anchor[1], anchor[2], row[1], row[2])
-                if far(d):
-                    continue
-                if abs(anchor[1] - row[1]) + abs(anchor[2] - row[2]) > 0:
-                    put(out, 0, cur, anchor, row, t, d, zero_time_velocity if t == 0 else d / (t / 3600))
-                anchor = row
-            yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
-        if cur is not None:
-            out = empty()
-            put(out, 1, cur, anchor, dead=dead)
-            yield pa.RecordBatch.from_pydict(out, schema=_ARROW)
+                row = [ts[lo:hi], lat[lo:hi], lon[lo:hi]]
+                if anchor is not None:
+                    row = [np.concatenate([np.array([v], dtype=c.dtype), c]) for v, c in zip(anchor, row)]
+                a, b, last, ended = follow(*row, time_limit, dist_limit, inclusive)
+                moved = np.abs(row[1][a] - row[1][b]) + np.abs(row[2][a] - row[2][b]) > 0
+                a, b = a[moved], b[moved]
+                if len(a):
+                    yield emit(key, 0, [c[a] for c in row], [c[b] for c in row])
+                anchor = (int(row[0][last]), float(row[1][last]), float(row[2][last]))
+        if key is not None and not ended:
+            yield emit(key, 1, [[v] for v in anchor], None)
     return scan
 
 
-def _scan(rows: DataFrame, entries: DataFrame, fn) -> DataFrame:
-    data = rows.select("id", "chunk", F.lit(1).alias("e"), "ts", "lat", "lon", "_dt")
-    ent = entries.select("id", "chunk", F.lit(0).alias("e"), "ts", "lat", "lon",
-                         F.timestamp_seconds("ts").alias("_dt"))
-    return (data.unionByName(ent)
-            .repartition("id", "chunk")
-            .sortWithinPartitions("id", "chunk", "e", "_dt", "lat", "lon")
-            .select("id", "chunk", "e", "ts", "lat", "lon")
-            .mapInArrow(fn, CHUNK_SCAN_DDL))
-
+def _same(columns: list[str], x: str, y: str) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{x}.{c}").eqNullSafe(F.col(f"{y}.{c}"))
+    return out
 
-def _exits(out: DataFrame) -> DataFrame:
-    return out.where(F.col("kind") == 1).select(
-        "id", "chunk",
-        F.when(~F.col("dead"), F.struct(F.col("ats").alias("ts"), F.col("alat").alias("lat"),
-                                        F.col("alon").alias("lon"))).alias("x_exit"),
-        F.col("dead").alias("x_dead"))
 
-
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def _reachable(edges: DataFrame, first: DataFrame) -> DataFrame:
+    """Nodes reachable from ``first`` (column ``node``) over ``edges``
+    (``node, next``, at most one edge per node), by pointer doubling."""
+    reached, jump = first, edges
+    while True:
+        more = intermediate(reached.join(jump, "node").select(F.col("next").alias("node"))
+                            .unionByName(reached).distinct(), "anchored-reached")
+        jump = intermediate(jump.alias("x").join(jump.alias("y"), F.col("x.next") == F.col("y.node"))
+                            .select(F.col("x.node").alias("node"), F.col("y.next").alias("next")), "anchored-jump")
+        reached = more
+        if jump.isEmpty():
+            return reached
 
 
 def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: float, inclusive: bool,
-                            zero_time_velocity: float, checkpoint_input: bool = True) -> DataFrame:
+                            zero_time_velocity: float) -> DataFrame:
     """Segments of the anchored rule for ``rows`` (``id, chunk, ts, lat, lon,
     _dt``); each id's first row is its anchor. Runs Spark actions (one scan
-    plus a few small fix-up rounds); the returned frame reads checkpoints."""
-    spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
-    fn = chunk_scanner(time_limit, dist_limit, inclusive, zero_time_velocity)
-    # callers pass a cheap filter over an already checkpointed table; checkpoint
-    # here only when asked, so rescans never recompute a long lineage
-    rows = rows.select("id", "chunk", "ts", "lat", "lon", "_dt")
-    if checkpoint_input:
-        rows = rows.checkpoint(eager=True)
-
-    # speculative entry of each chunk: the last row of the id's previous chunk
-    by_chunk = Window.partitionBy("id").orderBy("chunk")
-    last = rows.groupBy("id", "chunk").agg(F.max(F.struct("_dt", "lat", "lon", "ts")).alias("_last"))
-    spec = last.select("id", "chunk", F.lag("_last").over(by_chunk).alias("_prev"))
-    spec_entry = F.when(F.col("_prev").isNotNull(), F.struct(F.col("_prev.ts").alias("ts"),
-                                                              F.col("_prev.lat").alias("lat"),
-                                                              F.col("_prev.lon").alias("lon")))
-    spec = spec.select("id", "chunk", spec_entry.alias("entry"))
-    entries = spec.where(F.col("entry").isNotNull()).select("id", "chunk", "entry.ts", "entry.lat", "entry.lon")
-    out = _scan(rows, entries, fn).checkpoint(eager=True)
-    outs = [out.where(F.col("kind") == 0).withColumn("round", F.lit(0))]
-    state = (spec.join(_exits(out), ["id", "chunk"])
-             .select("id", "chunk", "entry", F.lit(False).alias("entry_dead"), "x_exit", "x_dead",
-                     F.lit(0).alias("round")))
-
-    by_id = Window.partitionBy("id")
-    suffix = None
-    for rnd in range(1, MAX_ROUNDS + 1):
-        prev_exit = F.lag("x_exit").over(by_chunk)
-        prev_dead = F.lag("x_dead").over(by_chunk)
-        first = F.lag("chunk").over(by_chunk).isNull()
-        st = state.select("*", prev_exit.alias("t_entry"), prev_dead.alias("_pd"), first.alias("_first"))
-        # a dead exit kills every later chunk of the id (tentatively, if its own entry may still change)
-        dead_from = F.min(F.when(F.col("_pd"), F.col("chunk"))).over(by_id)
-        st = st.withColumn("t_dead", dead_from.isNotNull() & (F.col("chunk") >= dead_from))
-        changed = ~F.col("_first") & (
-            (F.col("t_dead") != F.col("entry_dead"))
-            | (~F.col("t_dead") & ~_same(F.col("t_entry"), F.col("entry"))))
-        st = st.withColumn("changed", changed)   # cheap windows over the checkpointed state
-        if st.where(F.col("changed")).limit(1).count() == 0:
-            LAST_RUN["rounds"] = rnd - 1
-            break
-        if rnd > MAX_SPEC_ROUNDS:
-            # Speculation is not converging (e.g. two interleaved tracks under
-            # one id, each consistent on its own). Every chunk before an id's
-            # first changed chunk is final, and that chunk's entry is exact:
-            # finish each such id's remaining chunks with one sequential scan.
-            LAST_RUN["rounds"] = rnd - 1
-            first_bad = st.where(F.col("changed")).groupBy("id").agg(F.min("chunk").alias("c0"))
-            start = (st.join(first_bad, "id").where(F.col("chunk") == F.col("c0"))
-                     .where(~F.col("t_dead")).select("id", "c0", "t_entry"))
-            tail = (rows.join(start.select("id", "c0"), "id").where(F.col("chunk") >= F.col("c0"))
-                    .select("id", F.col("c0").alias("chunk"), "ts", "lat", "lon", "_dt"))
-            entries = start.select("id", F.col("c0").alias("chunk"), "t_entry.ts", "t_entry.lat", "t_entry.lon")
-            tail_out = _scan(tail, entries, fn).checkpoint(eager=True)
-            suffix = (first_bad, tail_out.where(F.col("kind") == 0))
+    per round and a few small joins); the returned frame reads written
+    tables."""
+    fn = chunk_scanner(time_limit, dist_limit, inclusive)
+    rows = intermediate(rows.select("id", "chunk", "ts", "lat", "lon", "_dt"), "anchored-rows")
+
+    by_id = Window.partitionBy("id").orderBy("chunk")
+    last = rows.groupBy("id", "chunk").agg(F.max(F.struct("_dt", "lat", "lon", "ts")).alias("last"))
+    chunks = intermediate(last.select("id", "chunk", F.lag("last").over(by_id).alias("before"),
+                                      F.lead("chunk").over(by_id).alias("following")), "anchored-chunks")
+    entries = chunks.select("id", "chunk", F.col("before").isNotNull().alias("entered"),
+                            F.col("before.ts").alias("ets"), F.col("before.lat").alias("elat"),
+                            F.col("before.lon").alias("elon"))
+    scans, maps, known = [], [], None
+    while True:
+        known = entries if known is None else known.unionByName(entries)
+        out = intermediate(rows.join(entries, ["id", "chunk"]).repartition(*_KEY)
+                           .sortWithinPartitions(*_KEY, "_dt", "lat", "lon")
+                           .select(*_KEY, "ts", "lat", "lon").mapInArrow(fn, SCAN_DDL), "anchored-scan")
+        scans.append(out.where("kind = 0"))
+        exits = (out.where("kind = 1").join(chunks.where("following is not null")
+                                            .select("id", "chunk", "following"), ["id", "chunk"])
+                 .select(F.struct(*_KEY).alias("node"),
+                         F.struct("id", F.col("following").alias("chunk"), F.lit(True).alias("entered"),
+                                  F.col("ats").alias("ets"), F.col("alat").alias("elat"),
+                                  F.col("alon").alias("elon")).alias("next")))
+        maps.append(exits)
+        fresh = exits.select("next.*").distinct()
+        entries = intermediate(fresh.alias("f").join(known.alias("k"), _same(_KEY, "f", "k"), "left_anti"),
+                               "anchored-entries")
+        if entries.isEmpty():
             break
-        todo = st.where(F.col("changed") & ~F.col("t_dead")).select("id", "chunk", "t_entry")
-        redo_rows = rows.join(todo.select("id", "chunk"), ["id", "chunk"], "left_semi")
-        out = _scan(redo_rows, todo.select("id", "chunk", "t_entry.ts", "t_entry.lat", "t_entry.lon"),
-                    fn).checkpoint(eager=True)
-        outs.append(out.where(F.col("kind") == 0).withColumn("round", F.lit(rnd)))
-        new = _exits(out).select("id", "chunk", F.col("x_exit").alias("n_exit"), F.col("x_dead").alias("n_dead"))
-        ch, dd = F.col("changed"), F.col("t_dead")
-        state = (st.join(new, ["id", "chunk"], "left").select(
-            "id", "chunk",
-            F.when(ch, F.col("t_entry")).otherwise(F.col("entry")).alias("entry"),
-            F.when(ch, dd).otherwise(F.col("entry_dead")).alias("entry_dead"),
-            F.when(ch & dd, F.lit(None)).when(ch, F.col("n_exit")).otherwise(F.col("x_exit")).alias("x_exit"),
-            F.when(ch & dd, F.lit(True)).when(ch, F.col("n_dead")).otherwise(F.col("x_dead")).alias("x_dead"),
-            F.when(ch, F.lit(rnd)).otherwise(F.col("round")).alias("round")))
-        if rnd % STATE_CHECKPOINT_EVERY == 0:
-            # the state is tiny and derived from checkpointed scans; cutting its
-            # lineage every few rounds keeps plans short in long fix-ups
-            state = state.checkpoint(eager=True)
-    else:
-        raise RuntimeError("anchored fix-up did not converge")
 
-    segs = outs[0]
-    for o in outs[1:]:
-        segs = segs.unionByName(o)
-    final = state.where(~F.col("entry_dead")).select("id", "chunk", "round")
-    keep = segs.join(final, ["id", "chunk", "round"], "left_semi")
-    cols = ["id", "alat", "alon", "blat", "blon", "ats", "bts", "time_s", "distance_km", "velocity_kmh"]
-    if suffix is not None:
-        first_bad, tail_segs = suffix
-        keep = (keep.join(first_bad, "id", "left")
-                .where(F.col("c0").isNull() | (F.col("chunk") < F.col("c0")))
-                .select(*cols).unionByName(tail_segs.select(*cols)))
-    return keep.select(
-        "id", "alat", "alon", "blat", "blon",
-        F.timestamp_seconds("ats").alias("adt"), F.timestamp_seconds("bts").alias("bdt"),
-        "time_s", "distance_km", "velocity_kmh")
+    edges, segments = maps[0], scans[0]
+    for m, s in zip(maps[1:], scans[1:]):
+        edges, segments = edges.unionByName(m), segments.unionByName(s)
+    first = known.where("not entered").select(F.struct(*_KEY).alias("node"))
+    passed = _reachable(edges, first).select("node.*")
+    kept = segments.alias("s").join(passed.alias("p"), _same(_KEY, "s", "p"), "left_semi")
+    adt, bdt = F.timestamp_seconds("ats"), F.timestamp_seconds("bts")
+    t = elapsed_seconds(adt, bdt).cast("double")
+    d = haversine_km("alat", "alon", "blat", "blon")
+    return kept.select("id", "alat", "alon", "blat", "blon", adt.alias("adt"), bdt.alias("bdt"),
+                       t.alias("time_s"), d.alias("distance_km"),
+                       speed_kmh(d, t, zero_time=zero_time_velocity).alias("velocity_kmh"))

@@ -26,16 +26,15 @@ from __future__ import annotations
 
 import math
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import EARTH_RADIUS_KM, Limits
+from ..config import Limits
 from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
-from ..session import ensure_checkpoint_dir
+from ..session import intermediate
 from .anchored_chunks import anchored_chunk_segments
-from .sequence import (BUCKET, DEFAULT_SPLIT_SECONDS, partition_by_bucket, resolve_split,
+from .sequence import (BUCKET, partition_by_bucket, resolve_split,
                        time_bucket, with_previous, with_previous_within)
 
 SEGMENT_SCHEMA = T.StructType([
@@ -53,7 +52,12 @@ SEGMENT_SCHEMA = T.StructType([
 SEGMENT_COLUMNS = SEGMENT_SCHEMA.fieldNames()
 
 ORDER = ["dt", "lat", "lon"]
-MAX_TAIL_SPLIT = 30 * 86400   # largest time limit served by the one-sort tail-copy pairing
+TAIL_SHARE = 4                # tail copies serve limits up to this fraction of a bucket
+
+
+def _finite(name: str) -> Column:
+    """The coordinate, null where it is infinite."""
+    return F.when(~F.abs(F.col(name)).eqNullSafe(F.lit(math.inf)), F.col(name)).alias(name)
 
 
 def _over(value: Column, limit: float, inclusive: bool) -> Column:
@@ -82,7 +86,7 @@ def _segment_projection(prev: str, zero_time_velocity: float) -> list[Column]:
 
 
 def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
-                         split_seconds: int | str = DEFAULT_SPLIT_SECONDS,
+                         split_seconds: int | str = "auto",
                          zero_time_velocity: float = math.inf) -> DataFrame:
     """Consecutive rule (every row becomes the next start).
 
@@ -92,13 +96,14 @@ def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
            .where(F.col("dt").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
     split = resolve_split(pts, split_seconds)
-    if limits.time_s <= MAX_TAIL_SPLIT:
+    if limits.time_s * TAIL_SHARE <= split:
         # pairs further apart than the time limit are never emitted, so each
-        # bucket only needs the previous bucket's last time-limit seconds; the
-        # bucket is widened to the limit when the limit is the larger
-        width = max(split, int(math.ceil(limits.time_s)))
-        paired = with_previous_within(pts, "id", ORDER, F.col("dt"), width, limits.time_s)
+        # bucket only needs the previous bucket's last time-limit seconds:
+        # at most a quarter of the rows is copied, and no join is needed
+        paired = with_previous_within(pts, "id", ORDER, F.col("dt"), split, limits.time_s)
     else:
+        # buckets follow the rows, not the limit: the last row of the nearest
+        # earlier bucket comes from a summary of one row per bucket
         paired = with_previous(pts, "id", ORDER, [], time_bucket(F.col("dt"), split))
     seg = paired.where(F.col("prev").isNotNull()).select(*_segment_projection("prev", zero_time_velocity))
     d, t, v = F.col("distance_km"), F.col("time_s"), F.col("velocity_kmh")
@@ -110,84 +115,9 @@ def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
 
 # --------------------------------------------------------------------- anchored
 
-def _anchored_scan(time_limit: float, dist_limit: float, inclusive: bool, zero_time_velocity: float):
-    """Sequential anchored scan over rows sorted by (id, dt, lat, lon).
-
-    Runs per partition on Arrow batches and carries the anchor across batch
-    boundaries, so no id has to fit in memory."""
-    r = EARTH_RADIUS_KM
-
-    def haversine(la1, lo1, la2, lo2):
-        if la1 < -90 and la2 > 90:
-            la2 -= 360
-        elif la2 < -90 and la1 > 90:
-            la1 -= 360
-        if lo1 < -90 and lo2 > 90:
-            lo2 -= 360
-        elif lo2 < -90 and lo1 > 90:
-            lo1 -= 360
-        dlat = math.radians(la2 - la1)
-        dlon = math.radians(lo2 - lo1)
-        a = (math.sin(dlat / 2) * math.sin(dlat / 2)
-             + math.cos(math.radians(la1)) * math.cos(math.radians(la2))
-             * math.sin(dlon / 2) * math.sin(dlon / 2))
-        a = min(max(a, 0.0), 1.0)
-        return r * (2 * math.atan2(math.sqrt(a), math.sqrt(1 - a)))
-
-    def late(t):
-        return t > time_limit if inclusive else t >= time_limit
-
-    def far(d):
-        return (d > dist_limit if inclusive else d >= dist_limit) and not math.isnan(d)
-
-    def scan(batches):
-        cur = None        # current id
-        anchor = None     # (ts, lat, lon)
-        dead = False
-        for batch in batches:
-            ids = batch.column("id").to_pylist()
-            ts = batch.column("ts").to_pylist()
-            lat = batch.column("lat").to_pylist()
-            lon = batch.column("lon").to_pylist()
-            out = {k: [] for k in ("id", "alat", "alon", "blat", "blon", "ats", "bts",
-                                   "time_s", "distance_km", "velocity_kmh")}
-            for i in range(len(ids)):
-                if ids[i] != cur:
-                    cur, anchor, dead = ids[i], (ts[i], lat[i], lon[i]), False
-                    continue
-                if dead:
-                    continue
-                t = float(ts[i] - anchor[0])
-                if late(t):
-                    dead = True
-                    continue
-                d = haversine(anchor[1], anchor[2], lat[i], lon[i])
-                if far(d):
-                    continue
-                if abs(anchor[1] - lat[i]) + abs(anchor[2] - lon[i]) > 0:
-                    out["id"].append(cur)
-                    out["alat"].append(anchor[1]); out["alon"].append(anchor[2])
-                    out["blat"].append(lat[i]); out["blon"].append(lon[i])
-                    out["ats"].append(anchor[0]); out["bts"].append(ts[i])
-                    out["time_s"].append(t); out["distance_km"].append(d)
-                    out["velocity_kmh"].append(zero_time_velocity if t == 0 else d / (t / 3600))
-                anchor = (ts[i], lat[i], lon[i])
-            yield pa.RecordBatch.from_pydict(out, schema=_SCAN_ARROW)
-    return scan
-
-
-_SCAN_ARROW = pa.schema([
-    ("id", pa.string()), ("alat", pa.float64()), ("alon", pa.float64()),
-    ("blat", pa.float64()), ("blon", pa.float64()), ("ats", pa.int64()), ("bts", pa.int64()),
-    ("time_s", pa.float64()), ("distance_km", pa.float64()), ("velocity_kmh", pa.float64()),
-])
-_SCAN_SCHEMA = ("id string, alat double, alon double, blat double, blon double, ats bigint, "
-                "bts bigint, time_s double, distance_km double, velocity_kmh double")
-
-
 def segments_anchored(points: DataFrame, limits: Limits = Limits(),
-                      split_seconds: int | str = DEFAULT_SPLIT_SECONDS,
-                      zero_time_velocity: float = -1.0, slow_path: str = "chunked") -> DataFrame:
+                      split_seconds: int | str = "auto",
+                      zero_time_velocity: float = -1.0) -> DataFrame:
     """Anchored rule (a rejected row does not become the next start).
 
     Plan: pair each good row with the previous good row (skew-safe window).
@@ -198,19 +128,18 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     pairs are final (native fast path). Only the stretch from the row before
     ``fd`` up to ``cut`` needs the sequential rule.
 
-    ``slow_path="chunked"`` (default) scans that stretch in parallel
-    ``(id, time bucket)`` chunks with speculative entry anchors and exact
-    fix-up rounds (``anchored_chunks``), so a hot id is split over many
-    tasks. ``slow_path="per_id"`` streams each id through one sorted Arrow
-    scan (one task per id). Both modes write the window-annotated rows once
-    to ``spark.checkpoint.dir`` (a Spark action at call time).
+    That stretch is evaluated as transfer maps of ``(id, time bucket)`` chunks
+    (``anchored_chunks``), so a hot id is split over many tasks. The annotated
+    rows are written once to the intermediate folder; this, the maps and
+    ``split_seconds="auto"`` run Spark actions at call time.
+
+    Infinite coordinates count as non-numeric; NaN never breaks a limit and
+    never counts as movement.
     """
-    if slow_path not in ("chunked", "per_id"):
-        raise ValueError("slow_path must be 'chunked' or 'per_id'")
     inclusive = True if limits.inclusive is None else bool(limits.inclusive)
     T_, D_ = float(limits.time_s), float(limits.distance_km)
 
-    pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
+    pts = (points.select(F.col("id").cast("string").alias("id"), "dt", _finite("lat"), _finite("lon"))
            .where(F.col("dt").isNotNull()))
     good = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     bucket = time_bucket(F.col("dt"), resolve_split(pts, split_seconds))
@@ -231,8 +160,7 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
          ).alias("_tail"))
     # written once: the summary, the pairing and both outputs read it, so the
     # data is shuffled and sorted once (without it each consumer re-sorts)
-    ensure_checkpoint_dir(x.sparkSession)
-    x = x.checkpoint(eager=True)
+    x = intermediate(x, "anchored-annotated")
 
     # per (id, bucket) summary from the flagged rows only (at most two per bucket):
     # the last good row carried into later buckets, and whether the id's very
@@ -279,17 +207,7 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     slow_in = (rows.where(F.col("fd").isNotNull() & before_cut & (me >= F.col("fd.anchor")))
                .select("id", F.col(BUCKET).alias("chunk"), F.unix_timestamp("dt").alias("ts"), "lat", "lon",
                        F.col("dt").alias("_dt")))
-    if slow_path == "chunked":
-        slow = anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity)
-        return fast.unionByName(slow)
-    slow = (slow_in.repartition("id")
-            .sortWithinPartitions("id", "_dt", "lat", "lon")
-            .select("id", "ts", "lat", "lon")
-            .mapInArrow(_anchored_scan(T_, D_, inclusive, zero_time_velocity), _SCAN_SCHEMA)
-            .select("id", "alat", "alon", "blat", "blon",
-                    F.timestamp_seconds("ats").alias("adt"), F.timestamp_seconds("bts").alias("bdt"),
-                    "time_s", "distance_km", "velocity_kmh"))
-    return fast.unionByName(slow)
+    return fast.unionByName(anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity))
 
 
 def count_segments(segments: DataFrame, by_id: bool = False) -> DataFrame:

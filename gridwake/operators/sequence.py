@@ -20,12 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
-DEFAULT_SPLIT_SECONDS = 7 * 86400
 
 
 def choose_split_seconds(points: DataFrame, key: str = "id", ts: str = "dt",
                          target_rows: int = 2_000_000, probe_seconds: int = 3600,
-                         min_seconds: int = 60, max_seconds: int = 30 * 86400) -> int:
+                         max_seconds: int = 365 * 86400) -> int:
     """Bucket width such that even the densest key's busiest stretch puts
     about ``target_rows`` rows into one bucket.
 
@@ -37,7 +36,7 @@ def choose_split_seconds(points: DataFrame, key: str = "id", ts: str = "dt",
     if not peak:
         return max_seconds
     width = int(probe_seconds * target_rows / peak)
-    return max(min_seconds, min(max_seconds, width))
+    return max(1, min(max_seconds, width))
 
 
 def resolve_split(points: DataFrame, split_seconds: int | str, key: str = "id", ts: str = "dt") -> int:

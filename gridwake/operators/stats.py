@@ -30,19 +30,25 @@ def _with_dt(df: DataFrame, from_ts: bool) -> DataFrame:
     return df.withColumn("dt", F.date_format("bucket_ts", LABEL_FORMAT)).drop("bucket_ts")
 
 
+def _cells(crossings: DataFrame, label_keys: bool) -> tuple[DataFrame, list[str], bool, list]:
+    """Frame, group keys, whether ``dt`` is rendered later, and the columns
+    that name a cell without being keys. With index keys the labels follow
+    from them; with ``label_keys`` (legacy: coarse rounded labels may merge
+    cells) the smallest indices stand for the merged ones."""
+    x, keys, from_ts = _keyed(crossings)
+    if label_keys:
+        return x, ["grid", "lat", "lon", keys[-1]], from_ts, [F.min("lat_idx").alias("lat_idx"),
+                                                              F.min("lon_idx").alias("lon_idx")]
+    return x, keys, from_ts, [F.min("lat").alias("lat"), F.min("lon").alias("lon")]
+
+
 def cell_stats(crossings: DataFrame, label_keys: bool = False) -> DataFrame:
     """One row per (grid, cell, time bucket): ``value`` (crossings),
     ``velocity`` (mean, -1 sentinels included), ``direction`` (arithmetic
     mean bearing truncated to int, so 359 and 1 give 180).
 
-    ``label_keys=True`` groups on the rounded labels instead of the indices
-    (legacy: coarse labels may merge cells)."""
-    x, keys, from_ts = _keyed(crossings)
-    if label_keys:
-        keys = ["grid", "lat", "lon", keys[-1]]
-        extra = [F.min("lat_idx").alias("lat_idx"), F.min("lon_idx").alias("lon_idx")]
-    else:
-        extra = [F.first("lat").alias("lat"), F.first("lon").alias("lon")]
+    ``label_keys=True`` groups on the rounded labels instead of the indices."""
+    x, keys, from_ts, extra = _cells(crossings, label_keys)
     out = (x.groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("value"),
                 F.avg("velocity").alias("velocity"),
@@ -65,27 +71,24 @@ def cell_direction(crossings: DataFrame) -> DataFrame:
     return cell_stats(crossings).select("grid", "lat_idx", "lon_idx", "lat", "lon", "dt", "direction")
 
 
-def cell_track_ids(crossings: DataFrame, sep: str = ",") -> DataFrame:
+def cell_track_ids(crossings: DataFrame, sep: str = ",", label_keys: bool = False) -> DataFrame:
     """Distinct track ids per cell and bucket, sorted and joined by ``sep``.
 
     One ``groupBy`` with ``collect_set``: duplicates are removed map-side
-    (partial aggregation) before the single shuffle, so a cell's list holds
-    each id once and its size is bounded by the distinct tracks in the cell
-    (the result itself)."""
-    x, keys, from_ts = _keyed(crossings)
-    out = (x.groupBy(*keys)
-           .agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"),
-                F.collect_set("track_id").alias("_ids"))
-           .select(*keys, "lat", "lon", F.size("_ids").cast("bigint").alias("n_tracks"),
+    (partial aggregation) before the single shuffle. The list is the result
+    asked for and one row long: with few large cells or ``temporal_split=
+    "all"`` use ``cell_track_pairs``, which holds one row per track instead."""
+    x, keys, from_ts, extra = _cells(crossings, label_keys)
+    out = (x.groupBy(*keys).agg(F.collect_set("track_id").alias("_ids"), *extra)
+           .select("grid", "lat_idx", "lon_idx", "lat", "lon", keys[-1],
+                   F.size("_ids").cast("bigint").alias("n_tracks"),
                    F.array_join(F.array_sort("_ids"), sep).alias("ids")))
     return _with_dt(out, from_ts)
 
 
-def cell_track_pairs(crossings: DataFrame) -> DataFrame:
+def cell_track_pairs(crossings: DataFrame, label_keys: bool = False) -> DataFrame:
     """Long form of the id lists: one row per (cell, bucket, track) with the
     number of crossings; no per-cell collection at all."""
-    x, keys, from_ts = _keyed(crossings)
-    out = (x.groupBy(*keys, "track_id")
-           .agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"),
-                F.count(F.lit(1)).alias("n_crossings")))
+    x, keys, from_ts, extra = _cells(crossings, label_keys)
+    out = x.groupBy(*keys, "track_id").agg(F.count(F.lit(1)).alias("n_crossings"), *extra)
     return _with_dt(out, from_ts)

@@ -77,7 +77,13 @@ def raster_plane(plane: DataFrame, precision: str = "exact") -> DataFrame:
     vertical = run == 0
     lo = F.when(vertical, F.least("y1", "y2")).otherwise(F.least("x1", "x2"))
     hi = F.when(vertical, F.greatest("y1", "y2")).otherwise(F.greatest("x1", "x2"))
-    e = p.select("*", F.explode(F.sequence(lo, hi)).alias("_s"))
+    # two explodes of at most TILE_BINS entries per array but the outer one, which
+    # counts blocks: a path across the world at level 18 has 2^17 blocks, not 2^25 bins
+    blocks = p.select("*", lo.alias("_lo"), hi.alias("_hi")).select(
+        "*", F.explode(F.sequence(F.floor(F.col("_lo") / TILE_BINS), F.floor(F.col("_hi") / TILE_BINS))).alias("_b"))
+    e = blocks.select("*", F.explode(F.sequence(F.greatest(F.col("_lo"), F.col("_b") * TILE_BINS),
+                                                F.least(F.col("_hi"), F.col("_b") * TILE_BINS + TILE_BINS - 1)))
+                      .alias("_s"))
     s = F.col("_s")
     if precision == "exact":
         e = e.withColumn("_num", (s - F.col("x1")) * (F.col("y2") - F.col("y1"))

@@ -8,6 +8,7 @@ arithmetic produces identical values; timestamps are rendered as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +19,13 @@ from ..functions.geo import bearing_deg, mercator_pixel, tile_of_pixel
 from ..functions.timefn import format_ts, temporal_bucket
 from ..operators.crossings import crossings, filter_segments_region
 from ..operators.paths import count_segments, segments_anchored, segments_consecutive
-from ..operators.stats import cell_stats, cell_track_ids
+from ..operators.stats import cell_stats, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
+from ..session import ensure_checkpoint_dir
+from ..sinks.writers import export_counts, write_stage, write_tiles
 from ..sources.events import event_lat, event_lon, events_path, points_from_events
-from ..sources.positions import (filter_region, normalise_positions, parse_text_lines,
-                                 to_points)
+from ..sources.positions import (filter_region, normalise_positions, parse_text_lines, points_from_table,
+                                 points_from_text, read_points, read_position_log, to_points)
 from .pipelines import (legacy_mercator_options, legacy_tripline_options, mercator_pipeline,
                         tripline_pipeline)
 
@@ -32,6 +35,7 @@ LIMITS_CONSECUTIVE = Limits(time_s=86400, distance_km=300, inclusive=False)
 LIMITS_VELOCITY = Limits(time_s=86400, distance_km=300, velocity_kmh=60.0, inclusive=False)
 WORLD = Region(-90.0, -360.0, 90.0, 180.0)
 GRID_FINE = Grid(0.1, 0.1, WORLD, "fine")
+GRID_MERGED = Grid(10.0, 10.0, WORLD, "merged")
 GRID_COARSE = Grid(1.0, 1.0, WORLD, "coarse")
 MULTI_GRIDS = (Grid(0.5, 0.5, WORLD, "half"), Grid(1.0, 1.0, Region(30.0, -200.0, 60.0, 180.0), "band"))
 POINT_REGION = Region(38.0, -90.0, 45.0, 90.0)
@@ -111,8 +115,89 @@ def q_region_points(spark, sf_dir):
         "id", format_ts("dt").alias("dt"), "lat", "lon")
 
 
+def q_text_points_unpadded(spark, sf_dir):
+    """Times written without leading zeros, with a blank or a T."""
+    ev = spark.read.parquet(events_path(sf_dir))
+    part = [F.date_format("ts", p).cast("int").cast("string") for p in ("yyyy", "M", "d", "H", "m", "s")]
+    stamp = F.concat(part[0], F.lit("-"), part[1], F.lit("-"), part[2],
+                     F.when(F.col("event_id") % 2 == 0, F.lit(" ")).otherwise(F.lit("T")),
+                     part[3], F.lit(":"), part[4], F.lit(":"), part[5], F.lit(".5"))
+    lines = ev.select(F.concat_ws("\t", F.col("user_id").cast("string"), stamp,
+                                  event_lat().cast("string"), event_lon().cast("string")).alias("value"))
+    parsed = parse_text_lines(lines, id_idx=0, lat_idx=2, lon_idx=3, datetime_idx=1)
+    return parsed.select("id", format_ts("dt").alias("dt"), "lat", "lon")
+
+
+def _folder(spark, name):
+    """A new folder for a query that writes and reads back."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_log_round_trip(spark, sf_dir):
+    """Raw log files written and read: names hold balanced and unbalanced
+    quotes, fields are padded with blanks."""
+    pts = _points(spark, sf_dir)
+    name = F.when(F.pmod(F.xxhash64("id", "dt"), F.lit(3)) == 0, F.lit('"FOO')).otherwise(F.lit('"a" b'))
+    line = F.concat_ws(",", F.lit("1"), F.concat(F.lit(' "'), F.col("id"), F.lit('" ')), name, F.lit("9"),
+                       F.col("lat").cast("string"), F.concat(F.lit(" "), F.col("lon").cast("string")),
+                       F.lit("0"), F.lit("0"), F.date_format("dt", "yyMMddHHmm"), F.lit('"x'), F.lit(""))
+    path = _folder(spark, "position-log")
+    pts.select(line.alias("value")).write.text(path)
+    out = to_points(normalise_positions(read_position_log(spark, path)), "mmsi", "dt", "latitude", "longitude")
+    return out.select("id", format_ts("dt").alias("dt"), "lat", "lon")
+
+
+def q_text_round_trip(spark, sf_dir):
+    """Tab-separated files written, then read through the pluggable reader."""
+    path = _folder(spark, "text-points")
+    _points(spark, sf_dir).select(F.concat_ws(
+        "\t", "id", F.date_format("dt", "yyyy-MM-dd"), F.date_format("dt", "HH:mm:ss.SSS"),
+        F.col("lat").cast("string"), F.col("lon").cast("string")).alias("value")).write.text(path)
+    out = read_points(spark, points_from_text, path=path, id_idx=0, date_idx=1, time_idx=2, lat_idx=3, lon_idx=4)
+    return out.select("id", format_ts("dt").alias("dt"), "lat", "lon")
+
+
+def q_table_points(spark, sf_dir):
+    """Named table with other column names; bad rows become nulls and stay."""
+    view = f"position_rows_{uuid.uuid4().hex}"
+    ev = spark.read.parquet(events_path(sf_dir))
+    bad = F.col("event_id") % 50 == 0
+    ev.select(F.col("user_id").alias("ship"), F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+                                                       F.lit('"')).alias("seen"),
+              F.when(bad, F.lit("n/a")).otherwise(event_lat().cast("string")).alias("y"),
+              event_lon().cast("string").alias("x")).createOrReplaceTempView(view)
+    out = points_from_table(spark, view, "ship", "seen", "y", "x")
+    return out.select("id", format_ts("dt").alias("dt"), "lat", "lon")
+
+
 # ------------------------------------------------------------------- paths
 
+def dirty_points(spark, sf_dir):
+    """Positions with NaN, infinite and missing coordinates and missing times
+    in fixed rows."""
+    k = F.col("event_id")
+    ev = spark.read.parquet(events_path(sf_dir))
+    lat = (F.when(k % 97 == 0, F.lit(float("nan"))).when(k % 103 == 0, F.lit(float("inf")))
+           .when(k % 107 == 0, F.lit(None)).otherwise(event_lat()))
+    lon = F.when(k % 101 == 0, F.lit(float("nan"))).when(k % 113 == 0, F.lit(None)).otherwise(event_lon())
+    return ev.select(F.col("user_id").cast("string").alias("id"),
+                     F.when(k % 109 != 0, F.date_trunc("second", "ts")).alias("dt"), lat.alias("lat"), lon.alias("lon"))
+
+
+def q_segments_dirty_consecutive(spark, sf_dir):
+    return _segment_out(segments_consecutive(dirty_points(spark, sf_dir), Limits(time_s=86400, inclusive=False)))
+
+
+def q_segments_dirty_anchored(spark, sf_dir):
+    return _segment_out(segments_anchored(dirty_points(spark, sf_dir), LIMITS_ANCHORED))
+
+
+def q_segments_anchored_interleaved(spark, sf_dir):
+    """Two tracks under one id: the anchor follows one of them only."""
+    pts = _points(spark, sf_dir).withColumn("id", F.expr("cast(cast(id as bigint) div 2 as string)"))
+    return _segment_out(segments_anchored(pts, LIMITS_ANCHORED, split_seconds=86400))
+
+
 def q_segments_consecutive(spark, sf_dir):
     return _segment_out(_consecutive(spark, sf_dir))
 
@@ -211,6 +296,28 @@ def q_cell_track_ids(spark, sf_dir):
     return cell_track_ids(_fine_crossings(spark, sf_dir)).select(*CELL_OUT, "n_tracks", "ids")
 
 
+def q_cell_track_pairs(spark, sf_dir):
+    return cell_track_pairs(_fine_crossings(spark, sf_dir)).select(*CELL_OUT, "track_id", "n_crossings")
+
+
+def q_count_export_round_trip(spark, sf_dir):
+    """Counts exported as tab-separated text with a header, and read back."""
+    path = _folder(spark, "count-export")
+    export_counts(_cells(spark, sf_dir), path)
+    back = spark.read.option("sep", "\t").option("header", True).csv(path)
+    return back.select(F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude"),
+                       F.col("count").cast("bigint").alias("n"), F.col("date").alias("dt"))
+
+
+def q_stage_round_trip(spark, sf_dir):
+    """A stage written twice over the same target; the second replaces the first."""
+    path = _folder(spark, "stage")
+    seg = _segment_out(_consecutive(spark, sf_dir))
+    write_stage(seg.limit(10), path)
+    write_stage(seg, path, partition_by=None)
+    return spark.read.parquet(path)
+
+
 def q_multi_grid_counts(spark, sf_dir):
     x = crossings(_consecutive(spark, sf_dir), list(MULTI_GRIDS), temporal_split="day")
     return cell_stats(x).select("grid", *CELL_OUT, "value")
@@ -257,8 +364,44 @@ def q_dense_tiles_summary(spark, sf_dir):
                     weighted.alias("checksum"))
 
 
+def q_tiles_round_trip(spark, sf_dir):
+    """Dense tile sets written per level and read back."""
+    path = _folder(spark, "tiles")
+    write_tiles(dense_tiles(bin_counts(bin_hits(_consecutive(spark, sf_dir), 2))), path, "hits", "all paths")
+    t = spark.read.parquet(path)
+    return t.select(F.col("level").cast("int").alias("level"), "tile_x", "tile_y", "name", "description",
+                    F.aggregate("bins", F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
 # ------------------------------------------------------------------- pipelines
 
+def _legacy(spark, sf_dir, grid):
+    return tripline_pipeline(_points(spark, sf_dir), legacy_tripline_options(limits=LIMITS_ANCHORED, grids=(grid,)))
+
+
+def q_pipeline_tripline_ids(spark, sf_dir):
+    return _legacy(spark, sf_dir, GRID_FINE)["track_ids"].select("lat", "lon", "dt", "n_tracks", "ids")
+
+
+def q_pipeline_tripline_velocity(spark, sf_dir):
+    return _legacy(spark, sf_dir, GRID_FINE)["velocity"].select("lat", "lon", "dt", r6("velocity").alias("velocity"))
+
+
+def q_pipeline_tripline_direction(spark, sf_dir):
+    return _legacy(spark, sf_dir, GRID_FINE)["direction"].select("lat", "lon", "dt", "direction")
+
+
+def q_pipeline_tripline_coarse(spark, sf_dir):
+    """Coarse rounded labels merge cells: one id list per label and bucket."""
+    return _legacy(spark, sf_dir, GRID_MERGED)["track_ids"].select("lat", "lon", "dt", "n_tracks", "ids")
+
+
+def q_pipeline_mercator_tiles(spark, sf_dir):
+    out = mercator_pipeline(_points(spark, sf_dir), legacy_mercator_options(limits=LIMITS_CONSECUTIVE, max_level=3))
+    return out["tiles"].select("level", "tile_x", "tile_y",
+                               F.aggregate("bins", F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
 def q_pipeline_tripline(spark, sf_dir):
     out = tripline_pipeline(_points(spark, sf_dir),
                             legacy_tripline_options(limits=LIMITS_ANCHORED, grids=(GRID_FINE,)))
@@ -303,4 +446,20 @@ QUERIES: dict[str, Query] = {
     "dense_tiles_summary": q_dense_tiles_summary,
     "pipeline_tripline": q_pipeline_tripline,
     "pipeline_mercator": q_pipeline_mercator,
+    "text_points_unpadded": q_text_points_unpadded,
+    "log_round_trip": q_log_round_trip,
+    "text_round_trip": q_text_round_trip,
+    "table_points": q_table_points,
+    "segments_dirty_consecutive": q_segments_dirty_consecutive,
+    "segments_dirty_anchored": q_segments_dirty_anchored,
+    "segments_anchored_interleaved": q_segments_anchored_interleaved,
+    "cell_track_pairs": q_cell_track_pairs,
+    "count_export_round_trip": q_count_export_round_trip,
+    "stage_round_trip": q_stage_round_trip,
+    "tiles_round_trip": q_tiles_round_trip,
+    "pipeline_tripline_ids": q_pipeline_tripline_ids,
+    "pipeline_tripline_velocity": q_pipeline_tripline_velocity,
+    "pipeline_tripline_direction": q_pipeline_tripline_direction,
+    "pipeline_tripline_coarse": q_pipeline_tripline_coarse,
+    "pipeline_mercator_tiles": q_pipeline_mercator_tiles,
 }

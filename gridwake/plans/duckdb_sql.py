@@ -49,6 +49,13 @@ def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"({d(6371.0)} * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
 
 
+def hav_nan(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """The distance, NaN where a coordinate is NaN (the engine orders NaN
+    above all numbers, so comparisons alone would not show it)."""
+    bad = " OR ".join(f"isnan({c})" for c in (lat1, lon1, lat2, lon2))
+    return f"(CASE WHEN {bad} THEN CAST('nan' AS DOUBLE) ELSE {hav(lat1, lon1, lat2, lon2)} END)"
+
+
 def bearing(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     r1, r2 = f"radians({lat1})", f"radians({lat2})"
     dl = f"radians({lon2} - {lon1})"
@@ -392,4 +399,82 @@ def build() -> dict[str, str]:
     Q["pipeline_mercator"] = with_(POINTS, mpts, consecutive(C.LIMITS_CONSECUTIVE, src="mpts", name="segm"),
                                    raster("segm", _levels(C.MAX_LEVEL), "pm", plane_offset=1, precision="float32")) + (
         " SELECT level, tile_x, tile_y, bin_x, bin_y, count(*) AS value FROM pm GROUP BY ALL")
+
+    # round trips give the rows back
+    Q["text_points_unpadded"] = Q["text_round_trip"] = Q["text_points"]
+    Q["log_round_trip"] = Q["normalise_positions"]
+    Q["table_points"] = with_(POINTS.replace("ts AS raw_ts", "event_id")) + (
+        f" SELECT id, {ts('dt')} AS dt, CASE WHEN event_id % 50 = 0 THEN NULL ELSE lat END AS lat, lon FROM pts")
+    Q["count_export_round_trip"] = with_(*cell_ctes) + (
+        " SELECT lat AS latitude, lon AS longitude, value AS n, dt FROM cells")
+    Q["stage_round_trip"] = Q["segments_consecutive"]
+    Q["tiles_round_trip"] = with_(*base_c, raster("segc", _levels(2), "bt")) + (
+        " SELECT level, tile_x, tile_y, 'hits' AS name, 'all paths' AS description,"
+        " CAST(count(*) AS DOUBLE) AS total FROM bt GROUP BY level, tile_x, tile_y")
+    Q["cell_track_pairs"] = with_(*base_c, fine) + (
+        " SELECT lat_idx, lon_idx, any_value(lat) AS lat, any_value(lon) AS lon, dt, track_id,"
+        " count(*) AS n_crossings FROM xf GROUP BY grid, lat_idx, lon_idx, dt, track_id")
+
+    pairs = "ipts AS (SELECT CAST(CAST(id AS BIGINT) // 2 AS VARCHAR) AS id, dt, lat, lon FROM pts)"
+    Q["segments_anchored_interleaved"] = with_(POINTS, pairs, anchored(C.LIMITS_ANCHORED, src="ipts", name="segi")) + (
+        f" SELECT {SEG_OUT} FROM segi")
+    nan, k = "CAST('nan' AS DOUBLE)", "event_id"
+    dirty = POINTS.replace("ts AS raw_ts", k).replace("pts AS", "raw AS") + f""",
+dpts AS (
+  SELECT id, CASE WHEN {k} % 109 <> 0 THEN dt END AS dt,
+         CASE WHEN {k} % 97 = 0 THEN {nan} WHEN {k} % 103 = 0 THEN {{inf}} WHEN {k} % 107 = 0 THEN NULL ELSE lat END AS lat,
+         CASE WHEN {k} % 101 = 0 THEN {nan} WHEN {k} % 113 = 0 THEN NULL ELSE lon END AS lon FROM raw
+)"""
+    good = "gpts AS (SELECT * FROM dpts WHERE dt IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL)"
+    # an infinite coordinate spoils its pairs like NaN
+    Q["segments_dirty_consecutive"] = with_(dirty.replace("{inf}", nan), good, """
+pr AS (
+  SELECT id, lag(dt) OVER w AS adt, lag(lat) OVER w AS alat, lag(lon) OVER w AS alon, dt AS bdt, lat AS blat, lon AS blon
+  FROM gpts WINDOW w AS (PARTITION BY id ORDER BY dt, lat, lon)
+)""", f"""
+ms AS (SELECT *, CAST(epoch(bdt) - epoch(adt) AS DOUBLE) AS time_s, {hav_nan('alat', 'alon', 'blat', 'blon')} AS distance_km
+       FROM pr WHERE adt IS NOT NULL)""", f"""
+sd AS (SELECT *, CASE WHEN time_s = 0 THEN {d(math.inf)} ELSE distance_km / (time_s / {d(3600.0)}) END AS velocity_kmh
+       FROM ms WHERE NOT isnan(distance_km) AND distance_km > 0 AND distance_km < {d(C.Limits().distance_km)}
+       AND time_s < {d(86400)})""") + f" SELECT {SEG_OUT} FROM sd"
+    # infinite counts as missing; NaN is never far and never moves; an id whose first row is bad has no track
+    lim = C.LIMITS_ANCHORED
+    reach = hav_nan("c.lat", "c.lon", "o.lat", "o.lon")
+    Q["segments_dirty_anchored"] = with_(dirty.replace("{inf}", "NULL"), """
+fr AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY dt, lat NULLS FIRST, lon NULLS FIRST) AS rn FROM dpts WHERE dt IS NOT NULL
+)""", f"""
+ch AS (
+  SELECT id, rn, dt, lat, lon, CAST(NULL AS TIMESTAMP) AS adt, CAST(NULL AS DOUBLE) AS alat, CAST(NULL AS DOUBLE) AS alon
+  FROM fr WHERE rn = 1 AND lat IS NOT NULL AND lon IS NOT NULL
+  UNION ALL
+  SELECT c.id, n.rn, n.dt, n.lat, n.lon, c.dt, c.lat, c.lon
+  FROM ch c JOIN LATERAL (
+    SELECT o.rn, o.dt, o.lat, o.lon FROM fr o
+    WHERE o.id = c.id AND o.rn > c.rn AND o.lat IS NOT NULL AND o.lon IS NOT NULL
+      AND (isnan({reach}) OR {reach} <= {d(lim.distance_km)})
+    ORDER BY o.rn LIMIT 1) n ON TRUE
+  WHERE CAST(epoch(n.dt) - epoch(c.dt) AS DOUBLE) <= {d(lim.time_s)}
+)""", f"""
+ma AS (
+  SELECT id, alat, alon, lat AS blat, lon AS blon, adt, dt AS bdt, CAST(epoch(dt) - epoch(adt) AS DOUBLE) AS time_s,
+         {hav_nan('alat', 'alon', 'lat', 'lon')} AS distance_km
+  FROM ch WHERE adt IS NOT NULL AND NOT isnan(abs(alat - lat) + abs(alon - lon)) AND abs(alat - lat) + abs(alon - lon) > 0
+)""", f"""
+sx AS (SELECT *, CASE WHEN time_s = 0 THEN {d(-1.0)} ELSE distance_km / (time_s / {d(3600.0)}) END AS velocity_kmh
+       FROM ma)""") + f" SELECT {SEG_OUT} FROM sx"
+
+    tri = with_(POINTS, sega, pipe_x)
+    ids = "count(DISTINCT track_id) AS n_tracks, string_agg(DISTINCT track_id, ',' ORDER BY track_id) AS ids"
+    Q["pipeline_tripline_ids"] = tri + f" SELECT lat, lon, dt, {ids} FROM xp GROUP BY lat, lon, dt"
+    Q["pipeline_tripline_velocity"] = tri + (
+        f" SELECT lat, lon, dt, {r6('avg(velocity)')} AS velocity FROM xp GROUP BY lat, lon, dt")
+    Q["pipeline_tripline_direction"] = tri + (
+        " SELECT lat, lon, dt, CAST(trunc(avg(direction)) AS INTEGER) AS direction FROM xp GROUP BY lat, lon, dt")
+    merged = crossings("sega", C.GRID_MERGED, "xg", split="hour", dateline="literal", digits="reference", origin_hit="drop")
+    Q["pipeline_tripline_coarse"] = with_(POINTS, sega, merged) + (
+        f" SELECT lat, lon, dt, {ids} FROM xg GROUP BY lat, lon, dt")
+    Q["pipeline_mercator_tiles"] = with_(POINTS, mpts, consecutive(C.LIMITS_CONSECUTIVE, src="mpts", name="segm"),
+                                         raster("segm", _levels(3), "pt", plane_offset=1, precision="float32")) + (
+        " SELECT level, tile_x, tile_y, CAST(count(*) AS DOUBLE) AS total FROM pt GROUP BY level, tile_x, tile_y")
     return Q

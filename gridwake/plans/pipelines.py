@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from ..config import Grid, Limits, Region
 from ..operators.crossings import crossings
 from ..operators.paths import segments_anchored, segments_consecutive
-from ..operators.sequence import DEFAULT_SPLIT_SECONDS
-from ..operators.stats import cell_stats, cell_track_ids
+from ..operators.stats import cell_stats, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
 from ..sources.positions import filter_region
 
@@ -22,13 +21,11 @@ PATH_MODES = ("anchored", "consecutive")
 
 
 def build_segments(points: DataFrame, limits: Limits, path_mode: str,
-                   split_seconds: int | str = DEFAULT_SPLIT_SECONDS,
-                   zero_time_velocity: float | None = None,
-                   anchored_slow_path: str = "chunked") -> DataFrame:
+                   split_seconds: int | str = "auto",
+                   zero_time_velocity: float | None = None) -> DataFrame:
     if path_mode == "anchored":
         return segments_anchored(points, limits, split_seconds,
-                                 -1.0 if zero_time_velocity is None else zero_time_velocity,
-                                 slow_path=anchored_slow_path)
+                                 -1.0 if zero_time_velocity is None else zero_time_velocity)
     if path_mode == "consecutive":
         return segments_consecutive(points, limits, split_seconds,
                                     math.inf if zero_time_velocity is None else zero_time_velocity)
@@ -44,8 +41,7 @@ class TriplineOptions:
     dateline: str = "short_way"
     digits: str = "exact"
     origin_hit: str = "keep"
-    split_seconds: int | str = DEFAULT_SPLIT_SECONDS
-    anchored_slow_path: str = "chunked"     # or "per_id"
+    split_seconds: int | str = "auto"
 
 
 def legacy_tripline_options(**overrides) -> TriplineOptions:
@@ -57,11 +53,11 @@ def legacy_tripline_options(**overrides) -> TriplineOptions:
 
 def tripline_pipeline(points: DataFrame, opts: TriplineOptions = TriplineOptions()) -> dict[str, DataFrame]:
     """points -> segments -> crossings -> per-cell count / velocity / direction / ids."""
-    seg = build_segments(points, opts.limits, opts.path_mode, opts.split_seconds,
-                         anchored_slow_path=opts.anchored_slow_path)
+    seg = build_segments(points, opts.limits, opts.path_mode, opts.split_seconds)
     x = crossings(seg, list(opts.grids), temporal_split=opts.temporal_split,
                   dateline=opts.dateline, digits=opts.digits, origin_hit=opts.origin_hit)
-    stats = cell_stats(x, label_keys=(opts.digits == "reference"))
+    labels = opts.digits == "reference"      # all tables share their keys
+    stats = cell_stats(x, label_keys=labels)
     keys = ["grid", "lat_idx", "lon_idx", "lat", "lon", "dt"]
     return {
         "segments": seg,
@@ -70,7 +66,8 @@ def tripline_pipeline(points: DataFrame, opts: TriplineOptions = TriplineOptions
         "counts": stats.select(*keys, "value"),
         "velocity": stats.select(*keys, "velocity"),
         "direction": stats.select(*keys, "direction"),
-        "track_ids": cell_track_ids(x),
+        "track_ids": cell_track_ids(x, label_keys=labels),
+        "track_pairs": cell_track_pairs(x, label_keys=labels),
     }
 
 
@@ -83,7 +80,7 @@ class MercatorOptions:
     plane_offset: int = 0
     precision: str = "exact"
     velocity_decay: float | None = None
-    split_seconds: int | str = DEFAULT_SPLIT_SECONDS
+    split_seconds: int | str = "auto"
 
 
 def legacy_mercator_options(**overrides) -> MercatorOptions:

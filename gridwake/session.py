@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 JIT_FLAGS = "-XX:-DontCompileHugeMethods"
@@ -40,23 +41,37 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The folder for checkpoints and intermediate tables.
 
-    On a cluster this setting names a shared (distributed) folder and is
-    used as is. Only when it is unset (local tests) a scratch folder is made.
-    """
+    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
+    and is used as is; without it this raises, since executors cannot share
+    the driver's own disk. Only a ``local`` master, where driver and executors
+    are one process, gets a scratch folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="gridwake-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def intermediate(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet into the checkpoint folder and read it back:
+    cuts the lineage, survives lost executors, prunes columns on reading, and
+    gives the planner true sizes. The files go when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -34,8 +34,11 @@ PointsReader = Callable[..., DataFrame]
 
 
 def read_position_log(spark: SparkSession, path: str) -> DataFrame:
-    """Raw comma-delimited log, no header, 11 text columns."""
-    return spark.read.schema(POSITION_LOG_SCHEMA).option("sep", ",").option("header", False).csv(path)
+    """Raw comma-delimited log, no header, 11 text columns. Commas alone
+    separate fields: a double quote is an ordinary character here
+    (``clean_fields`` removes it)."""
+    return (spark.read.schema(POSITION_LOG_SCHEMA).option("sep", ",").option("header", False)
+            .option("quote", "").option("escape", "").csv(path))
 
 
 def normalise_positions(log: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..config import EARTH_RADIUS_KM, Grid, Limits
+from ..config import Grid, Limits
+from ..functions.geo import great_circle_km
 from ..operators.crossings import crossings
 
 SEGMENT_DDL = ("id string, alat double, alon double, blat double, blon double, adt timestamp, "
@@ -28,21 +29,6 @@ SEGMENT_DDL = ("id string, alat double, alon double, blat double, blon double, a
 STATE_DDL = "ts long, lat double, lon double, late long"
 
 
-def _haversine(la1, lo1, la2, lo2):
-    """Vectorised twin of ``functions.geo.haversine_km`` (numpy arrays)."""
-    la1, lo1, la2, lo2 = (np.asarray(x, dtype="float64").copy() for x in (la1, lo1, la2, lo2))
-    for a, b in ((la1, la2), (lo1, lo2)):
-        m1 = (a < -90) & (b > 90)
-        m2 = ~m1 & (b < -90) & (a > 90)
-        b[m1] -= 360.0
-        a[m2] -= 360.0
-    dlat, dlon = np.radians(la2 - la1), np.radians(lo2 - lo1)
-    a = (np.sin(dlat / 2) * np.sin(dlat / 2)
-         + np.cos(np.radians(la1)) * np.cos(np.radians(la2)) * np.sin(dlon / 2) * np.sin(dlon / 2))
-    a = np.clip(a, 0.0, 1.0)
-    return EARTH_RADIUS_KM * (2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a)))
-
-
 def _connector(limits: Limits):
     inclusive = False if limits.inclusive is None else bool(limits.inclusive)
     T, D, V = float(limits.time_s), float(limits.distance_km), float(limits.velocity_kmh)
@@ -69,7 +55,7 @@ def _connector(limits: Limits):
             return
         a, b = seq.iloc[:-1].reset_index(drop=True), seq.iloc[1:].reset_index(drop=True)
         t = (b["ts"] - a["ts"]).astype("float64").to_numpy()
-        d = _haversine(a["lat"], a["lon"], b["lat"], b["lon"])
+        d = great_circle_km(a["lat"].to_numpy(), a["lon"].to_numpy(), b["lat"].to_numpy(), b["lon"].to_numpy())
         with np.errstate(divide="ignore", invalid="ignore"):
             v = np.where(t == 0, math.inf, d / (t / 3600.0))
         ok = (d > 0) & within(d, D) & within(t, T)

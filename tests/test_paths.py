@@ -221,10 +221,90 @@ def test_anchored_outlier_at_every_chunk_boundary(points):
     # a stationary id and one that dies in the middle
     rows += [("y", i * 100, 5.0, 5.0) for i in range(30)]
     rows += [("z", i * 100, 1.0 + 0.01 * i, 1.0) for i in range(10)] + [("z", 5000 + i * 100, 1.0, 1.0) for i in range(10)]
-    from gridwake.operators import anchored_chunks
-    for split, path in ((1000, "chunked"), (1000, "per_id")):
-        got = segments_anchored(points(rows), Limits(time_s=1500.0, distance_km=50.0),
-                                split_seconds=split, slow_path=path)
+    got = segments_anchored(points(rows), Limits(time_s=1500.0, distance_km=50.0), split_seconds=1000)
+    g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+    assert g == loop_anchored(rows, 1500.0, 50.0)
+
+
+def interleaved(tracks, n, step=60):
+    """Rows of several far apart tracks under one id, one after the other."""
+    return [("m", i * step, 10.0 * (i % tracks) + 0.001 * i, 20.0) for i in range(n)]
+
+
+def test_interleaved_tracks_over_many_chunks(points):
+    for tracks, n in ((2, 400), (3, 300)):
+        rows = interleaved(tracks, n) + [("o", i * 60, 1.0 + 0.001 * i + (50 if i % 17 == 5 else 0), 3.0) for i in range(200)]
+        got = segments_anchored(points(rows), Limits(time_s=3600.0, distance_km=300.0), split_seconds=600)
         g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
-        assert g == loop_anchored(rows, 1500.0, 50.0)
-    assert anchored_chunks.LAST_RUN["rounds"] >= 1
+        assert g == loop_anchored(rows, 3600.0, 300.0)
+
+
+def test_no_scan_sees_more_than_one_chunk(points, monkeypatch):
+    """Interleaved tracks are scanned chunk by chunk, never in one group."""
+    from gridwake.operators import anchored_chunks as ac
+    scanned = []
+    real = ac.intermediate
+
+    def spy(df, label):
+        out = real(df, label)
+        if label == "anchored-entries":
+            scanned.append(out.count())
+        return out
+    monkeypatch.setattr(ac, "intermediate", spy)
+    rows = interleaved(2, 4000)
+    got = segments_anchored(points(rows), Limits(time_s=3600.0, distance_km=300.0), split_seconds=3600)
+    chunks = 4000 * 60 // 3600 + 1
+    assert got.count() == len(loop_anchored(rows, 3600.0, 300.0))
+    assert sum(scanned) <= 2 * chunks and len(scanned) <= 5     # rounds follow the tracks, not the chunks
+
+
+def test_follow_equals_the_row_loop():
+    import numpy as np
+    from gridwake.operators.anchored_chunks import follow
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        n = int(rng.integers(1, 120))
+        ts = np.sort(rng.integers(0, 6000, n))
+        lat = np.cumsum(rng.normal(0, 0.05, n)) + 20 * (rng.random(n) < 0.3)
+        lon = np.where(rng.random(n) < 0.05, np.nan, np.cumsum(rng.normal(0, 0.05, n)))
+        a, b, last, ended = follow(ts, lat, lon, 900.0, 60.0, True)
+        from gridwake.functions.geo import great_circle_km
+        at, steps, dead = 0, [], False
+        for i in range(1, n):
+            if ts[i] - ts[at] > 900:
+                dead = True
+                break
+            if great_circle_km(lat[at], lon[at], lat[i], lon[i]) > 60:
+                continue
+            steps.append((at, i))
+            at = i
+        assert list(zip(a.tolist(), b.tolist())) == steps and last == at and ended == dead
+
+
+def test_dense_id_is_split_by_rows_not_by_the_limit(spark, points):
+    """One id, one day, a limit of a day: several tasks, equal results."""
+    from pyspark.sql import functions as F
+    n = 20000
+    dense = spark.range(n).select(F.lit("d").alias("id"), F.timestamp_seconds(F.col("id") * 4).alias("dt"),
+                                  (F.col("id") * 0.0001).alias("lat"), F.lit(5.0).alias("lon"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = segments_consecutive(dense, Limits(time_s=86400.0, distance_km=50.0), split_seconds=3600)
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() >= 5
+        whole = segments_consecutive(dense, Limits(time_s=86400.0, distance_km=50.0), split_seconds=10 ** 7)
+        assert got.count() == whole.count() == n - 1
+        assert got.exceptAll(whole).count() == 0
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_nan_and_infinite_coordinates(points):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", 0, 1.0, 1.0), ("a", 60, nan, 1.0), ("a", 120, 1.1, 1.0), ("a", 180, inf, 1.0), ("a", 240, 1.2, 1.0),
+            ("b", 0, 1.0, 1.0), ("b", 60, 1.0, -inf), ("b", 120, 1.1, 1.0), ("b", 180, 70.0, 1.0), ("b", 240, 1.2, 1.0)]
+    far = segments_consecutive(points(rows), Limits(time_s=86400.0)).collect()
+    assert sorted((r.id, r.alat, r.blat) for r in far) == [("b", 1.1, 70.0), ("b", 70.0, 1.2)]
+    got = segments_anchored(points(rows), Limits(time_s=86400.0, distance_km=300.0)).collect()
+    assert sorted((r.id, r.alat, r.blat) for r in got) == [("a", 1.1, 1.2), ("b", 1.0, 1.1), ("b", 1.1, 1.2)]
