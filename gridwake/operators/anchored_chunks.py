@@ -8,12 +8,14 @@ late). Maps are evaluated where they are needed and then composed:
 
 1. *Explore.* Every chunk is scanned from the last row of the id's previous
    chunk (the first chunk: from its own first row, which is exact). Each exit
-   found is an entry of the next chunk; entries a chunk was not scanned with
-   yet are scanned in the next round, all chunks at once. Tracks interleaved
-   under one id lead to as many entries per chunk as there are tracks, and
-   chains that meet share their exits, so the maps close after a few rounds;
-   the loop ends when no new (chunk, entry) pair appears. Every scan handles
-   one chunk's rows, whatever the shape of the tracks.
+   found is an entry of the next chunk, and so is, to begin with, every row
+   among a chunk's last ones that ends a chain of rows in reach of each other
+   (one per track interleaved under the id). Entries a chunk was not scanned
+   with yet are scanned in the next round, all chunks at once. Chains that
+   meet share their exits, so the maps close after a few rounds; the loop ends
+   when no new (chunk, entry) pair appears. What is tried first decides the
+   number of rounds, never the result, and every scan handles one chunk's
+   rows, whatever the shape of the tracks.
 2. *Compose.* The pairs that the real track passes are those reachable from
    each id's first chunk. Pointer doubling finds them in log2(chunks)
    equi-joins over the map table (a few rows per chunk).
@@ -42,6 +44,7 @@ SCAN_DDL = ("kind int, id string, chunk bigint, entered boolean, ets bigint, ela
             "ats bigint, alat double, alon double, bts bigint, blat double, blon double")
 _KEY = ["id", "chunk", "entered", "ets", "elat", "elon"]
 SEARCH_BLOCK = 32
+END_ROWS = 2048           # last rows of a chunk in which ends of chains are looked for
 
 
 def follow(ts: np.ndarray, lat: np.ndarray, lon: np.ndarray, time_limit: float, dist_limit: float,
@@ -89,12 +92,27 @@ def follow(ts: np.ndarray, lat: np.ndarray, lon: np.ndarray, time_limit: float,
         at = found
 
 
-def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool):
+def chain_ends(lat: np.ndarray, lon: np.ndarray, dist_limit: float) -> list[int]:
+    """Rows that have an earlier row in reach but no later one: the ends of
+    chains, one per track that passes here. Rows near an end are skipped."""
+    left, ends = np.ones(len(lat), dtype=bool), []
+    while left.any():
+        i = int(np.flatnonzero(left)[-1])
+        near = great_circle_km(lat[i], lon[i], lat, lon) <= dist_limit
+        if near[:i].any() and not near[i + 1:].any():
+            ends.append(i)
+        left &= ~near
+        left[i] = False
+    return ends
+
+
+def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool, ends: bool):
     """``mapInArrow`` function over rows sorted by (chunk key, dt, lat, lon).
 
     Emits the moved steps (kind 0) and, unless the track ends in it, one exit
-    per chunk and entry (kind 1, the anchor in ``ats, alat, alon``). A chunk
-    may stretch over batches: only its anchor is carried."""
+    per chunk and entry (kind 1, the anchor in ``ats, alat, alon``); with
+    ``ends`` also the ends of chains among each chunk's last rows (kind 2). A
+    chunk may stretch over batches: only its anchor and last rows are carried."""
 
     def emit(key, kind, a, b):
         n = len(a[0])
@@ -106,8 +124,16 @@ def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool):
                 [pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())])
         return pa.record_batch(out, names=[part.split()[0] for part in SCAN_DDL.split(", ")])
 
+    def close(key, anchor, ended, tail):
+        if not ended:
+            yield emit(key, 1, [[v] for v in anchor], None)
+        if ends:
+            at = chain_ends(tail[1], tail[2], dist_limit)
+            if at:
+                yield emit(key, 2, [c[at] for c in tail], None)
+
     def scan(batches):
-        key, anchor, ended = None, None, False
+        key, anchor, ended, tail = None, None, False, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -119,13 +145,16 @@ def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool):
             cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if keys[lo] != key:
-                    if key is not None and not ended:
-                        yield emit(key, 1, [[v] for v in anchor], None)
-                    key, ended = keys[lo], False
+                    if key is not None:
+                        yield from close(key, anchor, ended, tail)
+                    key, ended, tail = keys[lo], False, None
                     anchor = key[3:] if key[2] else None
+                row = [ts[lo:hi], lat[lo:hi], lon[lo:hi]]
+                if ends:
+                    kept = [c[:0] for c in row] if tail is None else tail
+                    tail = [np.concatenate([t, c])[-END_ROWS:] for t, c in zip(kept, row)]
                 if ended:
                     continue
-                row = [ts[lo:hi], lat[lo:hi], lon[lo:hi]]
                 if anchor is not None:
                     row = [np.concatenate([np.array([v], dtype=c.dtype), c]) for v, c in zip(anchor, row)]
                 a, b, last, ended = follow(*row, time_limit, dist_limit, inclusive)
@@ -134,8 +163,8 @@ def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool):
                 if len(a):
                     yield emit(key, 0, [c[a] for c in row], [c[b] for c in row])
                 anchor = (int(row[0][last]), float(row[1][last]), float(row[2][last]))
-        if key is not None and not ended:
-            yield emit(key, 1, [[v] for v in anchor], None)
+        if key is not None:
+            yield from close(key, anchor, ended, tail)
     return scan
 
 
@@ -166,7 +195,6 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
     _dt``); each id's first row is its anchor. Runs Spark actions (one scan
     per round and a few small joins); the returned frame reads written
     tables."""
-    fn = chunk_scanner(time_limit, dist_limit, inclusive)
     rows = intermediate(rows.select("id", "chunk", "ts", "lat", "lon", "_dt"), "anchored-rows")
 
     by_id = Window.partitionBy("id").orderBy("chunk")
@@ -178,19 +206,20 @@ def anchored_chunk_segments(rows: DataFrame, time_limit: float, dist_limit: floa
                             F.col("before.lon").alias("elon"))
     scans, maps, known = [], [], None
     while True:
+        scanner = chunk_scanner(time_limit, dist_limit, inclusive, ends=known is None)
         known = entries if known is None else known.unionByName(entries)
         out = intermediate(rows.join(entries, ["id", "chunk"]).repartition(*_KEY)
                            .sortWithinPartitions(*_KEY, "_dt", "lat", "lon")
-                           .select(*_KEY, "ts", "lat", "lon").mapInArrow(fn, SCAN_DDL), "anchored-scan")
+                           .select(*_KEY, "ts", "lat", "lon").mapInArrow(scanner, SCAN_DDL), "anchored-scan")
         scans.append(out.where("kind = 0"))
-        exits = (out.where("kind = 1").join(chunks.where("following is not null")
+        leads = (out.where("kind > 0").join(chunks.where("following is not null")
                                             .select("id", "chunk", "following"), ["id", "chunk"])
-                 .select(F.struct(*_KEY).alias("node"),
+                 .select("kind", F.struct(*_KEY).alias("node"),
                          F.struct("id", F.col("following").alias("chunk"), F.lit(True).alias("entered"),
                                   F.col("ats").alias("ets"), F.col("alat").alias("elat"),
                                   F.col("alon").alias("elon")).alias("next")))
-        maps.append(exits)
-        fresh = exits.select("next.*").distinct()
+        maps.append(leads.where("kind = 1").select("node", "next"))
+        fresh = leads.select("next.*").distinct()
         entries = intermediate(fresh.alias("f").join(known.alias("k"), _same(_KEY, "f", "k"), "left_anti"),
                                "anchored-entries")
         if entries.isEmpty():
