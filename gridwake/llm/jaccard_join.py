@@ -284,7 +284,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .select("left", "right"))
 
     wanted = assigned.select("rep", "block").distinct()
-    tokens = (base.join(wanted, base["doc_id"].eqNullSafe(wanted["rep"])).select("text", "block")
+    # always a shuffle join: the wanted ids grow with the input
+    tokens = (base.join(wanted.hint("merge"), base["doc_id"].eqNullSafe(wanted["rep"])).select("text", "block")
               .mapInArrow(_token_sets(words), "block long, d1 long, d2 long, tokens binary")
               .dropDuplicates(["block", "d1", "d2"])
               .join(assigned.select("block", "d1", "d2", "copies"), ["block", "d1", "d2"]))
