@@ -43,7 +43,7 @@ from .components import connected_components
 from .tables import materialise
 from .textunits import ASCII_SPACE, LOWER, Texts, Units, mix64, shingle_sets, text_slices
 
-BLOCK_CLASSES = 32
+BLOCK_CLASSES = 128
 BLOCK_TOKENS = 1 << 16
 SHARED_CELLS = 2
 _U = np.uint64
