@@ -1,11 +1,13 @@
 """End-to-end plans: the tripline pipeline (cells x time buckets) and the
-Mercator pipeline (tile pyramids). Each returns lazy DataFrames; the caller
-decides which ones to write, so the shared prefix is planned once per
-action and can be persisted when several outputs are written."""
+Mercator pipeline (tile pyramids). ``tripline_pipeline`` and
+``mercator_pipeline`` return DataFrames, and the caller decides which ones to
+write; ``write_tripline`` and ``write_mercator`` write all outputs in one run
+that shares its work."""
 
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -15,6 +17,7 @@ from ..operators.crossings import crossings
 from ..operators.paths import segments_anchored, segments_consecutive
 from ..operators.stats import cell_stats, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
+from ..sinks.writers import write_cell_tables, write_stage, write_tiles
 from ..sources.positions import filter_region
 
 PATH_MODES = ("anchored", "consecutive")
@@ -54,14 +57,25 @@ def legacy_tripline_options(**overrides) -> TriplineOptions:
 def tripline_pipeline(points: DataFrame, opts: TriplineOptions = TriplineOptions()) -> dict[str, DataFrame]:
     """points -> segments -> crossings -> per-cell count / velocity / direction / ids."""
     seg = build_segments(points, opts.limits, opts.path_mode, opts.split_seconds)
-    x = crossings(seg, list(opts.grids), temporal_split=opts.temporal_split,
-                  dateline=opts.dateline, digits=opts.digits, origin_hit=opts.origin_hit)
+    x = _grid_crossings(seg, opts)
+    return {"segments": seg, "crossings": x, **_cell_tables(x, opts)}
+
+
+def _grid_crossings(seg: DataFrame, opts: TriplineOptions) -> DataFrame:
+    if opts.dateline == "short_way":
+        for grid in opts.grids:
+            if min(grid.region.lon_min, grid.region.lon_max) > -360.0 and grid.region.lon_max >= 180.0:
+                warnings.warn(f"grid {grid.name!r}: paths routed over the antimeridian reach longitudes below -180; "
+                              f"its region begins at {grid.region.lon_min} and clips their crossings", stacklevel=3)
+    return crossings(seg, list(opts.grids), temporal_split=opts.temporal_split,
+                     dateline=opts.dateline, digits=opts.digits, origin_hit=opts.origin_hit)
+
+
+def _cell_tables(x: DataFrame, opts: TriplineOptions) -> dict[str, DataFrame]:
     labels = opts.digits == "reference"      # all tables share their keys
     stats = cell_stats(x, label_keys=labels)
     keys = ["grid", "lat_idx", "lon_idx", "lat", "lon", "dt"]
     return {
-        "segments": seg,
-        "crossings": x,
         "cell_stats": stats,
         "counts": stats.select(*keys, "value"),
         "velocity": stats.select(*keys, "velocity"),
@@ -71,6 +85,20 @@ def tripline_pipeline(points: DataFrame, opts: TriplineOptions = TriplineOptions
     }
 
 
+def write_tripline(points: DataFrame, base_path: str, opts: TriplineOptions = TriplineOptions()) -> dict[str, str]:
+    """Write every table of the tripline pipeline under ``base_path`` in one
+    run: segments and crossings are written once and each later table starts
+    from what is written. Returns the paths."""
+    spark, base = points.sparkSession, base_path.rstrip("/")
+    paths = {n: f"{base}/{n}" for n in ("segments", "crossings", "track_pairs", "track_ids")}
+    write_stage(build_segments(points, opts.limits, opts.path_mode, opts.split_seconds), paths["segments"])
+    write_stage(_grid_crossings(spark.read.parquet(paths["segments"]), opts), paths["crossings"])
+    tables = _cell_tables(spark.read.parquet(paths["crossings"]), opts)
+    for name in ("track_pairs", "track_ids"):
+        write_stage(tables[name], paths[name])
+    return paths | write_cell_tables(tables["cell_stats"], base)
+
+
 @dataclass(frozen=True)
 class MercatorOptions:
     limits: Limits = field(default_factory=lambda: Limits(inclusive=False))
@@ -99,3 +127,19 @@ def mercator_pipeline(points: DataFrame, opts: MercatorOptions = MercatorOptions
     counts = bin_counts(hits)
     return {"points": pts, "segments": seg, "bin_hits": hits, "bin_counts": counts,
             "tiles": dense_tiles(counts)}
+
+
+def write_mercator(points: DataFrame, base_path: str, opts: MercatorOptions = MercatorOptions(), name: str = "tiles",
+                   description: str = "") -> dict[str, str]:
+    """Write the segments, the sparse bin counts and the dense tile sets under
+    ``base_path`` in one run, each from the one before it. Returns the paths."""
+    spark, base = points.sparkSession, base_path.rstrip("/")
+    paths = {n: f"{base}/{n}" for n in ("segments", "bin_counts", "tiles")}
+    opts.region.validate()
+    write_stage(build_segments(filter_region(points, opts.region), opts.limits, opts.path_mode, opts.split_seconds),
+                paths["segments"])
+    hits = bin_hits(spark.read.parquet(paths["segments"]), opts.max_level, opts.plane_offset, opts.precision,
+                    opts.limits.velocity_kmh, opts.velocity_decay)
+    write_stage(bin_counts(hits), paths["bin_counts"])
+    write_tiles(dense_tiles(spark.read.parquet(paths["bin_counts"])), paths["tiles"], name, description)
+    return paths

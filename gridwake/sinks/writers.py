@@ -1,4 +1,4 @@
-"""Writers. These are the only places that run Spark actions."""
+"""Writers: each call runs its Spark job."""
 
 from __future__ import annotations
 

@@ -84,3 +84,38 @@ def test_sinks(spark):
     assert {"level=1", "level=2"} <= set(os.listdir(os.path.join(d, "tiles")))
     back = spark.read.parquet(os.path.join(d, "tiles"))
     assert back.where("level = 2").first().name == "demo"
+
+
+def test_log_keeps_rows_with_unbalanced_quotes(spark, tmp_path):
+    from gridwake.sources.positions import normalise_positions, read_position_log, to_points
+    (tmp_path / "log.csv").write_text('1,366,"FOO,9,30.1,-70.5,0,0,2401021530,d,e\n'
+                                      '1," 367 ",a "b" c,9," 30.2 ",-70.6,0,0,2401021531,"x,e\n')
+    pts = to_points(normalise_positions(read_position_log(spark, str(tmp_path))), "mmsi", "dt", "latitude", "longitude")
+    assert sorted((r.id, r.lat, r.lon) for r in pts.collect()) == [("366", 30.1, -70.5), ("367", 30.2, -70.6)]
+
+
+def test_unpadded_and_impossible_times(spark):
+    from gridwake.functions.timefn import format_ts, parse_dt
+    rows = [("2024-1-5 3:04:05",), ("2024-01-05T03:4:5.250",), ("2024-02-30 00:00:00",), ("24-1-5 3:04:05",), ("",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(format_ts(parse_dt("t"))).collect()]
+    assert got == ["2024-01-05 03:04:05", "2024-01-05 03:04:05", None, None, None, None]
+
+
+def test_intermediate_tables_need_a_shared_folder_on_a_cluster():
+    import pytest
+    from gridwake.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
