@@ -126,10 +126,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(same / F.when(either > 0, either))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """Add ``next_<c>`` for each column of ``carried`` (which includes
-    ``text``): the values of the row that follows in (doc_id, text) order;
-    after the last row comes the first. Null for rows without an id."""
+def with_next(docs: DataFrame, derived: dict[str, Column]) -> DataFrame:
+    """Add the columns ``derived`` from ``doc_id, text``, and ``next_text`` and
+    ``next_<name>`` of each: the values of the row that follows in (doc_id,
+    text) order; after the last row comes the first. Null for rows without
+    an id."""
     lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
     width = max(1, (int(hi) - int(lo) + 1) * BUCKET_ROWS // n) if n else 1
     start = int(lo) if n else 0
@@ -148,17 +149,15 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
                   F.lag("_bucket").over(Window.partitionBy("_range").orderBy("_bucket")), "_before", last)
                   .alias("_to")))
 
-    names = ["doc_id", "text", *[c for c in carried if c != "text"]]
     heads = (rows.where(F.col("doc_id").isNotNull()).groupBy("_bucket")
-             .agg(F.min(F.struct(*names)).alias("_head")).join(before, "_bucket")
-             .select(*[F.col("_head")[c].alias(c) for c in names], F.col("_to").alias("_bucket"),
-                     F.lit(1).alias("_lent")))
-    every = (rows.select(*names, F.coalesce("_bucket", -1 - F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
+             .agg(F.min(F.struct("doc_id", "text")).alias("_head")).join(before, "_bucket")
+             .select("_head.doc_id", "_head.text", F.col("_to").alias("_bucket"), F.lit(1).alias("_lent")))
+    every = (rows.select("doc_id", "text", F.coalesce("_bucket", -1 - F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
                          .alias("_bucket"), F.lit(0).alias("_lent"))
-             .unionByName(heads))
+             .unionByName(heads).withColumns(derived))       # derived once per row, before the shuffle
     w = Window.partitionBy("_bucket").orderBy("_lent", "doc_id", "text")
     return (every.select("*", *[F.when(F.col("doc_id").isNotNull(), F.lead(c).over(w)).alias(f"next_{c}")
-                                for c in carried])
+                                for c in ("text", *derived)])
             .where("_lent = 0").drop("_bucket", "_lent"))
 
 
@@ -170,8 +169,7 @@ def order_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near_edited, near_next``, one row per input row."""
     base = docs.select(F.col(id_col).alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("cells", signature(F.col("text")))
-    paired = with_next(base, ["text", "cells"])
+    paired = with_next(base, {"cells": signature(F.col("text"))})
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.left("text", n - quarter), F.left(F.coalesce("next_text", F.lit("")), quarter))
