@@ -14,12 +14,15 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from gridwake.plans import catalog  # noqa: E402
+from gridwake.plans import TriplineOptions, catalog  # noqa: E402
+from gridwake.plans.pipelines import write_tripline  # noqa: E402
 from gridwake.session import build_session  # noqa: E402
+from gridwake.sources.events import read_event_points  # noqa: E402
 
 HEADLINE = [
     "segments_consecutive",
@@ -32,11 +35,23 @@ HEADLINE = [
     "dense_tiles_summary",
     "pipeline_tripline",
     "pipeline_mercator",
+    "segments_anchored_interleaved",
+    "write_tripline",
 ]
 
 
-def run(df) -> None:
-    df.write.format("noop").mode("overwrite").save()
+def write_all(spark, sf_dir: str) -> None:
+    """All tables of the tripline pipeline, written in one run."""
+    opts = TriplineOptions(limits=catalog.LIMITS_CONSECUTIVE, grids=(catalog.GRID_FINE,), path_mode="consecutive")
+    with tempfile.TemporaryDirectory(prefix="gridwake-bench-") as out:
+        write_tripline(read_event_points(spark, sf_dir), out, opts)
+
+
+def run(spark, name: str, sf_dir: str) -> None:
+    if name == "write_tripline":
+        write_all(spark, sf_dir)
+    else:
+        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
 
 def main() -> None:
@@ -47,13 +62,13 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.01")
     if os.path.isdir(warm_dir):
         for name in HEADLINE:
-            run(catalog.QUERIES[name](spark, warm_dir))
+            run(spark, name, warm_dir)
     passes = []
     for _ in range(2):
         times = {}
         for name in HEADLINE:
             t0 = time.perf_counter()
-            run(catalog.QUERIES[name](spark, sf_dir))
+            run(spark, name, sf_dir)
             times[name] = round(time.perf_counter() - t0, 3)
         passes.append(times)
     cold, warm = passes

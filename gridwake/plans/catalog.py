@@ -228,6 +228,10 @@ def q_segment_count(spark, sf_dir):
     return count_segments(segments_anchored(_points(spark, sf_dir), LIMITS_ANCHORED))
 
 
+def q_segment_count_consecutive(spark, sf_dir):
+    return count_segments(_consecutive(spark, sf_dir))
+
+
 # ------------------------------------------------------------------- crossings
 
 def q_crossings_lat(spark, sf_dir):
@@ -446,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "dense_tiles_summary": q_dense_tiles_summary,
     "pipeline_tripline": q_pipeline_tripline,
     "pipeline_mercator": q_pipeline_mercator,
+    "segment_count_consecutive": q_segment_count_consecutive,
     "text_points_unpadded": q_text_points_unpadded,
     "log_round_trip": q_log_round_trip,
     "text_round_trip": q_text_round_trip,

@@ -400,6 +400,7 @@ def build() -> dict[str, str]:
                                    raster("segm", _levels(C.MAX_LEVEL), "pm", plane_offset=1, precision="float32")) + (
         " SELECT level, tile_x, tile_y, bin_x, bin_y, count(*) AS value FROM pm GROUP BY ALL")
 
+    Q["segment_count_consecutive"] = with_(*base_c) + " SELECT count(*) AS n_segments FROM segc"
     # round trips give the rows back
     Q["text_points_unpadded"] = Q["text_round_trip"] = Q["text_points"]
     Q["log_round_trip"] = Q["normalise_positions"]

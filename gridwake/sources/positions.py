@@ -8,6 +8,7 @@ message naming the row, as the strict legacy reader did.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,10 +30,22 @@ POSITION_LOG_COLUMNS = ["ais_type", "mmsi", "name", "imo", "latitude", "longitud
                         "speed", "heading", "time", "dest", "eta"]
 POSITION_LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in POSITION_LOG_COLUMNS])
 
+UTC_NAMES = {"utc", "etc/utc", "gmt", "z", "zulu", "uct", "etc/gmt", "+00:00", "utc+0", "gmt+0"}
+
 # A reader is any callable (spark, **options) -> points DataFrame.
 PointsReader = Callable[..., DataFrame]
 
 
+def _check_zone(spark: SparkSession) -> None:
+    """Times carry no zone and buckets are cut by the clock, so the session
+    must not shift them: in a zone with daylight saving, two texts can become
+    one instant."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.lower() not in UTC_NAMES:
+        warnings.warn(f"spark.sql.session.timeZone is {zone}: times without a zone are read in it; set it to UTC",
+                      stacklevel=3)
+
+
 def read_position_log(spark: SparkSession, path: str) -> DataFrame:
     """Raw comma-delimited log, no header, 11 text columns. Commas alone
     separate fields: a double quote is an ordinary character here
@@ -64,6 +77,7 @@ def to_points(df: DataFrame, id_col: str, dt_col: str, lat_col: str, lon_col: st
               on_error: str = "drop") -> DataFrame:
     """Map configured column names to ``points``; text is cleaned (quotes,
     blanks), times parsed by ``parse_dt`` and coordinates by ``try_cast``."""
+    _check_zone(df.sparkSession)
     cleaned = clean_fields(df.select(F.col(id_col).alias("id"), F.col(dt_col).alias("_dt"),
                                      F.col(lat_col).alias("_lat"), F.col(lon_col).alias("_lon")),
                            ["id", "_dt", "_lat", "_lon"])
@@ -108,6 +122,7 @@ def parse_text_lines(lines: DataFrame, id_idx: int = 0, lat_idx: int = 1, lon_id
     ``dateTtime`` with an optional fraction; otherwise ``date_idx`` holds
     ``yyyy-MM-dd`` and the first 8 characters of ``time_idx`` hold
     ``HH:mm:ss``. Other columns are ignored."""
+    _check_zone(lines.sparkSession)
     tok = F.split(F.trim(F.col("value")), _regex_literal(sep))
 
     def at(i: int) -> Column:
