@@ -2,39 +2,34 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
-import uuid
 
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import intermediate as materialise
+
+__all__ = ["materialise", "read_table", "share", "shared_value", "worker_cache"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and read it
-    back: cuts the lineage, survives lost executors, and gives the planner
-    true sizes. The folder is removed when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker process, so that reused
-    workers keep what earlier tasks have computed. Callers bound its size."""
+    """A dict that the tasks of one stage share within a Python worker process:
+    a reused worker keeps what earlier tasks of the stage have computed, and
+    drops it when it gets a task of another stage, so that the caches of
+    operators that follow each other do not add up. Callers bound its size."""
     module = sys.modules.setdefault("_gridwake_worker_cache", types.ModuleType("_gridwake_worker_cache"))
-    return module.__dict__.setdefault(name, {})
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if module.__dict__.get("stage") != stage:
+        module.__dict__.update(stage=stage, kept={})
+        gc.collect()
+    return module.__dict__.setdefault("kept", {}).setdefault(name, {})
 
 
 def share(spark: SparkSession, value):
