@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import materialise, worker_cache
+from .tables import arrow_rows, materialise, worker_cache
 from .textunits import ASCII_SPACE, Texts, Units, text_slices
 
 UNIT = 8
@@ -254,9 +254,10 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int =
     base = docs.select(F.col(id_col).alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     id_type = base.schema["doc_id"].dataType.simpleString()
-    pieces = materialise(base.mapInArrow(
-        _pieces(tokenizer_file, end_id, window),
-        f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long"), "packing-pieces")
+    with arrow_rows(docs.sparkSession):
+        pieces = materialise(base.mapInArrow(
+            _pieces(tokenizer_file, end_id, window),
+            f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long"), "packing-pieces")
     pieces = pieces.withColumn("units", F.ceil(F.col("length") / UNIT).cast("int"))
 
     histogram = np.zeros(units + 1, dtype=np.int64)

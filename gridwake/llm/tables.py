@@ -5,19 +5,36 @@ from __future__ import annotations
 import gc
 import sys
 import types
+from contextlib import contextmanager
 
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import intermediate as materialise
 
-__all__ = ["materialise", "read_table", "share", "shared_value", "worker_cache"]
+__all__ = ["arrow_rows", "materialise", "read_table", "share", "shared_value", "worker_cache"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+TEXT_ROWS = 1000          # texts handed to Python at once by jobs that run at call time
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = TEXT_ROWS):
+    """Within the block, jobs hand Python at most ``rows`` rows a batch: for
+    rows so wide that the session's batch size would not fit in memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def worker_cache(name: str) -> dict:
     """A dict that the tasks of one stage share within a Python worker process:
     a reused worker keeps what earlier tasks of the stage have computed, and
