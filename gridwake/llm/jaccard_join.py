@@ -40,12 +40,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import materialise
+from .tables import arrow_rows, materialise, share, shared_value
 from .textunits import ASCII_SPACE, LOWER, Texts, Units, mix64, shingle_sets, text_slices
 
 BLOCK_CLASSES = 128
 BLOCK_TOKENS = 1 << 16
 SHARED_CELLS = 2
+FILTER_BITS = 1 << 26      # 8 MB
+PAIR_ROWS = 32            # block pairs handed to Python at once
 _U = np.uint64
 
 
@@ -143,18 +145,36 @@ def _signatures(n: int, num: int, den: int):
     return run
 
 
-def _token_sets(n: int):
+def _filter_bits(nodes: DataFrame) -> np.ndarray:
+    """A bitmap with the bit of every node set: at most ``FILTER_BITS`` bits
+    however many nodes there are (with more nodes it only lets more through)."""
+    bits, wanted = FILTER_BITS, 32 * nodes.count()
+    while bits > 1 << 10 and bits > wanted:
+        bits >>= 1
+    at = nodes.select(F.col("node").bitwiseAND(F.lit(bits - 1).cast("long")).alias("at"))
+    words = (at.selectExpr("shiftright(at, 6) as word", "shiftleft(1L, cast(at & 63 as int)) as bit")
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect())      # at most FILTER_BITS / 64 rows
+    table = np.zeros(bits // 64, dtype=np.int64)
+    for word, value in words:
+        table[word] = value
+    return table
+
+
+def _token_sets(n: int, shared):
     def run(batches):
+        table, seen = shared_value(shared), set()
         for batch in batches:
-            texts_column, block = batch.column(0), batch.column(1)
-            for texts in text_slices(texts_column):
+            for texts in text_slices(batch.column(0)):
                 d1, d2, tokens = [], [], []
                 for s in _shingles(texts, n):
-                    a, b = _digest(s) if len(s) else (0, 0)
-                    d1.append(a); d2.append(b); tokens.append(s.tobytes())
-                yield pa.record_batch([block.slice(texts.first, len(texts)), pa.array(d1, pa.int64()),
-                                       pa.array(d2, pa.int64()), pa.array(tokens, pa.binary())],
-                                      names=["block", "d1", "d2", "tokens"])
+                    if len(s):
+                        node = _digest(s)
+                        at = node[0] & (64 * len(table) - 1)
+                        if (int(table[at >> 6]) >> (at & 63)) & 1 and node not in seen:
+                            seen.add(node)
+                            d1.append(node[0]); d2.append(node[1]); tokens.append(s.tobytes())
+                yield pa.record_batch([pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                                       pa.array(tokens, pa.binary())], names=["d1", "d2", "tokens"])
     return run
 
 
@@ -250,30 +270,31 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     included). Writes its intermediate tables to the checkpoint folder."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = base.schema["doc_id"].dataType.simpleString()
-    meta = materialise(base.mapInArrow(_sizes(words), f"doc_id {id_type}, n_shingles long, d1 long, d2 long"),
-                       "jaccard-meta")
+    spark = docs.sparkSession
+    # matrix columns held by two classes or more
+    by_sig = Window.partitionBy("sig")
+    with arrow_rows(spark):
+        meta = materialise(base.mapInArrow(_sizes(words), f"doc_id {id_type}, n_shingles long, d1 long, d2 long"),
+                           "jaccard-meta")
+        shared = materialise(
+            base.select("text").mapInArrow(_signatures(words, num, den), "sig long, node long")
+            .select("sig", "node", F.min("node").over(by_sig).alias("lo"), F.max("node").over(by_sig).alias("hi"))
+            .where("lo <> hi").select("sig", "node").distinct(), "jaccard-shared")
     classes = (meta.where("n_shingles > 0").groupBy("d1", "d2")
                .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                     F.first("n_shingles").alias("n")))
 
-    # matrix columns held by two classes or more
-    by_sig = Window.partitionBy("sig")
-    shared = materialise(
-        base.select("text").mapInArrow(_signatures(words, num, den), "sig long, node long")
-        .select("sig", "node", F.min("node").over(by_sig).alias("lo"), F.max("node").over(by_sig).alias("hi"))
-        .where("lo <> hi").select("sig", "node").distinct(), "jaccard-shared")
-
     # groups: the most shared cell; blocks: a bounded share of a group
     held = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
     key = (shared.join(held, "sig").groupBy("node")
            .agg(F.max(F.struct("held", "sig")).alias("top"))
            .select("node", F.col("top.sig").alias("key")))
-    sized = key.join(classes.select(F.col("d1").alias("node"), "d2", "n", "rep", "copies"), "node")
+    sized = key.join(classes.select(F.col("d1").alias("node"), "d2", "n", "copies"), "node")
     parts = sized.groupBy("key").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("parts"))
     block = F.xxhash64("key", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")))
     assigned = materialise(sized.join(parts, "key")
-                           .select("node", F.col("node").alias("d1"), "d2", "rep", "copies", block.alias("block")),
+                           .select("node", F.col("node").alias("d1"), "d2", "copies", block.alias("block")),
                            "jaccard-blocks")
 
     columns = shared.join(assigned.select("node", "block"), "node").select("sig", "block").distinct()
@@ -283,23 +304,25 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= SHARED_CELLS)
              .select("left", "right"))
 
-    wanted = assigned.select("rep", "block").distinct()
-    # always a shuffle join: the wanted ids grow with the input
-    tokens = (base.join(wanted.hint("merge"), base["doc_id"].eqNullSafe(wanted["rep"])).select("text", "block")
-              .mapInArrow(_token_sets(words), "block long, d1 long, d2 long, tokens binary")
-              .dropDuplicates(["block", "d1", "d2"])
-              .join(assigned.select("block", "d1", "d2", "copies"), ["block", "d1", "d2"]))
-    blocks = materialise(tokens.groupBy("block")
-                         .agg(F.collect_list(F.struct("d1", "d2", "copies", "tokens")).alias("members")),
-                         "jaccard-tokens")
+    # token sets of classes in blocks: a bitmap lets (nearly) only these leave
+    # the scan, the join on the full digest decides
+    filter_bits = share(spark, _filter_bits(assigned.select("node")))
+    tokens = (base.select("text").mapInArrow(_token_sets(words, filter_bits), "d1 long, d2 long, tokens binary")
+              .join(assigned.select("block", "d1", "d2", "copies"), ["d1", "d2"])
+              .dropDuplicates(["d1", "d2"]))
+    with arrow_rows(spark):
+        blocks = materialise(tokens.groupBy("block")
+                             .agg(F.collect_list(F.struct("d1", "d2", "copies", "tokens")).alias("members")),
+                             "jaccard-tokens")
 
     left = blocks.select(F.col("block").alias("left"), F.col("members").alias("lm"))
     right = blocks.select(F.col("block").alias("right"), F.col("members").alias("rm"))
     inside = left.where(F.size("lm") > 1).select("lm", F.lit(None).cast(blocks.schema["members"].dataType).alias("rm"))
     between = pairs.join(left, "left").join(right, "right").select("lm", "rm")
-    found = materialise(inside.unionByName(between)
-                        .mapInArrow(_pair_links(num, den), "a1 long, a2 long, b1 long, b2 long, links long"),
-                        "jaccard-links")
+    with arrow_rows(spark, PAIR_ROWS):
+        found = materialise(inside.unionByName(between)
+                            .mapInArrow(_pair_links(num, den), "a1 long, a2 long, b1 long, b2 long, links long"),
+                            "jaccard-links")
 
     edges = found.where("links is null").select(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")).alias("u"),
                                                 F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("v"))
