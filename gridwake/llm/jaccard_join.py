@@ -294,15 +294,21 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("parts"))
     block = F.xxhash64("key", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")))
     assigned = materialise(sized.join(parts, "key")
-                           .select("node", F.col("node").alias("d1"), "d2", "copies", block.alias("block")),
+                           .select("node", F.col("node").alias("d1"), "d2", "copies", "n", block.alias("block")),
                            "jaccard-blocks")
 
     columns = shared.join(assigned.select("node", "block"), "node").select("sig", "block").distinct()
     pairs = (columns.alias("x").join(columns.alias("y"), "sig")
              .where(F.col("x.block") < F.col("y.block"))
              .groupBy(F.col("x.block").alias("left"), F.col("y.block").alias("right"))
-             .agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= SHARED_CELLS)
-             .select("left", "right"))
+             .agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= SHARED_CELLS))
+    # the smaller block of a pair travels to the larger one
+    sizes = assigned.groupBy("block").agg(F.sum("n").alias("size"))
+    swap = F.col("left_size") > F.col("right_size")
+    pairs = (pairs.join(sizes.select(F.col("block").alias("left"), F.col("size").alias("left_size")), "left")
+             .join(sizes.select(F.col("block").alias("right"), F.col("size").alias("right_size")), "right")
+             .select(F.when(swap, F.col("right")).otherwise(F.col("left")).alias("left"),
+                     F.when(swap, F.col("left")).otherwise(F.col("right")).alias("right")))
 
     # token sets of classes in blocks: a bitmap lets (nearly) only these leave
     # the scan, the join on the full digest decides
