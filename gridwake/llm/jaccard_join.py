@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import arrow_rows, materialise, share, shared_value
+from .tables import arrow_rows, free_finished, materialise, share, shared_value
 from .textunits import ASCII_SPACE, LOWER, Texts, Units, mix64, shingle_sets, text_slices
 
 BLOCK_CLASSES = 128
@@ -280,6 +280,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             base.select("text").mapInArrow(_signatures(words, num, den), "sig long, node long")
             .select("sig", "node", F.min("node").over(by_sig).alias("lo"), F.max("node").over(by_sig).alias("hi"))
             .where("lo <> hi").select("sig", "node").distinct(), "jaccard-shared")
+    free_finished(spark)
     classes = (meta.where("n_shingles > 0").groupBy("d1", "d2")
                .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                     F.first("n_shingles").alias("n")))
@@ -320,6 +321,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         blocks = materialise(tokens.groupBy("block")
                              .agg(F.collect_list(F.struct("d1", "d2", "copies", "tokens")).alias("members")),
                              "jaccard-tokens")
+    free_finished(spark)
 
     left = blocks.select(F.col("block").alias("left"), F.col("members").alias("lm"))
     right = blocks.select(F.col("block").alias("right"), F.col("members").alias("rm"))
@@ -329,6 +331,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         found = materialise(inside.unionByName(between)
                             .mapInArrow(_pair_links(num, den), "a1 long, a2 long, b1 long, b2 long, links long"),
                             "jaccard-links")
+    free_finished(spark)
 
     edges = found.where("links is null").select(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")).alias("u"),
                                                 F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("v"))

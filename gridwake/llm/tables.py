@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import intermediate as materialise
 
-__all__ = ["arrow_rows", "materialise", "read_table", "share", "shared_value", "worker_cache"]
+__all__ = ["arrow_rows", "free_finished", "materialise", "read_table", "share", "shared_value", "worker_cache"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,14 @@ def arrow_rows(spark: SparkSession, rows: int = TEXT_ROWS):
         spark.conf.set(key, before)
 
 
+def free_finished(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans nobody refers to any more.
+    It does so only after the driver has collected its garbage, which on a
+    large heap may come long after the next big shuffle."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def worker_cache(name: str) -> dict:
     """A dict that the tasks of one stage share within a Python worker process:
     a reused worker keeps what earlier tasks of the stage have computed, and
