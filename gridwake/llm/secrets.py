@@ -6,11 +6,16 @@ stands between piece i and piece i + 1, which hold its neighbouring words),
 each candidate gets features, and the forest is a sum of nested CASE
 expressions over them. No shuffle, one pass.
 
+Candidates: PEM blocks; the value after a credential word and ``:`` or ``=``,
+whatever its length and characters; passwords in URLs; and runs of 16 or more
+key characters with a digit.
+
 Features: length; shares of character classes; class transitions and the
 longest-run structure; distinct characters; how much of the candidate common
 words cover (dictionary coverage); known key formats; what the words before
 it say (credential words, checksum words, an assignment, quotes); whether it
-is part of a path, address or identifier; what the document's path says.
+is part of a path, address or identifier; what the document's path says; whether it is
+a URL's password, a (private) PEM block, a reference or a word of prose.
 
 The forest is trained (numpy, on the driver) from labelled findings: rows
 ``before, candidate, after, path, label``. ``labelled_findings`` derives a
@@ -35,9 +40,25 @@ FINDINGS = 6000           # rows of the derived training set
 CUT = 0.5
 MASK = "[SECRET]"
 
-# a run of key characters of 16 or more with a digit in it
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])"
-CONTEXT = 60              # characters of a neighbouring piece that features read
+# the name of a credential up to where its value begins; bounded, for a lookbehind
+ASSIGNED = (r"(?i:(?:passw(?:or)?d|passwd|passphrase|passcode|passwort|pwd|secret(?!ar)|token(?!iz)|credential|bearer"
+            r"|(?:api|access|private|signing|encryption)[ _-]?key|auth(?!or(?!iz)))[\w-]{0,20}[\"'`\]]{0,2}"
+            r"[ \t]{0,20}[:=]{1,2}>?[ \t]{0,20}(?:[\"'`]?(?:bearer|basic)[ \t]{1,4})?[\"'`]?)")
+URL_USER = r"://[^\s/?#@:\"'<>]{0,255}:"
+# Candidates, first alternative first: a PEM block (or its header and the base64 lines after it, where the end is cut
+# off); the value of a named credential, whatever its length and characters, to the closing quote on its line or else
+# to the next white space or URL parameter, less closing marks; the password of a URL; a run of key characters of 16
+# or more with a digit in it. Groups repeat possessively: Java then loops instead of recursing over long texts.
+PEM = (r"-----BEGIN [A-Z0-9 ]{1,60}-----(?:(?:(?!-----)[\s\S])*+-----END [A-Z0-9 ]{1,60}-----"
+       r"|(?:\s|\\[nr])*+(?:[A-Za-z0-9+/=]{40,}+(?:\s|\\[nr])*+)++)")
+VALUE = (r"(?<=[:=> \t\"'`])(?<=[:=]>?[ \t]{0,20}(?:[\"'`]?[A-Za-z]{5,6}[ \t]{1,4})?[\"'`]?)(?![\s\"'`])(?<=" + ASSIGNED
+         + r")(?!(?i:bearer|basic)[ \t])(?:"
+         + "|".join(rf"(?<={q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+)*+(?={q})" for q in "\"'`")
+         + r"|(?:(?!&\w{1,40}=|[,.;)\]}\"'`>]*+(?:\s|$))\S)++)")
+URL_PASSWORD = rf"(?<=:)(?<={URL_USER})[^\s/?#\"'<>]+(?=@)"
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])"
+CANDIDATE = f"{PEM}|{VALUE}|{URL_PASSWORD}|{RUN}"
+CONTEXT = 320             # characters of a neighbouring piece that features read (the lookbehinds reach no further)
 
 # fixed values: words around and formats of credentials
 CREDENTIAL_WORD = (r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth\w*"
@@ -48,6 +69,12 @@ KEY_FORMAT = (r"^(A(KIA|SIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{30,}|sk_(live|tes
               r"|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]{16,}|glpat-[0-9A-Za-z_-]{20,})$")
 DICTIONARY = (r"(example|sample|dummy|changeme|placeholder|password|secret|token|test|your|this|that|with|from|tion|ment|"
               r"ing|the|and|for|key|user|name|file|data|index|page|image|http|www|com|org|net|xxxx|0000|1234|abcd)")
+# values that stand for a credential kept elsewhere, its type or a mask
+REFERENCE = (r"(?i)^([$%{<\[].*|\*+|x+|\.+|-+|(os|process|env|config|settings|self|this|args|request|options)\b[.\[].*"
+             r"|\w*(getenv|environ|input|prompt)\w*[(\[].*|null|nil|none|true|false|undefined|str(ing)?|int|bytes|bool(ean)?"
+             r"|optional|required|redacted|masked|hidden|default|empty|unset)$")
+PROSE = (r"(?i)^(the|a|an|is|are|was|must|may|can|will|to|and|or|of|in|on|for|not|never|always|enter|see|click|forgot(ten)?"
+         r"|reset|change|please|your|my|our|this|that|it|use|used|at|least|wrong|invalid|incorrect|missing|expired)$")
 TEST_PATH = r"(?i)(^|[/_.-])(test|tests|spec|example|examples|sample|fixture|fixtures|docs?|mock)([/_.-]|$)"
 
 
@@ -93,10 +120,18 @@ def feature_columns(before: Column, c: Column, after: Column, path: Column) -> l
                          | (F.size(F.split(c, "/")) > 3))),
         ("words", flag(c.rlike("[_-]") & (share("[A-Za-z]") > 0.7))),
         ("test_path", flag(path.rlike(TEST_PATH))),
+        ("punctuation", share(r"[^A-Za-z0-9+/_=\s-]")),
+        ("spaces", share(r"\s")),
+        ("value", flag(before.rlike(f"{ASSIGNED}$"))),
+        ("tight", flag(before.rlike("[:=][\"'`]?$"))),
+        ("url", flag(before.rlike(f"{URL_USER}$") & after.startswith("@"))),
+        ("pem", flag(c.startswith("-----BEGIN "))),
+        ("private", flag(c.rlike("^-----BEGIN [A-Z0-9 ]*PRIVATE KEY"))),
+        ("reference", flag(c.rlike(REFERENCE))),
+        ("prose", flag(c.rlike(PROSE))),
     ]
 
 
-
 # ---------------------------------------------------------------- training set
 
 def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
@@ -146,6 +181,52 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         (prose, F.concat(word, word, F.left(digits, F.lit(2))), F.lit(" "), 0),
         (F.concat(prose, pick(38, "build ", "version ", "ref ")), F.left(hexed, 16 + number(39, 25)), F.lit(" "), 0),
     ]
+    # short, letter-only and punctuated values of named credentials, URL passwords and PEM blocks, and what is like them
+    stem = pick(41, "hunter", "Summer", "dragon", "S3cr3t", "monkey", "Tr0ub4dor", "pa55w0rd", "winter", "blue")
+    mark = pick(42, "!", "&", "#", "$", "%", "@", "-", "!x", "*")
+    tail = F.left(mixed, 2 + number(43, 10))
+    short = F.get(F.array(F.concat(stem, F.left(digits, 1 + number(44, 4))),
+                          F.concat(stem, mark, F.left(digits, 1 + number(44, 4))),
+                          F.concat(stem, F.left(digits, F.lit(1)), mark, tail),
+                          F.concat(tail, mark, F.left(upper, 1 + number(45, 6)))), number(46, 4))
+    name = pick(47, "password", "db_password", "pwd", "passwd", "secret", "PASSWORD", "api_key", "passphrase", "token",
+                "\"password\"", "auth_token")
+    between = pick(48, "", "", " ", "-")
+    phrase = F.concat(pick(49, "correct", "purple", "letme", "rainy", "open", "garden"), between,
+                      pick(50, "horse", "window", "monday", "sesame", "river"), between,
+                      pick(51, "battery", "staple", "lantern", "castle"), pick(52, "", "staple", "winter"))
+    opened = pick(53, "=\"", " = \"", ": \"", "='", ": '")
+    shut = F.when(opened.endswith("\""), "\"").otherwise("'")
+    stand_in = pick(54, "your-password", "changeme", "<password>", "${DB_PASSWORD}", "********", "xxxxxxxx", "{{ secret }}",
+                    "null", "None", "os.environ['DB_PW']", "process.env.TOKEN", "%s", "example", "getenv('PW')", "string",
+                    "required", "true", "false", "REDACTED", "your_token_here", "test", "password", "secret")
+    login = F.concat(prose, pick(55, "postgres", "https", "mysql", "redis", "amqp", "ftp"), F.lit("://"),
+                     pick(56, "admin", "root", "svc_1", "", "user"), F.lit(":"))
+    host = F.concat(F.lit("@"), pick(57, "db.host/x", "localhost:5432", "10.0.0.7/main", "example.org"))
+    body = F.regexp_replace(F.repeat(F.concat(F.base64(F.unhex(text(58, 59, 60))), F.lit("\n")), 2 + number(61, 20)),
+                            "\r", "")
+
+    def pem(kind: Column, inside: Column) -> Column:
+        return F.concat(F.lit("-----BEGIN "), kind, F.lit("-----\n"), inside, F.lit("-----END "), kind, F.lit("-----"))
+    sealed = pick(62, "RSA PRIVATE KEY", "PRIVATE KEY", "EC PRIVATE KEY", "OPENSSH PRIVATE KEY", "ENCRYPTED PRIVATE KEY",
+                  "PGP PRIVATE KEY BLOCK")
+    kinds += [
+        (F.concat(prose, name, assign), short, F.concat(close, F.lit(" ")), 1),
+        (F.concat(prose, name, opened), short, F.concat(shut, F.lit("\n")), 1),
+        (F.concat(prose, name, opened), phrase, F.concat(shut, F.lit("\n")), 1),
+        (F.concat(prose, name, F.lit("=")), F.regexp_replace(phrase, " ", ""), pick(63, " ", "\n", ""), 1),
+        (F.concat(prose, name, assign), stand_in, F.concat(close, F.lit(" ")), 0),
+        (F.concat(prose, name, opened), stand_in, F.concat(shut, F.lit("\n")), 0),
+        (F.concat(prose, name, pick(64, ": ", " = ", ": \"")),
+         pick(65, "the", "never", "enter", "must", "is", "reset", "see", "click", "a", "forgotten", "please", "wrong"),
+         pick(66, " ", ".", " it"), 0),
+        (login, F.get(F.array(short, F.regexp_replace(phrase, " ", "")), number(67, 2)), host, 1),
+        (login, stand_in, host, 0),
+        (prose, pem(sealed, body), pick(68, "\n", "", "\""), 1),
+        (prose, pem(pick(69, "CERTIFICATE", "PUBLIC KEY", "RSA PUBLIC KEY", "CERTIFICATE REQUEST", "PGP SIGNATURE",
+                         "PGP PUBLIC KEY BLOCK"), body), pick(70, "\n", "", "\""), 0),
+        (prose, pem(sealed, pick(71, "...\n", "<key>\n", "")), F.lit("\n"), 0),
+    ]
     row = F.array(*[F.struct(b.alias("before"), c.alias("candidate"), a.alias("after"), F.lit(label).alias("label"))
                     for b, c, a, label in kinds])
     path = pick(40, "src/app/main", "config/prod.env", "notes", "", "tests/fixtures/data", "docs/example")
