@@ -1,7 +1,11 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
 A text is cut into pieces of up to ``PIECE`` non-space characters (restarting
-at every word), and every ``K`` consecutive pieces form a k-mer. A k-mer that
+at every word), and every ``K`` consecutive pieces form a k-mer. In runs
+without white space, every character with ``RUN`` others of its run before or
+after it is a piece of its own (k-mers at every character position), so an
+edit moves no cuts but those within ``2 * RUN`` characters. White space other
+than one plain space is a piece; one space shows only as a cut. A k-mer that
 occurs again gets the next occurrence number, so multiplicities count. One
 hash of (k-mer, occurrence) both deals the numbered k-mers to ``CELLS`` cells
 and ranks them there (one-permutation hashing: one pass stands for CELLS
@@ -33,10 +37,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = 5
+RUN = 16
 K = 3
 CELLS = 32
 KEEP = 2
 EMPTY = "...."
+PIECES = rf"(?<=\S{{{RUN}}})\S|\S(?=\S{{{RUN}}})|\S{{1,{PIECE}}}|\s{{2,}}|[^\S ]"
 BUCKET_ROWS = 256
 BUCKETS_PER_RANGE = 4096
 
@@ -51,7 +57,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _kmers(text: Column) -> Column:
-    pieces = F.regexp_extract_all(text, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
 
     def of(h: Column) -> Column:
         n = F.size(h)

@@ -56,6 +56,18 @@ def test_order_and_multiplicity_matter(spark):
     assert same == 1.0 and order < 0.9 and more < 0.9
 
 
+def test_unspaced_text_follows_edit_distance(spark):
+    base = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(47))[:3000]
+    han = "".join(chr(0x4E00 + int(base[i:i + 3], 16)) for i in range(0, 2997, 3))
+    other = "".join(chr(0x4E00 + int(base[i:i + 3], 16)) for i in range(1, 2997, 3))
+    rows = [(t, "+" + t, t[:500] + t[502:], o) for t, o in ((base, base[::-1]), (han, other))]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    for front, cut, far in df.select(*[likeness(signature(F.col("a")), signature(F.col(c))) for c in "bcd"]).collect():
+        assert front > 0.8 and cut > 0.8 and far < 0.3
+    lines = spark.createDataFrame([("a b c d e f g h", "a\nb\nc\nd\ne\nf\ng\nh")], "a string, b string")
+    assert lines.select(likeness(signature(F.col("a")), signature(F.col("b")))).first()[0] < 1
+
+
 def test_edge_rows(spark, edge, empty):
     got = order_fingerprints(edge).collect()
     assert len(got) == edge.count()
