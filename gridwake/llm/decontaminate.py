@@ -13,14 +13,17 @@ Alignment. Each window is aligned with the item by Smith-Waterman over words
 recursion is a running maximum. The score is the alignment's share of the
 item's perfect score, so verbatim copies score 1 and edited or partial copies
 less. A window whose words cannot reach the threshold even if all common
-words matched is not aligned (the bound is exact).
+words matched is not aligned (the bound is exact). A long passage of an item
+counts too, however small its share: a second, strict alignment (match +1,
+mismatch and gap -4, so at least about 80 % identity) must reach ``PASSAGE``.
+
+Items with fewer than ``MIN_WORDS`` words match a whole line or a whole text
+of exactly their words (inside a line they would match common phrases).
 
 The item index goes to all tasks, so benchmarks are searched in blocks of at
 most ``BLOCK_CHARS`` characters, one pass over the texts per block.
 
-Defined results: null and empty texts and items match nothing; items with
-fewer than ``MIN_WORDS`` words are not searched (they would match common
-phrases). Repeated rows of texts report each; repeated items report each.
+Defined results: null and empty texts and items match nothing. Repeated rows of texts report each; repeated items report each.
 """
 
 from __future__ import annotations
@@ -39,9 +42,11 @@ from .textunits import LOWER, NOT_ALNUM, Texts, Units, ngram_hashes, text_slices
 N = 3
 MIN_WORDS = 5
 THRESHOLD = 0.5
+PASSAGE = 13                  # strict score from which a passage counts: as many words word for word
 CHANCE_PER_TEXT = 0.05        # chance proposals per text that all seeds together may make
 BLOCK_CHARS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
+STRICT = (1, -4, -4)
 _TABLE_BITS = 20
 _U = np.uint64
 
@@ -51,17 +56,18 @@ def word_hashes(text: str) -> np.ndarray:
     return Units(texts, NOT_ALNUM, LOWER[texts.buf]).hashes()
 
 
-def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
+def align(item: np.ndarray, window: np.ndarray, match: int = MATCH, mismatch: int = MISMATCH,
+          gap: int = GAP) -> tuple[int, int, int]:
     """Best local alignment of two word sequences: (score, first and end
     position of the aligned part of ``window``)."""
     n = len(window)
-    slope = -GAP * np.arange(1, n + 1)
+    slope = -gap * np.arange(1, n + 1)
     row = np.zeros(n + 1, dtype=np.int64)
     origin = np.arange(n + 1)                # where in the window the path of a cell began
     best, begin, end = 0, 0, 0
     for word in item:
-        step = row[:-1] + np.where(window == word, MATCH, MISMATCH)
-        down = row[1:] + GAP
+        step = row[:-1] + np.where(window == word, match, mismatch)
+        down = row[1:] + gap
         fresh = np.maximum(np.maximum(step, down), 0)
         start = np.where(step >= down, origin[:-1], origin[1:])
         start = np.where(fresh == 0, np.arange(1, n + 1), start)
@@ -84,12 +90,19 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[object, np.ndarray]], frequency: dict[int, int], words: int, texts: int):
         self.items = items
+        self.short = {}                          # words of an item of fewer than MIN_WORDS -> items
+        for k, (_, w) in enumerate(items):
+            if len(w) < MIN_WORDS:
+                self.short.setdefault(tuple(w.tolist()), []).append(k)
+        self.short_first = np.array(sorted({w[0] for w in self.short}), dtype=_U)
         per_text = words / max(texts, 1)
         total = max(words, 1)
-        grams = [ngram_hashes(w, N) for _, w in items]
+        grams = [ngram_hashes(w if len(w) >= MIN_WORDS else w[:0], N) for _, w in items]
         budget = np.log(CHANCE_PER_TEXT / max(1, sum(map(len, grams)))) - np.log(max(per_text, 1))
         seeds, owner, place = [], [], []
         for k, ((_, w), g) in enumerate(zip(items, grams)):
+            if not len(g):
+                continue
             p = np.log([max(frequency.get(int(h), 0), 0.5) / total for h in w])
             rarity = np.sum([p[j:len(p) - N + 1 + j] for j in range(N)], axis=0)
             keep = rarity <= budget
@@ -126,9 +139,11 @@ class ItemIndex:
             if lo is not None and (low is None or low > hi):
                 window = words[lo:hi]
                 a, b = Counter(target.tolist()), Counter(window.tolist())
-                if MATCH * sum(min(c, b[h]) for h, c in a.items()) >= need:
+                common = sum(min(c, b[h]) for h, c in a.items())
+                if MATCH * common >= need or common >= PASSAGE:
                     score, begin, end = align(target, window)
-                    if score >= need and (found is None or score / (MATCH * m) > found[0]):
+                    if ((score >= need or common >= PASSAGE and align(target, window, *STRICT)[0] >= PASSAGE)
+                            and (found is None or score / (MATCH * m) > found[0])):
                         found = (score / (MATCH * m), lo + begin, lo + end)
                 lo = None
             if low is not None:
@@ -158,10 +173,33 @@ def _frequencies(vocabulary: np.ndarray):
     return run
 
 
+def _whole(index: ItemIndex, units: Units, h: np.ndarray):
+    """(text, item, (1.0, start, end)) of short items that are a whole line or
+    a whole text, once per text and item."""
+    if not len(index.short_first) or not len(h):
+        return
+    opens = np.zeros(len(h) + 1, dtype=bool)     # word begins a text
+    opens[units.bounds] = True
+    breaks = np.flatnonzero((units.texts.buf == 10) | (units.texts.buf == 13))
+    lines = opens.copy()
+    lines[np.searchsorted(units.begin, breaks)] = True
+    seen = set()
+    for edges in (np.flatnonzero(lines), np.flatnonzero(opens)):
+        first, size = edges[:-1], np.diff(edges)
+        for a, n in zip(first[k := (size < MIN_WORDS) & np.isin(h[first], index.short_first)].tolist(), size[k].tolist()):
+            doc = int(np.searchsorted(units.bounds, a, side="right")) - 1
+            for item in index.short.get(tuple(h[a:a + n].tolist()), ()):
+                if (doc, item) not in seen:
+                    seen.add((doc, item))
+                    at = a - int(units.bounds[doc])
+                    yield doc, item, (1.0, at, at + n)
+
+
 def _hits(index: ItemIndex, texts: Texts, threshold: float):
     """(text, item, (score, start, end)) of every aligned pair of a slice."""
     units = Units(texts, NOT_ALNUM, LOWER[texts.buf])
     h = units.hashes()
+    yield from _whole(index, units, h)
     where, owner, diagonal = index.proposals(ngram_hashes(h, N))
     doc = np.searchsorted(units.bounds, where, side="right") - 1
     inside = where + N <= units.bounds[doc + 1]
@@ -216,7 +254,7 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[ItemIndex]:
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()   # one block of items
         block = [(r["item_id"], w) for r in sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
-                 if len(w := word_hashes(r["text"])) >= MIN_WORDS]
+                 if len(w := word_hashes(r["text"]))]
         if not block:
             continue
         vocabulary = np.unique(np.concatenate([w for _, w in block]))
@@ -229,7 +267,8 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[ItemIndex]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per text (``docs``: ``doc_id, text``) and test item
-    (``benchmark``: ``item_id, text``) that align with at least ``threshold``:
+    (``benchmark``: ``item_id, text``) that align with at least ``threshold``
+    or share a passage (then ``score`` may be less), or short items found whole:
     ``doc_id, item_id, score, start_word, end_word`` (aligned words of the
     text, counted from 0). Clean texts have no row."""
     spark = docs.sparkSession

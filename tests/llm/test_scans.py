@@ -78,6 +78,25 @@ def test_blocks_of_items_give_the_same_rows(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in dc.contaminated(docs, items).collect()} == planted
 
 
+def test_long_passages_and_short_items(spark):
+    rng = random.Random(8)
+    item = [f"w{rng.randrange(3000)}" for _ in range(600)]
+    other = [f"x{rng.randrange(3000)}" for _ in range(400)]
+    edited = item[100:160]
+    edited[30] = "changed"
+    docs = [(1, " ".join(other[:90] + item[200:450] + other[90:])), (2, " ".join(other[:50] + item[7:20] + other[50:])),
+            (3, " ".join(other[:50] + item[7:19] + other[50:])), (4, " ".join(other[:50] + edited)),
+            (5, "Forty two!"), (6, "so what\n- Forty, two.\nor not"), (7, "it is forty two today"), (8, "forty\ntwo"),
+            (9, "forty two three")]
+    items = [(1, " ".join(item)), (2, "forty two")]
+    got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 1), (2, 1), (4, 1), (5, 2), (6, 2), (8, 2)}
+    rows = {r["doc_id"]: r for r in got}
+    assert rows[1]["score"] == pytest.approx(250 / 600, abs=0.02)
+    assert (rows[6]["score"], rows[6]["start_word"], rows[6]["end_word"]) == (1.0, 2, 4)
+
+
 def test_a_mass_leak_is_still_found(spark):
     docs, items, _ = leaks(spark)
     text = items.where("item_id = 3").first()["text"]
