@@ -1,12 +1,14 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
 
-Seeds. Every n-gram of a test item gets an expected number of chance
-occurrences, from the frequencies of its words over *all* training texts
-(words as independent). N-grams rare by that measure are seeds; a leaked
-passage stays rare however often it was copied, since copies raise its words'
-frequencies but not their product much. Every item keeps at least its rarest
-quarter. A text that shares a seed with an item proposes a diagonal (text
-position minus item position); overlapping proposals merge into windows.
+Seeds. Every n-gram of a test item is a seed. Its expected number of chance
+occurrences follows from the frequencies of its words over *all* training
+texts (words as independent); a leaked passage stays rare however often it was
+copied, since copies raise its words' frequencies but not their product much.
+N-grams rare by a fixed measure are strong, and so are an item's rarest
+quarter and the rarest of every ``PASSAGE`` words in a row: a property of the
+item and the texts, not of the other items. A text that shares a strong seed,
+or two weak ones on nearly one diagonal (text position minus item position),
+proposes that diagonal; overlapping proposals merge into windows.
 
 Alignment. Each window is aligned with the item by Smith-Waterman over words
 (match +2, mismatch -1, gap -1), vectorised over a row: the left-to-right gap
@@ -43,7 +45,7 @@ N = 3
 MIN_WORDS = 5
 THRESHOLD = 0.5
 PASSAGE = 13                  # strict score from which a passage counts: as many words word for word
-CHANCE_PER_TEXT = 0.05        # chance proposals per text that all seeds together may make
+CHANCE = 1e-5                 # chance occurrences per text up to which one seed proposes alone
 BLOCK_CHARS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 STRICT = (1, -4, -4)
@@ -86,7 +88,8 @@ def align(item: np.ndarray, window: np.ndarray, match: int = MATCH, mismatch: in
 
 
 class ItemIndex:
-    """Seeds of a block of items: sorted n-gram hashes with (item, position)."""
+    """Seeds of a block of items: sorted n-gram hashes with (item, position,
+    whether strong)."""
 
     def __init__(self, items: list[tuple[object, np.ndarray]], frequency: dict[int, int], words: int, texts: int):
         self.items = items
@@ -98,32 +101,35 @@ class ItemIndex:
         per_text = words / max(texts, 1)
         total = max(words, 1)
         grams = [ngram_hashes(w if len(w) >= MIN_WORDS else w[:0], N) for _, w in items]
-        budget = np.log(CHANCE_PER_TEXT / max(1, sum(map(len, grams)))) - np.log(max(per_text, 1))
-        seeds, owner, place = [], [], []
+        budget = np.log(CHANCE) - np.log(max(per_text, 1))
+        self.band = np.array([len(w) // 4 + 4 for _, w in items], dtype=np.int64)
+        seeds, owner, place, strong = [], [], [], []
         for k, ((_, w), g) in enumerate(zip(items, grams)):
             if not len(g):
                 continue
             p = np.log([max(frequency.get(int(h), 0), 0.5) / total for h in w])
             rarity = np.sum([p[j:len(p) - N + 1 + j] for j in range(N)], axis=0)
-            keep = rarity <= budget
-            keep[np.argsort(rarity, kind="stable")[:-(-len(g) // 4)]] = True
-            at = np.flatnonzero(keep)
-            seeds.append(g[at]); owner.append(np.full(len(at), k)); place.append(at)
+            alone = rarity <= budget
+            alone[np.argsort(rarity, kind="stable")[:-(-len(g) // 4)]] = True
+            stretch = np.lib.stride_tricks.sliding_window_view(rarity, min(PASSAGE - N + 1, len(g)))
+            alone[np.argmin(stretch, axis=1) + np.arange(len(stretch))] = True
+            seeds.append(g); owner.append(np.full(len(g), k)); place.append(np.arange(len(g))); strong.append(alone)
         join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
         seeds, owner, place = join(seeds, _U), join(owner, np.int64), join(place, np.int64)
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.owner, self.place = seeds[order], owner[order], place[order]
+        self.strong = join(strong, bool)[order]
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[(self.seeds & _U((1 << _TABLE_BITS) - 1)).astype(np.int64)] = True
 
-    def proposals(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(gram position, item, diagonal) of every shared seed."""
+    def proposals(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(gram position, item, diagonal, strong) of every shared seed."""
         maybe = np.flatnonzero(self.table[(grams & _U((1 << _TABLE_BITS) - 1)).astype(np.int64)])
         lo = np.searchsorted(self.seeds, grams[maybe], side="left")
         count = np.searchsorted(self.seeds, grams[maybe], side="right") - lo
         where = np.repeat(maybe, count)
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        return where, self.owner[at], where - self.place[at]
+        return where, self.owner[at], where - self.place[at], self.strong[at]
 
     def search(self, words: np.ndarray, item: int, diagonals: np.ndarray, threshold: float):
         """Best alignment of an item in a text given its proposed diagonals:
@@ -131,7 +137,9 @@ class ItemIndex:
         target = self.items[item][1]
         m = len(target)
         need = threshold * MATCH * m
-        pad = m // 4 + 4
+        pad = int(self.band[item])
+        # a strict score of PASSAGE with e errors takes PASSAGE + 4e matches in e + 1 runs, so as many shared n-grams
+        passage = len(diagonals) >= PASSAGE - N + 1
         lows = np.maximum(np.unique(diagonals) - pad, 0)
         found = None
         lo = hi = None
@@ -140,9 +148,10 @@ class ItemIndex:
                 window = words[lo:hi]
                 a, b = Counter(target.tolist()), Counter(window.tolist())
                 common = sum(min(c, b[h]) for h, c in a.items())
-                if MATCH * common >= need or common >= PASSAGE:
+                long = passage and common >= PASSAGE
+                if MATCH * common >= need or long:
                     score, begin, end = align(target, window)
-                    if ((score >= need or common >= PASSAGE and align(target, window, *STRICT)[0] >= PASSAGE)
+                    if ((score >= need or long and align(target, window, *STRICT)[0] >= PASSAGE)
                             and (found is None or score / (MATCH * m) > found[0])):
                         found = (score / (MATCH * m), lo + begin, lo + end)
                 lo = None
@@ -200,14 +209,19 @@ def _hits(index: ItemIndex, texts: Texts, threshold: float):
     units = Units(texts, NOT_ALNUM, LOWER[texts.buf])
     h = units.hashes()
     yield from _whole(index, units, h)
-    where, owner, diagonal = index.proposals(ngram_hashes(h, N))
+    where, owner, diagonal, strong = index.proposals(ngram_hashes(h, N))
     doc = np.searchsorted(units.bounds, where, side="right") - 1
     inside = where + N <= units.bounds[doc + 1]
-    doc, owner, diagonal = doc[inside], owner[inside], diagonal[inside]
+    doc, owner, diagonal, strong = doc[inside], owner[inside], diagonal[inside], strong[inside]
+    if not len(doc):
+        return
+    order = np.lexsort((diagonal, owner, doc))
+    doc, owner, diagonal, strong = doc[order], owner[order], diagonal[order], strong[order]
+    near = (doc[1:] == doc[:-1]) & (owner[1:] == owner[:-1]) & (np.diff(diagonal) <= index.band[owner[1:]])
+    kept = strong | np.r_[near, False] | np.r_[False, near]
+    doc, owner, diagonal = doc[kept], owner[kept], diagonal[kept]
     if not len(doc):
         return
-    order = np.lexsort((owner, doc))
-    doc, owner, diagonal = doc[order], owner[order], diagonal[order]
     cuts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1])])
     for a, b in zip(cuts, [*cuts[1:], len(doc)]):
         lo, hi = units.bounds[doc[a]], units.bounds[doc[a] + 1]

@@ -97,6 +97,28 @@ def test_long_passages_and_short_items(spark):
     assert (rows[6]["score"], rows[6]["start_word"], rows[6]["end_word"]) == (1.0, 2, 4)
 
 
+def test_rare_word_edits_are_found_among_many_items():
+    import pyarrow as pa
+
+    from gridwake.llm.textunits import text_slices
+    rng = random.Random(9)
+    for common in (200, 700):                    # words of one in 200 or 700, and rare ones
+        items = [[f"r{rng.randrange(10**6)}" if rng.random() < 0.25 else f"c{rng.randrange(common)}" for _ in range(36)]
+                 for _ in range(60)]
+        texts = [[f"n{rng.randrange(10**6)}" if w[0] == "r" else w for w in item] for item in items]
+        texts = [[f"c{rng.randrange(common)}" for _ in range(60)] + t for t in texts]
+        frequency = {int(dc.word_hashes(f"c{i}")[0]): 100_000 // common for i in range(common)}
+        block = [(i, dc.word_hashes(" ".join(w))) for i, w in enumerate(items)]
+        want = {(d, i) for d, t in enumerate(texts) for i, w in block
+                if dc.align(w, dc.word_hashes(" ".join(t)))[0] >= 0.5 * dc.MATCH * len(w)}
+        assert len(want) > 40
+        noise = np.random.default_rng(9).integers(0, 1 << 62, (20_000, 35)).astype(np.uint64)
+        index = dc.ItemIndex(block + [(60 + i, w) for i, w in enumerate(noise)], frequency, 100_000, 100)
+        found = {(d, i) for s in text_slices(pa.array([" ".join(t) for t in texts]))
+                 for d, i, _ in dc._hits(index, s, 0.5)}
+        assert found == want
+
+
 def test_a_mass_leak_is_still_found(spark):
     docs, items, _ = leaks(spark)
     text = items.where("item_id = 3").first()["text"]
