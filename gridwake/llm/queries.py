@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contaminated
+from .exact_dedup import exact_duplicates
 from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .order_minhash import order_fingerprints
@@ -62,6 +63,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_order_minhash": op2_order_minhash,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL = {
@@ -100,5 +106,12 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, m.component_id,
        coalesce(k.n_links, 0) AS n_links
 FROM n JOIN (SELECT d, min(r) AS component_id FROM r GROUP BY d) m ON m.d = n.doc_id
 LEFT JOIN (SELECT a, count(*) AS n_links FROM l GROUP BY a) k ON k.a = n.doc_id
+""",
+    "op13_exact_dedup": r"""
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW w AS (PARTITION BY coalesce(text, ''))
 """,
 }
