@@ -13,6 +13,7 @@ from .decontaminate import contaminated
 from .exact_dedup import exact_duplicates
 from .jaccard_join import jaccard_join
 from .license_scan import license_scan
+from .merkle import verify_tampering
 from .order_minhash import order_fingerprints
 from .packing import pack
 from .quality import quality_scores
@@ -63,6 +64,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_tampering(read_table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -106,6 +112,67 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, m.component_id,
        coalesce(k.n_links, 0) AS n_links
 FROM n JOIN (SELECT d, min(r) AS component_id FROM r GROUP BY d) m ON m.d = n.doc_id
 LEFT JOIN (SELECT a, count(*) AS n_links FROM l GROUP BY a) k ON k.a = n.doc_id
+""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+            || coalesce(octet_length(encode(source)) || ':' || source, '-')
+            || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+            || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text
+  FROM documents),
+l AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS t,
+         sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(octet_length(encode(lower_text)) || ':' || lower_text, '-')) AS tampered
+  FROM d),
+crc_bytes AS (
+  SELECT n AS b, list_reduce(list_prepend(n, range(8)),
+           lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS v
+  FROM range(256) r(n)),
+crc_table AS (SELECT list(v ORDER BY b) AS v FROM crc_bytes),
+crc AS (
+  SELECT doc_id, xor(4294967295, list_reduce(list_prepend(4294967295,
+           [CAST(ord(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+           lambda a, b: xor(a >> 8, v[1 + (xor(a, b) & 255)]))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM l WHERE doc_id IS NOT NULL), crc_table),
+leaves AS (
+  SELECT row_number() OVER () AS k, l.doc_id, t, leaf, CASE WHEN crc % 3 = 0 THEN tampered ELSE leaf END AS used,
+         row_number() OVER (PARTITION BY t ORDER BY l.doc_id NULLS FIRST, leaf) - 1 AS idx
+  FROM l LEFT JOIN crc ON crc.doc_id = l.doc_id),
+nodes AS (
+  SELECT t, 0 AS lvl, idx, leaf AS h FROM leaves
+  UNION ALL
+  SELECT t, lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY t) AS c FROM nodes) WHERE c > 1 GROUP BY t, lvl, idx // 8),
+tops AS (SELECT t, max(lvl) AS top, arg_max(h, lvl) AS subroot FROM nodes GROUP BY t),
+walk AS (
+  SELECT k, t, 0 AS lvl, idx, used AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT w.k, w.t, w.lvl + 1, w.idx // 8,
+         sha256(string_agg(CASE WHEN n.idx = w.idx THEN w.h ELSE n.h END, '' ORDER BY n.idx)),
+         any_value(w.proof) || coalesce(string_agg(CASE WHEN n.idx <> w.idx THEN n.h END, '' ORDER BY n.idx), '')
+  FROM walk w JOIN tops o ON o.t = w.t AND w.lvl < o.top
+  JOIN nodes n ON n.t = w.t AND n.lvl = w.lvl AND n.idx // 8 = w.idx // 8
+  GROUP BY w.k, w.t, w.lvl, w.idx),
+upper_nodes AS (
+  SELECT 0 AS lvl, row_number() OVER (ORDER BY t) - 1 AS idx, subroot AS h FROM tops
+  UNION ALL
+  SELECT lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS c FROM upper_nodes) WHERE c > 1 GROUP BY lvl, idx // 8),
+summit AS (SELECT max(lvl) AS top, arg_max(h, lvl) AS root FROM upper_nodes),
+upper_walk AS (
+  SELECT w.k, 0 AS lvl, o.idx, w.h, w.proof
+  FROM walk w JOIN (SELECT t, top, row_number() OVER (ORDER BY t) - 1 AS idx FROM tops) o ON o.t = w.t AND w.lvl = o.top
+  UNION ALL
+  SELECT w.k, w.lvl + 1, w.idx // 8,
+         sha256(string_agg(CASE WHEN n.idx = w.idx THEN w.h ELSE n.h END, '' ORDER BY n.idx)),
+         any_value(w.proof) || coalesce(string_agg(CASE WHEN n.idx <> w.idx THEN n.h END, '' ORDER BY n.idx), '')
+  FROM upper_walk w JOIN summit s ON w.lvl < s.top
+  JOIN upper_nodes n ON n.lvl = w.lvl AND n.idx // 8 = w.idx // 8
+  GROUP BY w.k, w.lvl, w.idx)
+SELECT f.doc_id, f.leaf, o.subroot, s.root, sha256(u.proof) AS proof_sha256, u.h AS folded_root, u.h = s.root AS verified
+FROM leaves f JOIN tops o ON o.t = f.t JOIN summit s ON true JOIN upper_walk u ON u.k = f.k AND u.lvl = s.top
 """,
     "op13_exact_dedup": r"""
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
