@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contaminated
 from .exact_dedup import exact_duplicates
+from .hard_negatives import mine_embeddings
 from .jaccard_join import jaccard_join
 from .license_scan import license_scan
 from .merkle import verify_tampering
@@ -64,6 +65,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_tampering(read_table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_exact_dedup": op13_exact_dedup,
 }
@@ -112,6 +118,25 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, m.component_id,
        coalesce(k.n_links, 0) AS n_links
 FROM n JOIN (SELECT d, min(r) AS component_id FROM r GROUP BY d) m ON m.d = n.doc_id
 LEFT JOIN (SELECT a, count(*) AS n_links FROM l GROUP BY a) k ON k.a = n.doc_id
+""",
+    "op11_hard_negatives": r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT a, b, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) AS INTEGER) AS rank,
+       n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
 """,
     "op12_merkle_manifest": r"""
 WITH RECURSIVE d AS (
