@@ -68,10 +68,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def intermediate(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the checkpoint folder and read it back:
     cuts the lineage, survives lost executors, prunes columns on reading, and
-    gives the planner true sizes. The files go when the driver's JVM ends."""
+    gives the planner true sizes. The files go with ``release`` or when the
+    driver's JVM ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    hadoop_path, files = _place(spark, path)
+    files.deleteOnExit(hadoop_path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._written_to = path
+    return written
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete tables that ``intermediate`` returned and nothing reads any more:
+    call it once what was derived from them is itself written."""
+    for frame in frames:
+        path = frame.__dict__.pop("_written_to", None)
+        if path:
+            hadoop_path, files = _place(frame.sparkSession, path)
+            files.delete(hadoop_path, True)
+            files.cancelDeleteOnExit(hadoop_path)
+
+
+def _place(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
