@@ -34,8 +34,9 @@ from ..config import Limits
 from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
 from ..session import intermediate
 from .anchored_chunks import anchored_chunk_segments
-from .sequence import (BUCKET, partition_by_bucket, resolve_split,
-                       time_bucket, with_previous, with_previous_within)
+from . import sequence
+from .sequence import (BUCKET, equi_depth, is_split, partition_by_bucket, time_bucket, with_previous,
+                       with_previous_whole, with_previous_within)
 
 SEGMENT_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -52,6 +53,7 @@ SEGMENT_SCHEMA = T.StructType([
 SEGMENT_COLUMNS = SEGMENT_SCHEMA.fieldNames()
 
 ORDER = ["dt", "lat", "lon"]
+PIECE_ROWS = 2_000_000        # rows of an id that one task follows at once
 TAIL_SHARE = 4                # tail copies serve limits up to this fraction of a bucket
 
 
@@ -87,16 +89,23 @@ def _segment_projection(prev: str, zero_time_velocity: float) -> list[Column]:
 
 def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
                          split_seconds: int | str = "auto",
-                         zero_time_velocity: float = math.inf) -> DataFrame:
+                         zero_time_velocity: float = math.inf, target_rows: int | None = None) -> DataFrame:
     """Consecutive rule (every row becomes the next start).
 
     ``split_seconds``: time-bucket width that splits each id over tasks;
-    ``"auto"`` sizes it from the data (one small aggregate job)."""
+    ``"auto"`` splits only ids with more than ``target_rows`` rows (default
+    ``sequence.TARGET_ROWS``), into buckets of that many (one small aggregate
+    job, a few more if there are such ids)."""
     inclusive = bool(limits.inclusive) if limits.inclusive is not None else False
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
            .where(F.col("dt").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
-    split = resolve_split(pts, split_seconds)
-    if limits.time_s * TAIL_SHARE <= split:
+    target = target_rows or sequence.TARGET_ROWS
+    if split_seconds == "auto":
+        if is_split(pts, "id", target):
+            paired = with_previous(equi_depth(pts, "id", "dt", ORDER, target), "id", ORDER, [], F.col(BUCKET))
+        else:
+            paired = with_previous_whole(pts, "id", ORDER)
+    elif limits.time_s * TAIL_SHARE <= (split := int(split_seconds)):
         # pairs further apart than the time limit are never emitted, so each
         # bucket only needs the previous bucket's last time-limit seconds:
         # at most a quarter of the rows is copied, and no join is needed
@@ -117,7 +126,8 @@ def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
 
 def segments_anchored(points: DataFrame, limits: Limits = Limits(),
                       split_seconds: int | str = "auto",
-                      zero_time_velocity: float = -1.0) -> DataFrame:
+                      zero_time_velocity: float = -1.0, piece_rows: int | None = None,
+                      target_rows: int | None = None) -> DataFrame:
     """Anchored rule (a rejected row does not become the next start).
 
     Plan: pair each good row with the previous good row (skew-safe window).
@@ -128,8 +138,10 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     pairs are final (native fast path). Only the stretch from the row before
     ``fd`` up to ``cut`` needs the sequential rule.
 
-    That stretch is evaluated as transfer maps of ``(id, time bucket)`` chunks
-    (``anchored_chunks``), so a hot id is split over many tasks. The annotated
+    That stretch is evaluated as transfer maps of chunks (``anchored_chunks``),
+    so a hot id is split over many tasks. A chunk is a run of an id's buckets
+    with about ``piece_rows`` good rows (default ``PIECE_ROWS``), so sparse
+    stretches are not cut up and dense ones are. The annotated
     rows are written once to the intermediate folder; this, the maps and
     ``split_seconds="auto"`` run Spark actions at call time.
 
@@ -142,7 +154,12 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", _finite("lat"), _finite("lon"))
            .where(F.col("dt").isNotNull()))
     good = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    bucket = time_bucket(F.col("dt"), resolve_split(pts, split_seconds))
+    if split_seconds != "auto":
+        bucket = time_bucket(F.col("dt"), int(split_seconds))
+    elif is_split(pts, "id", target := target_rows or sequence.TARGET_ROWS):
+        pts, bucket = equi_depth(pts, "id", "dt", ORDER, target), F.col(BUCKET)
+    else:
+        bucket = F.lit(0).cast("long")
 
     pts = partition_by_bucket(pts, "id", bucket)      # the only shuffle of all rows
     # The only sort: one window pass over every row of an (id, bucket), bad
@@ -151,13 +168,13 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     w = Window.partitionBy("id", BUCKET).orderBy(
         F.col("dt").asc(), F.col("lat").asc_nulls_first(), F.col("lon").asc_nulls_first())
     goodrow = F.when(good, F.struct("dt", "lat", "lon"))
+    n_good = F.count(goodrow).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     x = pts.select(
-        "id", BUCKET, "dt", "lat", "lon", good.alias("_good"),
+        "id", BUCKET, "dt", "lat", "lon", good.alias("_good"), n_good.alias("_n"),
         F.last(goodrow, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_pg"),
         (F.row_number().over(w) == 1).alias("_head"),
         (good & (F.count(goodrow).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                 == F.count(goodrow).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-         ).alias("_tail"))
+                 == n_good)).alias("_tail"))
     # written once: the summary, the pairing and both outputs read it, so the
     # data is shuffled and sorted once (without it each consumer re-sorts)
     x = intermediate(x, "anchored-annotated")
@@ -169,14 +186,16 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     summary = (x.where(F.col("_head") | F.col("_tail"))
                .groupBy("id", BUCKET)
                .agg(F.max(F.when(F.col("_head"), ~F.col("_good"))).alias("_head_bad"),
-                    F.max(F.when(F.col("_tail"), F.struct("dt", "lat", "lon"))).alias("_last"))
+                    F.max(F.when(F.col("_tail"), F.struct("dt", "lat", "lon"))).alias("_last"), F.max("_n").alias("_n"))
                .select("id", BUCKET,
+                       F.floor(F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                               / F.lit(piece_rows or PIECE_ROWS)).alias("_piece"),
                        F.last("_last", ignorenulls=True)
                        .over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
                        F.first("_head_bad")
                        .over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_dead")))
 
-    paired = (x.where(F.col("_good")).join(summary, ["id", BUCKET], "left")
+    paired = (x.where(F.col("_good")).drop("_n").join(summary, ["id", BUCKET], "left")
               .withColumn("prev", F.coalesce(F.col("_pg"), F.col("_carry"))))
     p = F.col("prev")
     t = elapsed_seconds(p["dt"], F.col("dt")).cast("double")
@@ -205,7 +224,7 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
             .select(*_segment_projection("prev", zero_time_velocity)))
 
     slow_in = (rows.where(F.col("fd").isNotNull() & before_cut & (me >= F.col("fd.anchor")))
-               .select("id", F.col(BUCKET).alias("chunk"), F.unix_timestamp("dt").alias("ts"), "lat", "lon",
+               .select("id", F.col("_piece").alias("chunk"), F.unix_timestamp("dt").alias("ts"), "lat", "lon",
                        F.col("dt").alias("_dt")))
     return fast.unionByName(anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity))
 

@@ -1,14 +1,26 @@
 """Previous-row pairing that does not put a whole key into one task.
 
 ``Window.partitionBy(id)`` sends every row of an id to one task; an id that
-holds a third of the data would then be sorted by a single core. Here each
-id is split into time buckets: ``lag`` runs inside ``(id, bucket)`` and the
-first row of a bucket takes the last row of the nearest earlier non-empty
-bucket from a small per-bucket summary (one row per id and bucket, built
-with partial aggregation). The summary is joined on ``(id, bucket)``, the
-same keys as the window, so the large side is shuffled once: the rows are
-hash-partitioned on ``(id, bucket)`` a single time and the summary, the
-join and the window all reuse that partitioning.
+holds a third of the data would then be sorted by a single core. So ids with
+more than ``TARGET_ROWS`` rows are split into buckets of about that many
+(equi-depth); all others are one bucket.
+
+*Boundaries.* Rows are counted per id and hour. Runs of hours are put together
+until a bucket is full. Hours that alone hold more are cut at quantiles of
+``(dt, lat, lon)``, taken from a sample that a hash of the row decides: it can
+be drawn in any order by any number of tasks, and rows of the same second are
+told apart by their place. A row finds its bucket by an equi-join on (id,
+hour) with one row per hour of a split id, and in cut hours by comparing it
+with the few boundaries there.
+
+*Pairing.* ``lag`` runs inside ``(id, bucket)`` and the first row of a bucket
+takes the last row of the nearest earlier non-empty bucket from a small
+per-bucket summary (one row per id and bucket, built with partial
+aggregation). The summary is joined on ``(id, bucket)``, the same keys as the
+window, so the large side is shuffled once: the rows are hash-partitioned on
+``(id, bucket)`` a single time and the summary, the join and the window all
+reuse that partitioning. Without split ids there is no summary and no forced
+shuffle: a table stored in buckets by id is paired where it lies.
 """
 
 from __future__ import annotations
@@ -19,30 +31,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_bucket"
-
-
-def choose_split_seconds(points: DataFrame, key: str = "id", ts: str = "dt",
-                         target_rows: int = 2_000_000, probe_seconds: int = 3600,
-                         max_seconds: int = 365 * 86400) -> int:
-    """Bucket width such that even the densest key's busiest stretch puts
-    about ``target_rows`` rows into one bucket.
+from ..session import intermediate, release
 
-    One aggregate job (partial aggregation, a scalar back to the driver):
-    rows per (key, probe interval), maximum over all of them."""
-    peak = (points.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-            .groupBy(key, time_bucket(F.col(ts), probe_seconds).alias("_p"))
-            .count().agg(F.max("count")).first()[0])
-    if not peak:
-        return max_seconds
-    width = int(probe_seconds * target_rows / peak)
-    return max(1, min(max_seconds, width))
+BUCKET = "_bucket"
 
 
-def resolve_split(points: DataFrame, split_seconds: int | str, key: str = "id", ts: str = "dt") -> int:
-    if split_seconds == "auto":
-        return choose_split_seconds(points, key, ts)
-    return int(split_seconds)
+TARGET_ROWS = 2_000_000       # rows of a key that one task sorts at once
+CELL_SECONDS = 3600
+SAMPLES = 64                  # sampled rows per bucket of a cut cell
+_CUTS = 1 << 24               # buckets that one cell may be cut into
+
+
+def is_split(points: DataFrame, key: str, target_rows: int) -> bool:
+    """Whether any key has more than ``target_rows`` rows (one aggregate, a
+    scalar back to the driver)."""
+    top = (points.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()[0])
+    return (top or 0) > target_rows
+
+
+def equi_depth(points: DataFrame, key: str, ts: str, order: Sequence[str], target_rows: int) -> DataFrame:
+    """Add ``BUCKET``: buckets of about ``target_rows`` rows for keys that have
+    more, ascending in ``order`` (which begins with ``ts``); 0 for the others
+    and null without a time. Writes two small tables to the intermediate
+    folder."""
+    valid = points.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    cell = time_bucket(F.col(ts), CELL_SECONDS)
+    whole = Window.partitionBy(key)
+    before = F.sum("_n").over(whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))
+    cells = intermediate(
+        valid.groupBy(key, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_base", F.floor(F.coalesce(before, F.lit(0)) / F.lit(target_rows)))
+        .withColumn("_all", F.sum("_n").over(whole)).where(F.col("_all") > target_rows).drop("_all"), "bucket-cells")
+
+    # rows of cut cells, about ``samples`` per bucket, and every so-many-th of them in order
+    row = F.struct(*[F.col(c) for c in order])
+    samples = min(SAMPLES, target_rows)
+    drawn = F.pmod(F.xxhash64(key, *order), F.lit(target_rows)) < samples
+    sample = (valid.where(drawn).select(key, cell.alias("_cell"), row.alias("_row"))
+              .join(cells.where(F.col("_n") > target_rows).select(key, "_cell"), [key, "_cell"]))
+    turn = F.row_number().over(Window.partitionBy(key, "_cell").orderBy("_row"))
+    cuts = (sample.withColumn("_turn", turn).where(F.col("_turn") % samples == 0)
+            .groupBy(key, "_cell").agg(F.sort_array(F.collect_set("_row")).alias("_cuts")))
+    lookup = intermediate(cells.join(cuts, [key, "_cell"], "left").select(key, "_cell", "_base", "_cuts"), "bucket-cuts")
+    release(cells)
+
+    passed = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= row)), F.lit(0))
+    found = F.coalesce(F.col("_base") * _CUTS + F.when(F.col("_cuts").isNull(), 0).otherwise(passed), F.lit(0))
+    return (points.withColumn("_cell", cell).join(lookup, [key, "_cell"], "left")
+            .withColumn(BUCKET, F.when(F.col(ts).isNotNull(), found.cast("long")))
+            .drop("_cell", "_base", "_cuts"))
 
 
 def time_bucket(ts_col: Column, split_seconds: int) -> Column:
@@ -61,16 +98,15 @@ def partition_by_bucket(df: DataFrame, key: str, bucket: Column) -> DataFrame:
 
 
 def with_previous(df: DataFrame, key: str, order: Sequence[str], carry: Sequence[str],
-                  bucket: Column | None, prev_name: str = "prev") -> DataFrame:
+                  bucket: Column, prev_name: str = "prev") -> DataFrame:
     """Add a struct column ``prev_name`` holding ``order + carry`` fields of the
     previous row of the same ``key`` in ``order`` (ascending, nulls first),
     or null for the first row of the key. Also adds ``BUCKET``.
 
-    ``bucket=None`` means ``df`` already went through ``partition_by_bucket``.
     ``order`` must identify a row's place uniquely up to identical rows.
     """
     fields = list(dict.fromkeys([*order, *carry]))
-    d = df if bucket is None else partition_by_bucket(df, key, bucket)
+    d = partition_by_bucket(df, key, bucket)
     row = F.struct(*[F.col(c) for c in fields])
 
     # one row per (key, bucket): its last row; struct ordering = order columns first
@@ -85,6 +121,14 @@ def with_previous(df: DataFrame, key: str, order: Sequence[str], carry: Sequence
             .drop("_carry"))
 
 
+def with_previous_whole(df: DataFrame, key: str, order: Sequence[str], prev_name: str = "prev") -> DataFrame:
+    """``with_previous`` for keys that are one bucket each. Asks for nothing
+    but rows together by key and sorted, which a stored layout may provide."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return (df.where(F.col(key).isNotNull())
+            .withColumn(prev_name, F.lag(F.struct(*[F.col(c) for c in order])).over(w)))
+
+
 def with_previous_within(df: DataFrame, key: str, order: Sequence[str], ts: Column,
                          split_seconds: int, horizon_seconds: float,
                          prev_name: str = "prev") -> DataFrame:

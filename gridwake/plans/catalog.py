@@ -22,7 +22,7 @@ from ..operators.paths import count_segments, segments_anchored, segments_consec
 from ..operators.stats import cell_stats, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
 from ..session import ensure_checkpoint_dir
-from ..sinks.writers import export_counts, write_stage, write_tiles
+from ..sinks.writers import export_counts, write_positions, write_stage, write_tiles
 from ..sources.events import event_lat, event_lon, events_path, points_from_events
 from ..sources.positions import (filter_region, normalise_positions, parse_text_lines, points_from_table,
                                  points_from_text, read_points, read_position_log, to_points)
@@ -198,10 +198,40 @@ def q_segments_anchored_interleaved(spark, sf_dir):
     return _segment_out(segments_anchored(pts, LIMITS_ANCHORED, split_seconds=86400))
 
 
+LIMITS_SPARSE = Limits(time_s=60 * 86400, distance_km=300)
+
+
+def q_segments_anchored_sparse(spark, sf_dir):
+    """Ten users share an id and are elsewhere for most of the time: anchors
+    have to pass chunk after chunk that they do not touch."""
+    pts = _points(spark, sf_dir)
+    away = F.dayofmonth("dt").between(4, 27) & (F.col("id").cast("bigint") % 10 != 0)
+    pts = pts.select(F.expr("cast(cast(id as bigint) div 10 as string)").alias("id"), "dt",
+                     F.when(away, F.col("lat") - 70.0).otherwise(F.col("lat")).alias("lat"), "lon")
+    return _segment_out(segments_anchored(pts, LIMITS_SPARSE, split_seconds=3 * 3600, piece_rows=50))
+
+
 def q_segments_consecutive(spark, sf_dir):
     return _segment_out(_consecutive(spark, sf_dir))
 
 
+LIMITS_DAYS = Limits(time_s=3 * 86400, distance_km=300, inclusive=False)
+
+
+def q_segments_same_second(spark, sf_dir):
+    """All rows of an id and day carry one time, so ids are split inside it."""
+    pts = _points(spark, sf_dir).withColumn("dt", F.date_trunc("day", "dt"))
+    pts = pts.withColumn("id", F.expr("cast(cast(id as bigint) div 50 as string)"))
+    return _segment_out(segments_consecutive(pts, LIMITS_DAYS, target_rows=20)).drop("velocity_kmh")
+
+
+def q_segments_stored(spark, sf_dir):
+    """Positions stored in buckets by id, then paired where they lie."""
+    table = f"positions_{uuid.uuid4().hex}"
+    write_positions(_points(spark, sf_dir), table, buckets=8, path=_folder(spark, "positions"))
+    return _segment_out(segments_consecutive(spark.read.table(table), LIMITS_CONSECUTIVE))
+
+
 def q_segments_velocity(spark, sf_dir):
     return _segment_out(segments_consecutive(_points(spark, sf_dir), LIMITS_VELOCITY))
 
@@ -458,6 +488,9 @@ QUERIES: dict[str, Query] = {
     "segments_dirty_consecutive": q_segments_dirty_consecutive,
     "segments_dirty_anchored": q_segments_dirty_anchored,
     "segments_anchored_interleaved": q_segments_anchored_interleaved,
+    "segments_anchored_sparse": q_segments_anchored_sparse,
+    "segments_same_second": q_segments_same_second,
+    "segments_stored": q_segments_stored,
     "cell_track_pairs": q_cell_track_pairs,
     "count_export_round_trip": q_count_export_round_trip,
     "stage_round_trip": q_stage_round_trip,

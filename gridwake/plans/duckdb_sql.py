@@ -419,6 +419,17 @@ def build() -> dict[str, str]:
     pairs = "ipts AS (SELECT CAST(CAST(id AS BIGINT) // 2 AS VARCHAR) AS id, dt, lat, lon FROM pts)"
     Q["segments_anchored_interleaved"] = with_(POINTS, pairs, anchored(C.LIMITS_ANCHORED, src="ipts", name="segi")) + (
         f" SELECT {SEG_OUT} FROM segi")
+    sparse = f"""spts AS (
+  SELECT CAST(CAST(id AS BIGINT) // 10 AS VARCHAR) AS id, dt,
+         CASE WHEN day(dt) BETWEEN 4 AND 27 AND CAST(id AS BIGINT) % 10 <> 0 THEN lat - {d(70)} ELSE lat END AS lat, lon
+  FROM pts)"""
+    Q["segments_anchored_sparse"] = with_(POINTS, sparse, anchored(C.LIMITS_SPARSE, src="spts", name="segs")) + (
+        f" SELECT {SEG_OUT} FROM segs")
+    same = ("upts AS (SELECT CAST(CAST(id AS BIGINT) // 50 AS VARCHAR) AS id, date_trunc('day', dt) AS dt, lat, lon"
+            " FROM pts)")
+    Q["segments_same_second"] = with_(POINTS, same, consecutive(C.LIMITS_DAYS, src="upts", name="segu")) + (
+        f" SELECT {SEG_OUT.rsplit(', ', 1)[0]} FROM segu")
+    Q["segments_stored"] = Q["segments_consecutive"]
     nan, k = "CAST('nan' AS DOUBLE)", "event_id"
     dirty = POINTS.replace("ts AS raw_ts", k).replace("pts AS", "raw AS") + f""",
 dpts AS (

@@ -1,5 +1,5 @@
 """Sinks: stage tables, tab-separated count export, tile sets."""
 
-from .writers import export_counts, write_cell_tables, write_stage, write_tiles
+from .writers import export_counts, write_cell_tables, write_positions, write_stage, write_tiles
 
-__all__ = ["export_counts", "write_cell_tables", "write_stage", "write_tiles"]
+__all__ = ["export_counts", "write_cell_tables", "write_positions", "write_stage", "write_tiles"]

@@ -20,6 +20,17 @@ def write_stage(df: DataFrame, target: str, fmt: str = "parquet", as_table: bool
         w.save(target)
 
 
+def write_positions(points: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Store positions as a catalog table in ``buckets`` by ``id``, sorted by
+    ``id, dt, lat, lon``: both path rules read such a table without shuffling
+    it, as long as no id needs splitting. Choose ``buckets`` for about the size
+    of a partition each; rows are brought together by id first, so that each
+    bucket is one file."""
+    writer = (points.repartition(buckets, "id").write.mode("overwrite").format("parquet")
+              .bucketBy(buckets, "id").sortBy("id", "dt", "lat", "lon"))
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def export_counts(counts: DataFrame, path: str) -> None:
     """Cell counts as tab-separated text with header
     ``latitude longitude count date``."""

@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 
 from gridwake.config import Limits
 from gridwake.operators.paths import count_segments, segments_anchored, segments_consecutive
@@ -8,6 +9,13 @@ from gridwake.operators.paths import count_segments, segments_anchored, segments
 DAY = 86400
 
 
+@pytest.fixture(autouse=True)
+def small_pieces(monkeypatch):
+    """Every time bucket is a chunk of its own, so that chunks are exercised."""
+    from gridwake.operators import paths
+    monkeypatch.setattr(paths, "PIECE_ROWS", 1)
+
+
 def rows_of(df):
     return sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s, r.velocity_kmh)
                   for r in df.select("id", "alat", "alon", "blat", "blon", "time_s", "velocity_kmh").collect())
@@ -178,14 +186,13 @@ def test_split_size_does_not_change_result(points):
 
 
 def test_auto_split(points):
-    from gridwake.operators.sequence import choose_split_seconds
-    rows = random_tracks(13, bad=False)
-    p = points(rows)
-    w = choose_split_seconds(p, target_rows=3)
-    assert 60 <= w <= 30 * 86400
-    a = rows_of(segments_consecutive(p, split_seconds="auto"))
-    b = rows_of(segments_consecutive(p, split_seconds=10 ** 9))
-    assert a == b
+    """Buckets of a few rows and no buckets at all give the same segments."""
+    p = points(random_tracks(13, bad=False))
+    whole = rows_of(segments_consecutive(p, split_seconds="auto"))
+    assert rows_of(segments_consecutive(p, split_seconds=10 ** 9)) == whole
+    assert rows_of(segments_consecutive(p, split_seconds="auto", target_rows=5)) == whole
+    limits = Limits(time_s=50000.0, distance_km=60.0)
+    assert rows_of(segments_anchored(p, limits, target_rows=5)) == rows_of(segments_anchored(p, limits))
 
 
 def test_consecutive_tail_copies_equal_loop(points):
@@ -258,6 +265,95 @@ def test_no_scan_sees_more_than_one_chunk(points, monkeypatch):
     assert sum(scanned) <= 2 * chunks and len(scanned) <= 5     # rounds follow the tracks, not the chunks
 
 
+def sparse_track(chunks, step=600):
+    """One row near the anchor at both ends, and far ones in every chunk between."""
+    far = [("s", (k + 1) * step + j * 60, 40.0 + 0.01 * (k % 50), -70.0 - 0.1 * j) for k in range(chunks) for j in range(3)]
+    end = (chunks + 2) * step
+    return [("s", 0, 1.0, 1.0), ("s", 30, 1.1, 1.0), *far, ("s", end, 1.2, 1.0), ("s", end + 30, 1.3, 1.0)]
+
+
+@pytest.mark.parametrize("fan", [1024, 8])
+def test_an_anchor_jumps_over_untouched_chunks(points, monkeypatch, fan):
+    """500 chunks without a touch: rounds do not grow with their number."""
+    from gridwake.operators import anchored_chunks as ac
+    rounds = []
+    real = ac.intermediate
+
+    def spy(df, label):
+        rounds.append(label == "anchored-scan")
+        return real(df, label)
+    monkeypatch.setattr(ac, "intermediate", spy)
+    monkeypatch.setattr(ac, "FAN", fan)
+    rows = sparse_track(500 if fan > 100 else 150)
+    limits = Limits(time_s=10.0 ** 6, distance_km=100.0)
+    got = segments_anchored(points(rows), limits, split_seconds=600)
+    g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+    assert g == loop_anchored(rows, limits.time_s, limits.distance_km) and len(g) == 3
+    assert sum(rounds) <= 10
+
+
+def test_jumps_keep_late_rows_and_any_shape(points):
+    """Random tracks with long excursions, antimeridian, poles and time limits
+    that end inside an untouched stretch, against the row loop."""
+    rng = random.Random(4)
+    rows = []
+    for name in range(12):
+        lat, lon, t = rng.uniform(-89, 89), rng.choice([179.9, -179.95, 0.0, 60.0]), 0
+        home = (lat, lon)
+        for _ in range(rng.randint(3, 9)):
+            for _ in range(rng.randint(1, 40)):
+                t += rng.randint(1, 400)
+                rows.append((f"t{name}", t, max(-90.0, min(90.0, lat + rng.uniform(-0.3, 0.3))),
+                             (lon + rng.uniform(-0.3, 0.3) + 180) % 360 - 180))
+            lat, lon = home if rng.random() < 0.5 else (rng.uniform(-89, 89), rng.uniform(-180, 179))
+    for time_limit in (700.0, 6000.0, 10.0 ** 6):
+        got = segments_anchored(points(rows), Limits(time_s=time_limit, distance_km=150.0), split_seconds=300)
+        g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+        assert g == loop_anchored(rows, time_limit, 150.0)
+
+
+def test_pieces_follow_the_rows_and_never_change_the_result(points, monkeypatch):
+    """Chunks are runs of buckets: few rows are one chunk and need one scan."""
+    from gridwake.operators import anchored_chunks as ac
+    from gridwake.operators import paths
+    labels = []
+    real = ac.intermediate
+    monkeypatch.setattr(ac, "intermediate", lambda df, label: labels.append(label) or real(df, label))
+    rows = interleaved(3, 300) + sparse_track(40)
+    limits = Limits(time_s=10.0 ** 5, distance_km=100.0)
+    expected = loop_anchored(rows, limits.time_s, limits.distance_km)
+    scans = []
+    for size in (2_000_000, 30):
+        monkeypatch.setattr(paths, "PIECE_ROWS", size)
+        labels.clear()
+        got = segments_anchored(points(rows), limits, split_seconds=600)
+        assert sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect()) == expected
+        scans.append(labels.count("anchored-scan"))
+    assert scans[0] == 1 < scans[1]
+
+
+def test_caps_hold_all_points():
+    import numpy as np
+    from gridwake.functions.geo import great_circle_km
+    from gridwake.operators.anchored_chunks import CAPS, Caps
+    rng = np.random.default_rng(6)
+    for spread in (0.5, 20, 90):
+        caps, lat, lon = Caps(300.0), rng.uniform(-spread, spread, 3000), rng.uniform(-2 * spread, 2 * spread, 3000)
+        for part in np.array_split(np.arange(3000), 4):
+            caps.add(lat[part], lon[part])
+        assert len(caps.caps) <= CAPS
+        inside = np.zeros(3000, bool)
+        for a, b, r in caps.caps:
+            inside |= great_circle_km(a, b, lat, lon) <= r + 1e-6
+        assert inside.all()
+        above = Caps(1200.0)
+        above.add(*map(np.array, zip(*caps.caps)))
+        for a, b, r in caps.caps:
+            assert any(great_circle_km(x, y, a, b) + r <= z + 1e-6 for x, y, z in above.caps)
+    caps.add(np.array([np.nan]), np.array([0.0]))
+    assert caps.caps == [[0.0, 0.0, np.inf]]
+
+
 def test_follow_equals_the_row_loop():
     import numpy as np
     from gridwake.operators.anchored_chunks import follow

@@ -2,12 +2,14 @@
 results must stay exact."""
 
 import random
+import uuid
 
 from pyspark.sql import functions as F
 
 from gridwake.config import Limits
 from gridwake.operators.paths import segments_anchored, segments_consecutive
-from gridwake.operators.sequence import BUCKET, partition_by_bucket, time_bucket
+from gridwake.operators.sequence import BUCKET, equi_depth, partition_by_bucket, time_bucket
+from gridwake.sinks import write_positions
 
 from test_paths import loop_anchored, loop_consecutive
 
@@ -61,3 +63,59 @@ def test_hot_id_results_exact(spark, points):
     got = segments_anchored(p, lim_a, split_seconds=3600)
     g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
     assert g == loop_anchored(rows, 1800.0, 100.0)
+
+
+def one_second(n=4000, seed=8):
+    """One id with all rows in one second beside ids with few rows."""
+    rnd = random.Random(seed)
+    rows = [("dense", 7200, round(rnd.uniform(-5, 5), 3), round(rnd.uniform(-5, 5), 3)) for _ in range(n)]
+    rows += [(f"s{i}", rnd.randint(0, 10 ** 6), rnd.uniform(0, 3), rnd.uniform(0, 3)) for i in range(5) for _ in range(40)]
+    return rows + [("dense", 7260, 1.0, 1.0), ("dense", 100, 1.0, 1.0), ("none", None, 1.0, 1.0), ("bad", 50, None, 1.0)]
+
+
+def test_equal_seconds_are_split_and_sparse_ids_are_not(spark, points):
+    p = points(one_second())
+    found = equi_depth(p, "id", "dt", ["dt", "lat", "lon"], 200)
+    sizes = found.groupBy("id", BUCKET).count().collect()
+    dense = {r[BUCKET]: r["count"] for r in sizes if r["id"] == "dense"}
+    assert len(dense) >= 12 and max(dense.values()) < 3 * 200
+    assert all(len({r[BUCKET] for r in sizes if r["id"] == f"s{i}"}) == 1 for i in range(5))
+    assert [r[BUCKET] for r in sizes if r["id"] == "none"] == [None]
+    # buckets ascend in the order of the rows
+    rows = found.where("id = 'dense'").orderBy("dt", "lat", "lon").select(BUCKET).collect()
+    assert [r[0] for r in rows] == sorted(r[0] for r in rows)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        part = partition_by_bucket(found, "id", F.col(BUCKET)).where("id = 'dense'")
+        assert part.select(F.spark_partition_id()).distinct().count() >= 6
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_split_inside_a_second_is_exact(spark, points):
+    rows = one_second(900)
+    p = points(rows)
+    got = segments_consecutive(p, Limits(time_s=3600.0, distance_km=200.0, inclusive=False), target_rows=60)
+    g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+    assert g == loop_consecutive(rows, 3600.0, 200.0)
+    got = segments_anchored(p, Limits(time_s=3600.0, distance_km=200.0), target_rows=60, piece_rows=50)
+    g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+    assert g == loop_anchored(rows, 3600.0, 200.0)
+
+
+def test_a_stored_layout_needs_no_exchange(spark, points, tmp_path):
+    """Positions stored in buckets by id are paired where they lie."""
+    rows = [r for r in hot_rows(n_hot=300, n_cold_ids=12) if r[2] is not None]
+    table = f"stored_{uuid.uuid4().hex}"
+    write_positions(points(rows), table, buckets=5, path=str(tmp_path / "positions"))
+    limits = Limits(time_s=1800.0, distance_km=100.0, inclusive=False)
+    stored = spark.read.table(table)
+    got = segments_consecutive(stored, limits)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan and "Bucketed: true" in plan
+    assert "Exchange" in segments_consecutive(points(rows), limits)._jdf.queryExecution().executedPlan().toString()
+    g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
+    assert g == loop_consecutive(rows, 1800.0, 100.0)
+    spark.sql(f"drop table {table}")
