@@ -4,13 +4,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from gridwake.llm.packing import combinations, nonnegative_least_squares, pack, plan_sequences
+from gridwake.llm.packing import Stretches, combinations, nonnegative_least_squares, pack, plan_sequences
+from gridwake.llm.textunits import text_slices
 from gridwake.llm.token_counts import PieceRanks, token_counts
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -76,6 +78,41 @@ def test_packing_covers_every_id_once_with_little_padding(spark, documents, edge
     assert pack(empty, WORDS).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 8, 17])
+def test_slices_of_empty_texts_at_any_layout(spark, edge, partitions):
+    docs = spark.createDataFrame([(0, ""), (1, ""), (2, None), (3, ""), (4, None)], "doc_id long, text string")
+    check_packing(docs.collect(), pack(docs.repartition(partitions), WORDS).collect())
+    check_packing(edge.collect(), pack(edge.repartition(partitions), WORDS).collect())
+
+
+def test_short_documents_fill_their_sequences(spark):
+    docs = spark.createDataFrame([(i, "") for i in range(10000)], "doc_id long, text string")
+    assert check_packing(docs.collect(), pack(docs, WORDS).collect()) > 0.95
+    rng = np.random.default_rng(2)
+    rows = [(i, "word " * int(n)) for i, n in enumerate(rng.integers(0, 23, 6000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert check_packing(docs.collect(), pack(docs, WORDS).collect()) > 0.95
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abcxyzABZ'st0189 .,\n\t<|>éÉ́日😀İ_"), max_size=60), max_size=6))
+def test_stretches_equal_the_library(texts):
+    """Batches are encoded one after another, so known and new stretches mix."""
+    kept = test_stretches_equal_the_library.__dict__.setdefault("kept", Stretches(WORDS))
+    for slice_ in text_slices(pa.array([*texts, *texts[:2]], pa.string())):
+        got = [ids.tolist() for ids in kept.documents(slice_)]
+        assert got == [kept.tokenizer.encode(t, add_special_tokens=False).ids for t in [*texts, *texts[:2]]]
+
+
+def test_long_stretches_leave_no_trace():
+    kept = Stretches(WORDS)
+    letters = np.random.default_rng(1).integers(0, 26, 300_000) + 97
+    for part in np.array_split(letters, 5):
+        for slice_ in text_slices(pa.array([bytes(part.tolist()).decode() + " few words", "日本" * 20_000])):
+            kept.documents(slice_)
+    assert len(kept.keys) == 2 and len(kept.ids) < 10
+
+
 def test_a_hot_length_is_ranked_in_parts(spark, monkeypatch):
     from gridwake.llm import packing
     monkeypatch.setattr(packing, "RANK_ROWS", 16)
