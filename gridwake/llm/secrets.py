@@ -54,7 +54,7 @@ PEM = (r"-----BEGIN [A-Z0-9 ]{1,60}-----(?:(?:(?!-----)[\s\S])*+-----END [A-Z0-9
 VALUE = (r"(?<=[:=> \t\"'`])(?<=[:=]>?[ \t]{0,20}(?:[\"'`]?[A-Za-z]{5,6}[ \t]{1,4})?[\"'`]?)(?![\s\"'`])(?<=" + ASSIGNED
          + r")(?!(?i:bearer|basic)[ \t])(?:"
          + "|".join(rf"(?<={q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+)*+(?={q})" for q in "\"'`")
-         + r"|(?:(?!&\w{1,40}=|[,.;)\]}\"'`>]*+(?:\s|$))\S)++)")
+         + r"|(?:[^\s&,.;)\]}\"'`>]++|&(?!\w{1,40}=)|[,.;)\]}\"'`>]++(?!\s|$))++)")
 URL_PASSWORD = rf"(?<=:)(?<={URL_USER})[^\s/?#\"'<>]+(?=@)"
 RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])"
 CANDIDATE = f"{PEM}|{VALUE}|{URL_PASSWORD}|{RUN}"

@@ -14,8 +14,10 @@ base 32. Where the source has no record id it gets the derived one.
 
 Defined results: a null payload is empty (its text and links too); a null URI
 leaves the target URI header out; a null date takes the ``date`` default.
-Header values lose line breaks. Repeated rows give equal records. Other
-columns are ignored.
+Header values lose line breaks. Very long pages are handled whole, in time
+that grows with their length whatever they hold: every search moves forward
+only. Repeated rows give equal records, an empty table none; there are no
+ties. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -35,27 +37,116 @@ SCHEMA = ("record_type string, record_id string, refers_to string, concurrent_to
           "headers string, block string")
 _COLUMNS = [part.split()[0] for part in SCHEMA.split(", ")]
 
-_UNSEEN = re.compile(r"(?is)<(script|style|noscript|template|head)\b[^>]*>.*?</\1\s*>|<!--.*?-->")
+# beginnings of tags; where a tag ends is looked up from there, each place of the page once
+_UNSEEN = re.compile(r"(?i)<(script|style|noscript|template|head)\b|<!--")
 _BREAK = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|nav|article|section|header|footer|aside|main|"
-                    r"blockquote|pre|form|hr|dl|dt|dd|figure|title|body|html)\b[^>]*>")
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
+                    r"blockquote|pre|form|hr|dl|dt|dd|figure|title|body|html)\b")
+_TAG = re.compile(r"<[a-zA-Z/!?]")
 _BLANK = re.compile(r"[ \t\f\v\xa0]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LANG = re.compile(r"(?is)<html\b[^>]*\blang\s*=\s*[\"']?([\w-]+)")
-_HREF = re.compile(r"(?i)<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_TITLE = re.compile(r"(?i)<title\b")
+_HTML = re.compile(r"(?i)<html\b")
+_LANG = re.compile(r"(?i)\blang\s*=\s*[\"']?([\w-]+)")
+_LINK = re.compile(r"(?i)<a\b")
+_HREF = re.compile(r"(?i)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+
+
+class _Next:
+    """The first match of ``pattern`` at or after a position. Positions must
+    not fall, so a page is searched once however often this is asked."""
+
+    def __init__(self, pattern: re.Pattern, text: str):
+        self.pattern, self.text, self.match, self.gone = pattern, text, None, False
+
+    def after(self, at: int) -> re.Match | None:
+        if not self.gone and (self.match is None or self.match.start() < at):
+            self.match = self.pattern.search(self.text, at)
+            self.gone = self.match is None
+        return None if self.gone else self.match
+
+
+def _without_unseen(page: str) -> str:
+    """The page with a blank for each comment and each closed element that is
+    not shown; where the end is missing, the beginning counts as a plain tag."""
+    out, at = [], 0
+    gt, ends = _Next(re.compile(">"), page), {}
+    for m in _UNSEEN.finditer(page):
+        if m.start() < at:
+            continue
+        name = (m[1] or "").lower()
+        begin = gt.after(m.end()) if name else m
+        if begin is None:
+            continue
+        if name not in ends:
+            ends[name] = _Next(re.compile(rf"(?i)</{name}\s*>" if name else "-->"), page)
+        end = ends[name].after(begin.end())
+        if end is not None:
+            out += [page[at:m.start()], " "]
+            at = end.end()
+    out.append(page[at:])
+    return "".join(out)
+
+
+def _replace_tags(text: str, opening: re.Pattern, by: str) -> str:
+    out, at = [], 0
+    for m in opening.finditer(text):
+        if m.start() < at:
+            continue
+        end = text.find(">", m.end())
+        if end < 0:
+            break
+        out += [text[at:m.start()], by]
+        at = end + 1
+    out.append(text[at:])
+    return "".join(out)
 
 
 def visible_text(page: str) -> str:
     """Text of an HTML page: no scripts, styles, head or comments; block tags
     break lines; entities are decoded; blanks are collapsed."""
-    text = _TAG.sub("", _BREAK.sub("\n", _UNSEEN.sub(" ", page)))
+    text = _replace_tags(_replace_tags(_without_unseen(page), _BREAK, "\n"), _TAG, "")
     if "&" in text:
         text = html.unescape(text)
     text = text.replace("\r", "\n")
     return _LINES.sub("\n", _BLANK.sub(" ", text)).strip()
 
 
+def title(page: str) -> str | None:
+    opening = _TITLE.search(page)
+    begin = page.find(">", opening.end()) if opening else -1
+    end = re.compile(r"(?i)</title\s*>").search(page, begin) if begin >= 0 else None
+    return html.unescape(page[begin + 1:end.start()]) if end else None
+
+
+def language(page: str) -> str | None:
+    """The last ``lang`` of the first ``html`` tag that has one."""
+    gt, lang = _Next(re.compile(">"), page), _Next(_LANG, page)
+    for m in _HTML.finditer(page):
+        first, end = lang.after(m.end()), gt.after(m.end())
+        if first is None:
+            return None
+        stop = end.start() if end else len(page)
+        if first.start() < stop:
+            return [x[1] for x in _LANG.finditer(page, first.start(), stop)][-1]
+    return None
+
+
+def links(page: str) -> list[str]:
+    """Targets of all ``a`` tags, in order."""
+    found, at = [], 0
+    gt, href = _Next(re.compile(">"), page), _Next(_HREF, page)
+    for m in _LINK.finditer(page):
+        if m.start() < at:
+            continue
+        target, end = href.after(m.end()), gt.after(m.end())
+        if target is None:
+            break
+        if end is None or target.start() <= end.start():
+            found.append(html.unescape(target[1] or target[2] or target[3] or ""))
+            at = target.end()
+    return found
+
+
 def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -98,12 +189,11 @@ def derive(uri: str | None, page: str | None, date: str, record_id: str | None =
                 "warc-type", "warc-record-id", "warc-refers-to", "warc-concurrent-to", "warc-target-uri", "warc-date",
                 "warc-block-digest", "warc-payload-digest", "warc-refers-to-payload-digest"):
             extra.append((name.strip(), _flat(value)))
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    links = [html.unescape("".join(m)) for m in _HREF.findall(page)]
-    fields = [("title", _flat(html.unescape(title[1]))) if title else None,
-              ("language", lang[1]) if lang else None,
+    name, lang, targets = title(page), language(page), links(page)
+    fields = [("title", _flat(name)) if name is not None else None,
+              ("language", lang) if lang else None,
               ("payload-bytes", str(len(page.encode("utf-8")))),
-              ("outlinks", str(len(links))), *[("outlink", _flat(link)) for link in dict.fromkeys(links)]]
+              ("outlinks", str(len(targets))), *[("outlink", _flat(link)) for link in dict.fromkeys(targets)]]
     block = "".join(f"{f[0]}: {f[1]}{CRLF}" for f in fields if f)
     meta_id = _uuid("metadata", *key)
     meta = _record("metadata", meta_id, response, None, uri, date, "application/warc-fields", payload, block, extra)

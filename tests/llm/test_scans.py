@@ -5,6 +5,8 @@ import gzip
 import hashlib
 import random
 import re
+import time
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -183,6 +185,43 @@ def test_visible_text():
     assert warc.visible_text(page) == "One two\nthreefour\n5 < 6 <tag>"
 
 
+@pytest.mark.parametrize("piece", ["<script>", "<!--", "<a ", "<p ", "<title>", "<html ", '<a href="', "<a href=", "<script ",
+                                   "</script ", "< ", "&amp", "<head><style "])
+def test_hostile_pages_take_linear_time(piece):
+    began = time.time()
+    warc.derive("u", piece * (1_000_000 // len(piece)), "d")
+    assert time.time() - began < 5
+
+
+class PlainLinks(HTMLParser):
+    def __init__(self):
+        super().__init__()
+        self.links, self.titles, self.lang, self.inside = [], [], None, False
+
+    def handle_starttag(self, tag, attrs):
+        attrs = dict(attrs)
+        if tag == "a" and "href" in attrs:
+            self.links.append(attrs["href"] or "")
+        if tag == "html":
+            self.lang = self.lang or attrs.get("lang")
+        self.inside = tag == "title"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.titles.append(data)
+            self.inside = False
+
+
+def test_links_title_and_language_equal_a_parser(spark, sf):
+    """Against the standard library's parser, on every given page."""
+    for (page,) in spark.read.parquet(f"{sf}/pages.parquet").select("html").collect():
+        plain = PlainLinks()
+        plain.feed(page or "")
+        assert warc.links(page or "") == plain.links
+        assert (warc.title(page or "") or "") == "".join(plain.titles[:1])
+        assert warc.language(page or "") == plain.lang
+
+
 def test_source_headers_and_ids_are_kept(spark):
     row = [(1, "http://a/", "<a href='x&amp;y'>l</a><a href=z>", "2024-01-01T00:00:00Z", "<urn:uuid:1>",
             "WARC-IP-Address: 1.2.3.4\nWARC-Type: response\nServer: s")]
@@ -306,6 +345,41 @@ def test_secret_edge_rows(spark, edge, empty):
     assert secrets.secret_scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("piece", [",", ")", '"', "'", "=", ":", "=,", "&a", "a&", " password=,", 'password="', "://a:",
+                                   "-----BEGIN A-----", "-----BEGIN PRIVATE KEY-----\\n", "A1b2C3d4", "`>", "token: "])
+def test_hostile_texts_take_linear_time(spark, piece):
+    text = "password=" + piece * (1_000_000 // len(piece))
+    df = spark.createDataFrame([(text,)], "text string")
+    began = time.time()
+    found = df.select(secrets.candidates(F.col("text")).alias("c"), secrets.pieces(F.col("text")).alias("p")).first()
+    assert time.time() - began < 8
+    assert len(found["p"]) == len(found["c"]) + 1
+    assert "".join(x for pair in zip(found["p"], [*found["c"], ""]) for x in pair) == text
+
+
+def test_values_end_as_before_the_closing_marks(spark):
+    """The value of a named credential against a plain reading of the rule."""
+    marks = ",.;)]}\"'`>"
+    rng = random.Random(3)
+    for_all = ["password=" + "".join(rng.choice("ab1,.;)]}>&=x") for _ in range(rng.randint(1, 12))) + rng.choice([" z", "", "\n", ", z"])
+               for _ in range(400)]
+
+    def plain(text):
+        at = begin = len("password=")
+        while at < len(text) and not text[at].isspace():
+            if re.match(r"&\w{1,40}=", text[at:]) or re.match(rf"[{re.escape(marks)}]*(\s|$)", text[at:]):
+                break
+            at += 1
+        return text[begin:at]
+
+    rows = spark.createDataFrame([(t,) for t in for_all], "text string").select(
+        "text", secrets.candidates(F.col("text")).alias("c")).collect()
+    for r in rows:
+        # ">" and "=" right after the name belong to the assignment
+        if r["text"][len("password="):][:1] not in ">=":
+            assert (r["c"] or [""])[0] == plain(r["text"]), r["text"]
+
+
 def test_the_scan_runs_no_python(spark, documents):
     plan = secrets.secret_scan(documents)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
