@@ -17,9 +17,11 @@ produced and whole-stage codegen covers it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import COORD_TOLERANCE, MIN_INTERPOLATION_SPEED, Grid, label_digits
@@ -39,44 +41,140 @@ def _grids(grid: Grid | Sequence[Grid]) -> list[Grid]:
     return grids
 
 
-def _per_grid(grids: list[Grid], fn) -> Column:
-    """A column that evaluates ``fn(grid)`` for the row's grid (plan-time
-    literals; a single grid needs no CASE)."""
-    if len(grids) == 1:
-        return fn(grids[0])
-    expr = None
-    for g in grids:
-        cond = F.col("grid") == F.lit(g.name)
-        expr = F.when(cond, fn(g)) if expr is None else expr.when(cond, fn(g))
-    return expr
-
-
-def filter_segments_region(segments: DataFrame, grid: Grid) -> DataFrame:
-    """Keep segments with at least one end inside the grid's region
-    (closed box, 1e-7 tolerance). A segment passing over the whole region
-    with both ends outside is dropped."""
-    r, tol = grid.region, COORD_TOLERANCE
-
-    def inside(lat: str, lon: str) -> Column:
-        return (F.col(lat).between(min(r.lat_min, r.lat_max) - tol, max(r.lat_min, r.lat_max) + tol)
-                & F.col(lon).between(min(r.lon_min, r.lon_max) - tol, max(r.lon_min, r.lon_max) + tol))
-
-    return segments.where(inside("alat", "alon") | inside("blat", "blon"))
-
-
-def _region_ok(grids: list[Grid]) -> Column:
-    r_tol = COORD_TOLERANCE
-
-    def ok(g: Grid) -> Column:
-        r = g.region
-        lat_lo, lat_hi = min(r.lat_min, r.lat_max) - r_tol, max(r.lat_min, r.lat_max) + r_tol
-        lon_lo, lon_hi = min(r.lon_min, r.lon_max) - r_tol, max(r.lon_min, r.lon_max) + r_tol
-        return ((F.col("alat").between(lat_lo, lat_hi) & F.col("alon").between(lon_lo, lon_hi))
-                | (F.col("blat").between(lat_lo, lat_hi) & F.col("blon").between(lon_lo, lon_hi)))
-    return _per_grid(grids, ok)
-
-
-def _hits(df: DataFrame, grids: list[Grid], axes: Sequence[str], dateline: str) -> DataFrame:
+# coarse cells (degrees) that a grid's region is indexed by; a region takes the first size of which it covers few
+CELL_SIZES = (0.5, 3.0, 18.0, 108.0, 1000.0)
+CELLS_PER_GRID = 16
+
+
+class _Params:
+    """Parameters of the row's grid as columns: plan-time literals for one
+    grid, fields of the struct that the grid index brings in for several."""
+
+    def __init__(self, grids: list[Grid], digits: str):
+        self.grids, self.digits, self.single = grids, digits, len(grids) == 1
+        self.values = [_parameters(g, digits) for g in grids]
+
+    def __getitem__(self, name: str) -> Column:
+        return F.lit(self.values[0][name]) if self.single else F.col("_grid")[name]
+
+    def round(self, value: Column, name: str) -> Column:
+        """``round`` to the grid's number of digits, which Spark wants as a
+        literal: one branch per number that occurs."""
+        out = None
+        for n in sorted({v[name] for v in self.values}):
+            if self.single:
+                return F.round(value, n)
+            branch = (F.col("_grid")[name] == n, F.round(value, n))
+            out = F.when(*branch) if out is None else out.when(*branch)
+        return out
+
+
+def _parameters(g: Grid, digits: str) -> dict:
+    r = g.region
+    return {
+        "res_lat": float(g.res_lat), "res_lon": float(g.res_lon),
+        "lat_lo": float(min(r.lat_min, r.lat_max)), "lat_hi": float(max(r.lat_min, r.lat_max)),
+        "lon_lo": float(min(r.lon_min, r.lon_max)), "lon_hi": float(max(r.lon_min, r.lon_max)),
+        "lat_first": g.lat_index_min, "lat_last": g.lat_index_max,
+        "lon_first": g.lon_index_min, "lon_last": g.lon_index_max, "wrap": g.lon_wrap_cells,
+        "lat_digits": label_digits(g.res_lat, digits), "lon_digits": label_digits(g.res_lon, digits),
+    }
+
+
+def _covering(v: dict) -> list[tuple[int, int, int]]:
+    """Coarse cells ``(size number, row, column)`` that hold the region."""
+    for level, size in enumerate(CELL_SIZES):
+        rows = range(math.floor((v["lat_lo"] - COORD_TOLERANCE) / size), math.floor((v["lat_hi"] + COORD_TOLERANCE) / size) + 1)
+        columns = range(math.floor((v["lon_lo"] - COORD_TOLERANCE) / size), math.floor((v["lon_hi"] + COORD_TOLERANCE) / size) + 1)
+        if len(rows) * len(columns) <= CELLS_PER_GRID:
+            break
+    return [(level, y, x) for y in rows for x in columns]
+
+
+def grid_index(spark: SparkSession, grids: Sequence[Grid], digits: str = "exact") -> DataFrame:
+    """One row per grid and coarse cell of its region: ``level, row, column,
+    grid, _grid`` (the parameters). At most about ``CELLS_PER_GRID`` rows a
+    grid, whatever its size."""
+    params = [_parameters(g, digits) for g in grids]
+    cells = [(*cell, i) for i, v in enumerate(params) for cell in _covering(v)]
+    kinds = {name: pa.float64() if isinstance(value, float) else pa.int64() for name, value in params[0].items()}
+    table = pa.table({
+        "level": pa.array([c[0] for c in cells], pa.int32()), "row": pa.array([c[1] for c in cells], pa.int64()),
+        "column": pa.array([c[2] for c in cells], pa.int64()),
+        "grid": pa.array([grids[c[3]].name for c in cells], pa.string()),
+        "_grid": pa.array([params[c[3]] for c in cells], pa.struct(list(kinds.items()))),
+    })
+    return spark.createDataFrame(table)
+
+
+def _inside(p, lat: str, lon: str) -> Column:
+    """Whether a point lies in the closed region, with the tolerance."""
+    return (F.col(lat).between(p["lat_lo"] - COORD_TOLERANCE, p["lat_hi"] + COORD_TOLERANCE)
+            & F.col(lon).between(p["lon_lo"] - COORD_TOLERANCE, p["lon_hi"] + COORD_TOLERANCE))
+
+
+def _with_grids(base: DataFrame, p: _Params, through: bool) -> DataFrame:
+    """Segments with the grids whose region they touch: column ``grid`` and,
+    for several grids, ``_grid``. With several grids both ends look up their
+    coarse cells in the grid index by equality, so no segment meets a grid
+    that is nowhere near; the second end counts only where the first misses."""
+    if p.single:
+        region = _parameters(p.grids[0], p.digits)
+        touch = _through(region, "alat", "alon", "blat", "blon") if through else (
+            _inside(p, "alat", "alon") | _inside(p, "blat", "blon"))
+        return base.where(touch).withColumn("grid", F.lit(p.grids[0].name))
+    index = grid_index(base.sparkSession, p.grids, p.digits)
+    levels = sorted({cell[0] for v in p.values for cell in _covering(v)})
+    ends = F.array(*[F.struct(F.lit(level).alias("level"), F.floor(F.col(lat) / CELL_SIZES[level]).alias("row"),
+                              F.floor(F.col(lon) / CELL_SIZES[level]).alias("column"), F.lit(second).alias("second"))
+                     for level in levels for second, lat, lon in ((False, "alat", "alon"), (True, "blat", "blon"))])
+    found = base.withColumn("_end", F.explode(ends)).select("*", "_end.*").drop("_end")
+    first, other = _inside(p, "alat", "alon"), _inside(p, "blat", "blon")
+    return (found.join(index, ["level", "row", "column"])
+            .where(F.when(F.col("second"), other & ~first).otherwise(first))
+            .drop("level", "row", "column", "second"))
+
+
+def _through(r: dict, alat: str, alon: str, blat: str, blon: str) -> Column:
+    """Whether the segment, routed the short way, meets the closed region:
+    the parts of it inside the latitude and the longitude limits overlap
+    (parametric clipping). A route over the antimeridian reaches below -180,
+    so it is also tried one turn up."""
+    a, b = F.col(alon), F.col(blon)
+    over = F.abs(a - b) > 180
+    west, east = F.when(over & (a > b), a - 360.0).otherwise(a), F.when(over & ~(a > b), b - 360.0).otherwise(b)
+
+    def part(start: Column, end: Column, lo: float, hi: float) -> tuple[Column, Column]:
+        step = F.nullif(end - start, F.lit(0.0))
+        one, two = (F.lit(lo) - start) / step, (F.lit(hi) - start) / step
+        still = start.between(lo, hi)
+        return (F.when(step.isNull(), F.when(still, 0.0).otherwise(2.0)).otherwise(F.least(one, two)),
+                F.when(step.isNull(), F.when(still, 1.0).otherwise(-1.0)).otherwise(F.greatest(one, two)))
+
+    tol = COORD_TOLERANCE
+    def meets(way: Column) -> Column:
+        lon_in, lon_out = part(way["west"], way["east"], r["lon_lo"] - tol, r["lon_hi"] + tol)
+        lat_in, lat_out = part(way["alat"], way["blat"], r["lat_lo"] - tol, r["lat_hi"] + tol)
+        return F.greatest(F.lit(0.0), lat_in, lon_in) <= F.least(F.lit(1.0), lat_out, lon_out)
+    # bound once per row: written out in full, the clipping outgrows a generated method
+    ways = F.array(*[F.struct((west + turn).alias("west"), (east + turn).alias("east"), F.col(alat).alias("alat"),
+                              F.col(blat).alias("blat")) for turn in (0.0, 360.0)])
+    return F.exists(ways, meets)
+
+
+def filter_segments_region(segments: DataFrame, grid: Grid, through: bool = False) -> DataFrame:
+    """Keep segments with at least one end inside the grid's region (closed
+    box, 1e-7 tolerance); a segment passing over the whole region with both
+    ends outside is dropped. ``through=True`` keeps every segment that meets
+    the region, with its ends or on its way (the short way round)."""
+    region = _parameters(grid, "exact")
+    if through:
+        return segments.where(_through(region, "alat", "alon", "blat", "blon"))
+    literals = {name: F.lit(value) for name, value in region.items()}
+    return segments.where(_inside(literals, "alat", "alon") | _inside(literals, "blat", "blon"))
+
+
+def _hits(df: DataFrame, p: _Params, axes: Sequence[str], dateline: str) -> DataFrame:
     """All line hits of both axes from one ``explode``. ``df`` has lat1, lon1,
     lat2, lon2 (as given), slon1, slon2 (shifted the short way) and the
     carried columns. Axis code 0 = latitude lines, 1 = longitude lines."""
@@ -86,8 +184,7 @@ def _hits(df: DataFrame, grids: list[Grid], axes: Sequence[str], dateline: str)
         glon1, glon2 = slon1, slon2
     else:
         glon1, glon2 = F.col("lon1"), F.col("lon2")
-    res_lat = _per_grid(grids, lambda g: F.lit(float(g.res_lat)))
-    res_lon = _per_grid(grids, lambda g: F.lit(float(g.res_lon)))
+    res_lat, res_lon = p["res_lat"], p["res_lon"]
 
     def bounds(res: Column, lo_v: Column, hi_v: Column, kmin: Column, kmax: Column):
         lo = F.greatest(F.floor((lo_v - res) / res), kmin)
@@ -96,13 +193,11 @@ def _hits(df: DataFrame, grids: list[Grid], axes: Sequence[str], dateline: str)
 
     zero = F.lit(0).cast("bigint")
     lat_lo, n_lat = (bounds(res_lat, F.least(lat1, lat2), F.greatest(lat1, lat2),
-                            _per_grid(grids, lambda g: F.lit(g.lat_index_min)),
-                            _per_grid(grids, lambda g: F.lit(g.lat_index_max)))
+                            p["lat_first"], p["lat_last"])
                      if "lat" in axes else (zero, zero))
     # the longitude candidate range always uses the shifted longitudes
     lon_lo, n_lon = (bounds(res_lon, F.least(slon1, slon2), F.greatest(slon1, slon2),
-                            _per_grid(grids, lambda g: F.lit(g.lon_index_min)),
-                            _per_grid(grids, lambda g: F.lit(g.lon_index_max)))
+                            p["lon_first"], p["lon_last"])
                      if "lon" in axes else (zero, zero))
     # one integer sequence per segment: positions [0, n_lat) are latitude
     # lines, [n_lat, n_lat + n_lon) longitude lines
@@ -125,10 +220,8 @@ def _hits(df: DataFrame, grids: list[Grid], axes: Sequence[str], dateline: str)
                    ).otherwise(lat1 + (line - glon1) / F.nullif(glon2 - glon1, F.lit(0.0)) * (lat2 - lat1))
     x = x.where(hit).withColumn("_cross", cross)
     cross = F.col("_cross")
-    lim_lo = F.when(is_lat, _per_grid(grids, lambda g: F.lit(float(min(g.region.lon_min, g.region.lon_max))))
-                    ).otherwise(_per_grid(grids, lambda g: F.lit(float(min(g.region.lat_min, g.region.lat_max)))))
-    lim_hi = F.when(is_lat, _per_grid(grids, lambda g: F.lit(float(max(g.region.lon_min, g.region.lon_max))))
-                    ).otherwise(_per_grid(grids, lambda g: F.lit(float(max(g.region.lat_min, g.region.lat_max)))))
+    lim_lo = F.when(is_lat, p["lon_lo"]).otherwise(p["lat_lo"])
+    lim_hi = F.when(is_lat, p["lon_hi"]).otherwise(p["lat_hi"])
     x = x.where((cross >= lim_lo) & (cross <= lim_hi))
     return x.select(
         "*",
@@ -143,7 +236,7 @@ def _hits(df: DataFrame, grids: list[Grid], axes: Sequence[str], dateline: str)
 def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
               temporal_split: str = "hour", dateline: str = "short_way",
               digits: str = "exact", origin_hit: str = "keep",
-              with_sign: bool = False, axes: Sequence[str] = ("lat", "lon")) -> DataFrame:
+              with_sign: bool = False, axes: Sequence[str] = ("lat", "lon"), through: bool = False) -> DataFrame:
     """One row per (segment, grid line) crossing.
 
     Input: segments with ``id, alat, alon, blat, blon, adt, velocity_kmh``.
@@ -157,12 +250,21 @@ def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
     ``digits``: ``exact`` labels cells by ``(idx + 0.5) * res``; ``reference``
     rounds to ``-round(ln(res))`` digits from the crossing point.
     ``origin_hit="drop"`` discards a hit exactly at (0, 0) (legacy).
+    ``through=True`` (one grid only) also takes segments that cross the region
+    with both ends outside.
+
+    Several grids, up to thousands, are looked up by coarse cells (see
+    ``grid_index``) and their parameters travel as columns, so the plan does
+    not grow with their number.
     """
     if dateline not in DATELINE_MODES:
         raise ValueError(f"dateline must be one of {DATELINE_MODES}")
     if digits not in ("exact", "reference"):
         raise ValueError("digits must be 'exact' or 'reference'")
     grids = _grids(grid)
+    if through and len(grids) > 1:
+        raise ValueError("through=True takes one grid at a time")
+    p = _Params(grids, digits)
 
     lon1, lon2 = F.col("alon"), F.col("blon")
     over = F.abs(lon1 - lon2) > 180
@@ -176,36 +278,21 @@ def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
         F.when(over & ~(lon1 > lon2), lon2 - 360.0).otherwise(lon2).alias("slon2"),
         "alat", "alon", "blat", "blon",
     )
-    if len(grids) > 1:
-        base = base.withColumn("grid", F.explode(F.array(*[F.lit(g.name) for g in grids])))
-    else:
-        base = base.withColumn("grid", F.lit(grids[0].name))
-    base = base.where(_region_ok(grids)).drop("alat", "alon", "blat", "blon")
-
-    hits = _hits(base, grids, axes, dateline)
-
-    res_lat = _per_grid(grids, lambda g: F.lit(float(g.res_lat)))
-    res_lon = _per_grid(grids, lambda g: F.lit(float(g.res_lon)))
-    wrap = _per_grid(grids, lambda g: F.lit(g.lon_wrap_cells))
+    base = _with_grids(base, p, through).drop("alat", "alon", "blat", "blon")
 
-    def rounded(expr_fn, which: str) -> Column:
-        return _per_grid(grids, lambda g: F.round(expr_fn(g), label_digits(
-            g.res_lat if which == "lat" else g.res_lon, digits)))
+    hits = _hits(base, p, axes, dateline)
 
+    res_lat, res_lon, wrap = p["res_lat"], p["res_lon"], p["wrap"]
     if digits == "exact":
-        lat_label = rounded(lambda g: (F.col("lat_idx") + 0.5) * float(g.res_lat), "lat")
-        lon_label = rounded(lambda g: (F.col("lon_idx") + 0.5) * float(g.res_lon), "lon")
+        lat_label = p.round((F.col("lat_idx") + 0.5) * res_lat, "lat_digits")
+        lon_label = p.round((F.col("lon_idx") + 0.5) * res_lon, "lon_digits")
     else:
-        def half(c: str, res: float) -> Column:
-            return F.col(c) - F.pmod(F.col(c), F.lit(res)) + res * 0.5
-        lat_label = _per_grid(grids, lambda g: F.when(
-            F.col("axis") == "lat",
-            F.round(F.col("cross_lat") + g.res_lat * 0.5, label_digits(g.res_lat, "reference")))
-            .otherwise(F.round(half("cross_lat", g.res_lat), label_digits(g.res_lat, "reference"))))
-        lon_label = _per_grid(grids, lambda g: F.when(
-            F.col("axis") == "lon",
-            F.round(F.col("cross_lon") + g.res_lon * 0.5, label_digits(g.res_lon, "reference")))
-            .otherwise(F.round(half("cross_lon", g.res_lon), label_digits(g.res_lon, "reference"))))
+        def half(c: str, res: Column) -> Column:
+            return F.col(c) - F.pmod(F.col(c), res) + res * 0.5
+        lat_label = p.round(F.when(F.col("axis") == "lat", F.col("cross_lat") + res_lat * 0.5)
+                            .otherwise(half("cross_lat", res_lat)), "lat_digits")
+        lon_label = p.round(F.when(F.col("axis") == "lon", F.col("cross_lon") + res_lon * 0.5)
+                            .otherwise(half("cross_lon", res_lon)), "lon_digits")
 
     hits = hits.withColumn("lat", lat_label).withColumn("_lon0", lon_label)
     rewrap = F.col("_lon0") < -180

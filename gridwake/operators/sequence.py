@@ -159,3 +159,31 @@ def with_previous_within(df: DataFrame, key: str, order: Sequence[str], ts: Colu
     return (d.withColumn(prev_name, F.lag(row).over(w))
             .where(F.col("_copy") == 0)
             .drop("_b0", "_copy"))
+
+
+def numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``idx`` (place from 0 among the rows of equal ``keys``, by
+    ``order``, nulls first) and ``n`` (how many there are).
+
+    The rows are sorted by range over all tasks, so a key that holds most of
+    them is numbered by many tasks; each partition's share of a key is counted
+    and the shares before it are added up. ``rows`` is a written table."""
+    keys, order = list(keys), list(order)
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())     # splits rows repeated very often
+    by = [*[F.col(c).asc_nulls_first() for c in [*keys, *order]], F.col("_tie")]
+    placed = intermediate(tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+                          .withColumn("_seq", F.monotonically_increasing_id()), "numbered-rows")
+    placed = placed.withColumn("_part", F.shiftright("_seq", 33))
+    # one row per partition and key
+    starts = placed.groupBy(*keys, "_part").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    w = Window.partitionBy(*keys)
+    before = F.sum("_rows").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = intermediate(starts.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)], "_part", "_first",
+                                        F.coalesce(before, F.lit(0)).alias("_before"),
+                                        F.sum("_rows").over(w).alias("n")), "numbered-starts")
+    same = placed["_part"] == starts["_part"]
+    for i, c in enumerate(keys):
+        same = same & placed[c].eqNullSafe(starts[f"_key{i}"])
+    return (placed.join(starts, same)
+            .withColumn("idx", F.col("_seq") - F.col("_first") + F.col("_before"))
+            .select(*rows.columns, "idx", "n"))

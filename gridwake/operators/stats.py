@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefn import LABEL_FORMAT
+from ..session import intermediate
+from .sequence import numbered
 
 CELL_KEYS = ["grid", "lat_idx", "lon_idx", "dt"]
 
@@ -77,7 +79,8 @@ def cell_track_ids(crossings: DataFrame, sep: str = ",", label_keys: bool = Fals
     One ``groupBy`` with ``collect_set``: duplicates are removed map-side
     (partial aggregation) before the single shuffle. The list is the result
     asked for and one row long: with few large cells or ``temporal_split=
-    "all"`` use ``cell_track_pairs``, which holds one row per track instead."""
+    "all"`` use ``cell_track_id_parts``, which bounds a row, or
+    ``cell_track_pairs``, which holds one row per track."""
     x, keys, from_ts, extra = _cells(crossings, label_keys)
     out = (x.groupBy(*keys).agg(F.collect_set("track_id").alias("_ids"), *extra)
            .select("grid", "lat_idx", "lon_idx", "lat", "lon", keys[-1],
@@ -92,3 +95,26 @@ def cell_track_pairs(crossings: DataFrame, label_keys: bool = False) -> DataFram
     x, keys, from_ts, extra = _cells(crossings, label_keys)
     out = x.groupBy(*keys, "track_id").agg(F.count(F.lit(1)).alias("n_crossings"), *extra)
     return _with_dt(out, from_ts)
+
+
+def cell_track_id_parts(crossings: DataFrame, part_size: int = 10_000, sep: str = ",",
+                        label_keys: bool = False) -> DataFrame:
+    """The id lists of ``cell_track_ids`` in numbered parts of at most
+    ``part_size`` ids: ``part`` (from 0), ``n_parts``, ``n_tracks`` (of the
+    cell) and ``ids``. Parts follow each other in id order, so a cell's parts
+    joined by ``sep`` are its whole list.
+
+    Ids are made distinct with partial aggregation, then sorted by range over
+    cells and ids, so a cell with most of the ids is spread over tasks and no
+    row holds more than a part. Writes the distinct pairs once."""
+    x, keys, from_ts, extra = _cells(crossings, label_keys)
+    pairs = intermediate(x.groupBy(*keys, "track_id").agg(*extra), "cell-tracks")
+    others = ["lat_idx", "lon_idx", "lat", "lon"]
+    placed = numbered(pairs, keys, ["track_id"])
+    part = F.floor(F.col("idx") / part_size)
+    out = (placed.groupBy(*keys, part.alias("part"))
+           .agg(F.array_sort(F.collect_list("track_id")).alias("_ids"), F.max("n").alias("n_tracks"),
+                *[F.min(c).alias(c) for c in others if c not in keys])
+           .select("grid", *others, keys[-1], "part", F.ceil(F.col("n_tracks") / part_size).alias("n_parts"), "n_tracks",
+                   F.array_join("_ids", sep).alias("ids")))
+    return _with_dt(out, from_ts)

@@ -19,7 +19,7 @@ from ..functions.geo import bearing_deg, mercator_pixel, tile_of_pixel
 from ..functions.timefn import format_ts, temporal_bucket
 from ..operators.crossings import crossings, filter_segments_region
 from ..operators.paths import count_segments, segments_anchored, segments_consecutive
-from ..operators.stats import cell_stats, cell_track_ids, cell_track_pairs
+from ..operators.stats import cell_stats, cell_track_id_parts, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
 from ..session import ensure_checkpoint_dir
 from ..sinks.writers import export_counts, write_positions, write_stage, write_tiles
@@ -40,6 +40,7 @@ GRID_COARSE = Grid(1.0, 1.0, WORLD, "coarse")
 MULTI_GRIDS = (Grid(0.5, 0.5, WORLD, "half"), Grid(1.0, 1.0, Region(30.0, -200.0, 60.0, 180.0), "band"))
 POINT_REGION = Region(38.0, -90.0, 45.0, 90.0)
 SEGMENT_REGION = Region(38.0, -120.0, 44.0, 60.0)
+THROUGH_REGION = Region(40.2, -200.0, 40.4, -100.0)
 MAX_LEVEL = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,6 +331,12 @@ def q_cell_track_ids(spark, sf_dir):
     return cell_track_ids(_fine_crossings(spark, sf_dir)).select(*CELL_OUT, "n_tracks", "ids")
 
 
+def q_cell_track_id_parts(spark, sf_dir):
+    """Id lists per coarse cell over all time, in parts of 7 ids."""
+    x = crossings(_consecutive(spark, sf_dir), GRID_COARSE, temporal_split="all")
+    return cell_track_id_parts(x, part_size=7).select(*CELL_OUT, "part", "n_parts", "n_tracks", "ids")
+
+
 def q_cell_track_pairs(spark, sf_dir):
     return cell_track_pairs(_fine_crossings(spark, sf_dir)).select(*CELL_OUT, "track_id", "n_crossings")
 
@@ -357,6 +364,28 @@ def q_multi_grid_counts(spark, sf_dir):
     return cell_stats(x).select("grid", *CELL_OUT, "value")
 
 
+def many_grids(n: int = 2000) -> list[Grid]:
+    """Small grids over the area of the positions, overlapping each other."""
+    out = []
+    for i in range(n):
+        lat, lon = 34.0 + (i % 50) * 0.4, -180.0 + (i // 50) * 9.0
+        res = 0.5 if i % 2 else 0.25
+        out.append(Grid(res, res, Region(lat, lon, lat + 2.0, min(lon + 4.0, 180.0)), f"g{i}"))
+    return out
+
+
+def q_multi_grid_index(spark, sf_dir):
+    """Crossings of 2,000 grids, found through the grid index."""
+    x = crossings(_consecutive(spark, sf_dir), many_grids(), temporal_split="day")
+    return cell_stats(x).select("grid", *CELL_OUT, "value")
+
+
+def q_segments_through_region(spark, sf_dir):
+    """Segments that meet a narrow region, with or without an end in it."""
+    seg = filter_segments_region(_consecutive(spark, sf_dir), Grid(1.0, 1.0, THROUGH_REGION), through=True)
+    return _segment_out(seg)
+
+
 # ------------------------------------------------------------------- tiles
 
 def q_mercator_bins(spark, sf_dir):
@@ -492,6 +521,9 @@ QUERIES: dict[str, Query] = {
     "segments_same_second": q_segments_same_second,
     "segments_stored": q_segments_stored,
     "cell_track_pairs": q_cell_track_pairs,
+    "cell_track_id_parts": q_cell_track_id_parts,
+    "multi_grid_index": q_multi_grid_index,
+    "segments_through_region": q_segments_through_region,
     "count_export_round_trip": q_count_export_round_trip,
     "stage_round_trip": q_stage_round_trip,
     "tiles_round_trip": q_tiles_round_trip,

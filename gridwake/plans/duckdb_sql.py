@@ -372,6 +372,85 @@ def build() -> dict[str, str]:
                                    "xm AS (SELECT * FROM xm1 UNION ALL SELECT * FROM xm2)", cells("xm", "mcells")) + (
         f" SELECT grid, {out}, value FROM mcells")
 
+    Q["cell_track_id_parts"] = with_(*base_c, crossings("segc", C.GRID_COARSE, "xa", split="all"), """
+tk AS (SELECT grid, lat_idx, lon_idx, any_value(lat) AS lat, any_value(lon) AS lon, dt, track_id
+       FROM xa GROUP BY grid, lat_idx, lon_idx, dt, track_id)""", """
+tn AS (SELECT *, (row_number() OVER (PARTITION BY lat_idx, lon_idx, dt ORDER BY track_id) - 1) // 7 AS part,
+              count(*) OVER (PARTITION BY lat_idx, lon_idx, dt) AS n_tracks FROM tk)""") + (
+        " SELECT lat_idx, lon_idx, min(lat) AS lat, min(lon) AS lon, dt, part, (n_tracks + 6) // 7 AS n_parts, n_tracks,"
+        " string_agg(track_id, ',' ORDER BY track_id) AS ids FROM tn GROUP BY lat_idx, lon_idx, dt, part, n_tracks")
+    # crossings of many grids in one statement: the limits of a segment's grid stand in columns
+    many = f"""
+mg AS (
+  SELECT 'g' || i AS grid, {d(34)} + (i % 50) * {d(0.4)} AS la0, {d(34)} + (i % 50) * {d(0.4)} + {d(2)} AS la1,
+         {d(-180)} + (i // 50) * {d(9)} AS lo0, least({d(-180)} + (i // 50) * {d(9)} + {d(4)}, {d(180)}) AS lo1,
+         CASE WHEN i % 2 = 1 THEN {d(0.5)} ELSE {d(0.25)} END AS res FROM range(2000) r(i)
+)""" + f""",
+mb AS (
+  SELECT s.id AS track_id, s.adt, s.velocity_kmh AS velocity, s.alat AS lat1, s.alon AS lon1, s.blat AS lat2, s.blon AS lon2,
+         CASE WHEN abs(alon - blon) > 180 AND alon > blon THEN alon - {d(360)} ELSE alon END AS g1,
+         CASE WHEN abs(alon - blon) > 180 AND NOT (alon > blon) THEN blon - {d(360)} ELSE blon END AS g2, mg.*
+  FROM segc s JOIN mg ON (alat BETWEEN la0 - {d(COORD_TOLERANCE)} AND la1 + {d(COORD_TOLERANCE)}
+                          AND alon BETWEEN lo0 - {d(COORD_TOLERANCE)} AND lo1 + {d(COORD_TOLERANCE)})
+                      OR (blat BETWEEN la0 - {d(COORD_TOLERANCE)} AND la1 + {d(COORD_TOLERANCE)}
+                          AND blon BETWEEN lo0 - {d(COORD_TOLERANCE)} AND lo1 + {d(COORD_TOLERANCE)})
+)""" + f""",
+mk AS (
+  SELECT b.*, 'lat' AS axis, k, CAST(k AS DOUBLE) * res AS line FROM (
+    SELECT *, greatest(CAST(floor((least(lat1, lat2) - res) / res) AS BIGINT), CAST(floor(la0 / res) AS BIGINT)) AS lo,
+           least(CAST(ceil((greatest(lat1, lat2) + res) / res) AS BIGINT), CAST(ceil(la1 / res) AS BIGINT)) - 1 AS hi FROM mb) b,
+    generate_series(b.lo, b.hi) AS s(k) WHERE b.lo <= b.hi
+  UNION ALL
+  SELECT b.*, 'lon' AS axis, k, CAST(k AS DOUBLE) * res AS line FROM (
+    SELECT *, greatest(CAST(floor((least(g1, g2) - res) / res) AS BIGINT), CAST(floor(lo0 / res) AS BIGINT)) AS lo,
+           least(CAST(ceil((greatest(g1, g2) + res) / res) AS BIGINT), CAST(ceil(lo1 / res) AS BIGINT)) - 1 AS hi FROM mb) b,
+    generate_series(b.lo, b.hi) AS s(k) WHERE b.lo <= b.hi
+)""" + f""",
+mh AS (
+  SELECT *, CASE WHEN axis = 'lat' THEN g1 + (line - lat1) / (lat2 - lat1) * (g2 - g1)
+                 ELSE lat1 + (line - g1) / (g2 - g1) * (lat2 - lat1) END AS crs
+  FROM mk WHERE CASE WHEN axis = 'lat' THEN lat1 <> lat2 AND line >= least(lat1, lat2) AND line <= greatest(lat1, lat2)
+                     ELSE g1 <> g2 AND line >= least(g1, g2) AND line <= greatest(g1, g2) END
+)""" + f""",
+mi AS (
+  SELECT *, CASE WHEN axis = 'lat' THEN k ELSE CAST(floor(crs / res) AS BIGINT) END AS lat_idx,
+         CASE WHEN axis = 'lat' THEN CAST(floor(crs / res) AS BIGINT) ELSE k END AS lon_idx0
+  FROM mh WHERE CASE WHEN axis = 'lat' THEN crs >= lo0 AND crs <= lo1 ELSE crs >= la0 AND crs <= la1 END
+)""" + f""",
+ml AS (
+  SELECT *, CASE WHEN res = 0.5 THEN round((lat_idx + {d(0.5)}) * res, {label_digits(0.5)})
+                 ELSE round((lat_idx + {d(0.5)}) * res, {label_digits(0.25)}) END AS lat,
+         CASE WHEN res = 0.5 THEN round((lon_idx0 + {d(0.5)}) * res, {label_digits(0.5)})
+              ELSE round((lon_idx0 + {d(0.5)}) * res, {label_digits(0.25)}) END AS lon0 FROM mi
+)""" + f""",
+mw AS (
+  SELECT *, CASE WHEN lon0 < -180 THEN lon0 + {d(360)} ELSE lon0 END AS lon,
+         CASE WHEN lon0 < -180 THEN lon_idx0 + CAST(round({d(360)} / res) AS BIGINT) ELSE lon_idx0 END AS lon_idx FROM ml
+)""" + f""",
+mt AS (
+  SELECT *, CASE WHEN velocity > {d(MIN_INTERPOLATION_SPEED)}
+                 THEN adt + to_seconds(CAST(round(({hav('lat1', 'g1', 'lat', 'lon')} / velocity) * 60 * 60) AS BIGINT))
+                 ELSE adt END AS crossing_ts FROM mw
+)"""
+    Q["multi_grid_index"] = with_(*base_c, many) + (
+        f" SELECT grid, lat_idx, lon_idx, any_value(lat) AS lat, any_value(lon) AS lon, {bucket('crossing_ts', 'day')} AS dt,"
+        f" count(*) AS value FROM mt GROUP BY grid, lat_idx, lon_idx, {bucket('crossing_ts', 'day')}")
+    # the point of the segment nearest to the region's middle line, by its share of the way
+    r, t = C.THROUGH_REGION, COORD_TOLERANCE
+    share = """SELECT *, CASE WHEN {a} = {b} THEN CASE WHEN {a} BETWEEN {lo} AND {hi} THEN {zero} ELSE {two} END
+                 ELSE least(({lo} - {a}) / ({b} - {a}), ({hi} - {a}) / ({b} - {a})) END AS {n}_in,
+       CASE WHEN {a} = {b} THEN CASE WHEN {a} BETWEEN {lo} AND {hi} THEN {one} ELSE {less} END
+            ELSE greatest(({lo} - {a}) / ({b} - {a}), ({hi} - {a}) / ({b} - {a})) END AS {n}_out FROM {src}"""
+    numbers = dict(zero=d(0), one=d(1), two=d(2), less=d(-1))
+    Q["segments_through_region"] = with_(*base_c, f"""
+tr0 AS (
+  SELECT s.*, CASE WHEN abs(alon - blon) > 180 AND alon > blon THEN alon - {d(360)} ELSE alon END + turn AS w,
+         CASE WHEN abs(alon - blon) > 180 AND NOT (alon > blon) THEN blon - {d(360)} ELSE blon END + turn AS e
+  FROM segc s, (VALUES ({d(0)}), ({d(360)})) v(turn)
+)""", "tr1 AS (" + share.format(a="alat", b="blat", lo=d(r.lat_min - t), hi=d(r.lat_max + t), n="y", src="tr0", **numbers) + ")",
+        "tr2 AS (" + share.format(a="w", b="e", lo=d(r.lon_min - t), hi=d(r.lon_max + t), n="x", src="tr1", **numbers) + ")") + (
+        f" SELECT DISTINCT {SEG_OUT} FROM tr2 WHERE greatest({d(0)}, y_in, x_in) <= least({d(1)}, y_out, x_out)")
+
     px, py = mercator_pixel("lat", "lon", "level")
     Q["mercator_bins"] = with_(POINTS, f"mp AS (SELECT id, dt, level, {px} AS px, {py} AS py FROM pts, "
                                        f"({_levels(C.MAX_LEVEL)}) lv(level))") + (

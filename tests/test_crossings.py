@@ -1,9 +1,13 @@
+import datetime
+import random
+import time
+
 from pyspark.sql import functions as F
 
 from gridwake.config import Grid, Limits, Region
 from gridwake.operators.crossings import crossings, filter_segments_region
 from gridwake.operators.paths import segments_anchored, segments_consecutive
-from gridwake.operators.stats import cell_stats, cell_track_ids, cell_track_pairs
+from gridwake.operators.stats import cell_stats, cell_track_id_parts, cell_track_ids, cell_track_pairs
 
 WORLD = Region(-90.0, -360.0, 90.0, 180.0)
 
@@ -141,3 +145,86 @@ def test_crossings_equal_general_intersection(spark):
     have = {(r.track_id, r.axis, r.lat_idx if r.axis == "lat" else r.lon_idx) for r in got}
     assert len(got) == len(have)
     assert have == expected
+
+
+def segments_of(spark, rows):
+    return spark.createDataFrame(
+        [(f"s{i}", a, b, c, d, datetime.datetime(2024, 1, 1, i % 24), 10.0 + i) for i, (a, b, c, d) in enumerate(rows)],
+        "id string, alat double, alon double, blat double, blon double, adt timestamp, velocity_kmh double")
+
+
+def test_many_grids_equal_one_grid_at_a_time(spark):
+    """Grids of all sizes, resolutions and digits, overlapping; segments with
+    ends in one, both and neither, over the antimeridian, NaN and infinite."""
+    rng = random.Random(11)
+    grids = [Grid(), Grid(0.5, 1.0, Region(-10.0, -20.0, 10.0, 20.0), "a"), Grid(3.0, 3.0, Region(-90.0, -360.0, 90.0, 180.0), "b"),
+             Grid(0.01, 0.02, Region(1.0, 1.0, 1.3, 1.2), "c"), Grid(0.25, 0.25, Region(5.0, 170.0, 9.0, 180.0), "d")]
+    grids += [Grid(0.2, 0.2, Region(x := rng.uniform(-20, 18), y := rng.uniform(-20, 18), x + rng.uniform(0.1, 6), y + rng.uniform(0.1, 6)), f"r{i}")
+              for i in range(25)]
+    rows = [(rng.uniform(-20, 20), rng.uniform(-20, 20), rng.uniform(-20, 20), rng.uniform(-20, 20)) for _ in range(40)]
+    rows += [(6.0, 179.0, 7.0, -179.5), (1.1, 1.1, 1.2, 1.15), (0.0, 0.0, 0.0, 1.0), (float("nan"), 1.0, 2.0, 1.5), (5.0, 180.0, 9.0, 170.0)]
+    seg = segments_of(spark, rows)
+    for digits in ("exact", "reference"):
+        alone = None
+        for g in grids:
+            x = crossings(seg, g, digits=digits)
+            alone = x if alone is None else alone.unionByName(x)
+        together = crossings(seg, grids, digits=digits)
+        assert together.count() == alone.count() > 1000
+        assert together.exceptAll(alone).count() == 0
+
+
+def test_thousands_of_grids_plan_quickly(spark):
+    grids = [Grid(0.1, 0.1, Region(a * 0.4, b * 1.5, a * 0.4 + 0.3, b * 1.5 + 1.0), f"{a}-{b}") for a in range(50) for b in range(40)]
+    seg = segments_of(spark, [(0.05, 0.05, 0.25, 0.25), (19.65, 58.6, 19.7, 58.9), (50.0, 50.0, 51.0, 51.0)])
+    began = time.time()
+    x = crossings(seg, grids)
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert time.time() - began < 10 and len(plan) < 200_000
+    assert {r.grid for r in x.select("grid").distinct().collect()} == {"0-0", "49-39"}
+
+
+def test_segments_through_a_region(spark):
+    """Against walking along the segment in small steps."""
+    rng = random.Random(2)
+    grid = Grid(1.0, 1.0, Region(-5.0, 150.0, 5.0, 179.0))
+    west = Grid(1.0, 1.0, Region(-5.0, -200.0, 5.0, -170.0))
+    rows = [(rng.uniform(-20, 20), rng.choice([rng.uniform(120, 179.9), rng.uniform(-179.9, -140)]),
+             rng.uniform(-20, 20), rng.choice([rng.uniform(120, 179.9), rng.uniform(-179.9, -140)])) for _ in range(300)]
+    rows += [(0.0, 140.0, 0.0, 179.5), (6.0, 140.0, 6.0, 179.5), (-9.0, 160.0, 9.0, 160.0), (5.0, 140.0, 5.0, 149.0), (5.0, 150.0, 9.0, 140.0)]
+    seg = segments_of(spark, rows)
+    for g in (grid, west):
+        r = g.region
+
+        def walk(a, b, c, d):
+            if abs(b - d) > 180:
+                b, d = (b - 360, d) if b > d else (b, d - 360)
+            for i in range(4001):
+                lat, lon = a + (c - a) * i / 4000, b + (d - b) * i / 4000
+                if r.lat_min <= lat <= r.lat_max and any(r.lon_min <= lon + turn <= r.lon_max for turn in (0, 360)):
+                    return True
+            return False
+        got = {x.id for x in filter_segments_region(seg, g, through=True).collect()}
+        want = {f"s{i}" for i, row in enumerate(rows) if walk(*row)}
+        assert want <= got and len(got - want) <= 2          # the walk may step over a corner
+        ends = {x.id for x in filter_segments_region(seg, g).collect()}
+        assert ends < got
+        through = crossings(seg, g, through=True)
+        plain = crossings(seg, g)
+        assert plain.exceptAll(through).count() == 0 and through.count() > plain.count()
+
+
+def test_id_parts_joined_are_the_whole_list(spark):
+    rows = [("grid", k % 3, 0, 0.5, 0.5, "2024-01-01 00:00:00", f"t{(k * 7919) % 400}") for k in range(3000)]
+    rows += [("grid", 9, 9, 9.5, 9.5, "2024-01-01 00:00:00", None)]
+    x = spark.createDataFrame(rows, "grid string, lat_idx long, lon_idx long, lat double, lon double, dt string, track_id string")
+    whole = {(r.lat_idx, r.lon_idx): (r.ids, r.n_tracks) for r in cell_track_ids(x.where("track_id is not null")).collect()}
+    parts = {}
+    for r in cell_track_id_parts(x.where("track_id is not null"), part_size=16).collect():
+        assert len(r.ids.split(",")) <= 16
+        parts.setdefault((r.lat_idx, r.lon_idx), []).append(r)
+    assert set(parts) == set(whole)
+    for cell, found in parts.items():
+        found.sort(key=lambda r: r.part)
+        assert [r.part for r in found] == list(range(found[0].n_parts))
+        assert (",".join(r.ids for r in found), found[0].n_tracks) == whole[cell]
