@@ -22,10 +22,12 @@ from ..operators.paths import count_segments, segments_anchored, segments_consec
 from ..operators.stats import cell_stats, cell_track_id_parts, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
 from ..session import ensure_checkpoint_dir
-from ..sinks.writers import export_counts, write_positions, write_stage, write_tiles
+from ..sinks.published import publish, read_published
+from ..sinks.tile_sets import describe_tile_set, merge_tile_set
+from ..sinks.writers import export_counts, read_counts, write_positions, write_stage, write_tiles
 from ..sources.events import event_lat, event_lon, events_path, points_from_events
 from ..sources.positions import (filter_region, normalise_positions, parse_text_lines, points_from_table,
-                                 points_from_text, read_points, read_position_log, to_points)
+                                 points_from_text, read_points, read_position_log, store_positions, to_points)
 from .pipelines import (legacy_mercator_options, legacy_tripline_options, mercator_pipeline,
                         tripline_pipeline)
 
@@ -345,9 +347,7 @@ def q_count_export_round_trip(spark, sf_dir):
     """Counts exported as tab-separated text with a header, and read back."""
     path = _folder(spark, "count-export")
     export_counts(_cells(spark, sf_dir), path)
-    back = spark.read.option("sep", "\t").option("header", True).csv(path)
-    return back.select(F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude"),
-                       F.col("count").cast("bigint").alias("n"), F.col("date").alias("dt"))
+    return read_counts(spark, path).withColumnsRenamed({"count": "n", "date": "dt"})
 
 
 def q_stage_round_trip(spark, sf_dir):
@@ -359,6 +359,32 @@ def q_stage_round_trip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_published_partitions(spark, sf_dir):
+    """Points published by day of the month, then every third day replaced by
+    moved points while reading the folder itself."""
+    path = _folder(spark, "published")
+    pts = _points(spark, sf_dir).withColumn("day", F.dayofmonth("dt"))
+    publish(pts, path, partition_by=["day"])
+    moved = read_published(spark, path).where("day % 3 = 0").withColumn("lat", F.col("lat") + 1.0)
+    publish(moved, path, partition_by=["day"], touched_only=True)
+    return read_published(spark, path).select("id", format_ts("dt").alias("dt"), "lat", "lon", "day")
+
+
+def q_reject_counts(spark, sf_dir):
+    """Rows with a bad id, time or coordinate, counted by reason in the pass
+    that stores the good ones."""
+    ev, k = spark.read.parquet(events_path(sf_dir)), F.col("event_id")
+    raw = ev.select(
+        F.when(k % 43 != 0, F.col("user_id").cast("string")).alias("who"),
+        F.when(k % 37 == 0, F.lit("2024-02-30 10:00:00")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("at"),
+        F.when(k % 50 == 0, F.lit("n/a")).otherwise(event_lat().cast("string")).alias("y"),
+        F.when(k % 41 == 0, F.lit("")).otherwise(event_lon().cast("string")).alias("x"))
+    good, bad, counts = store_positions(to_points(raw, "who", "at", "y", "x", on_error="mark"), _folder(spark, "positions"))
+    found = bad.groupBy("reason").count().unionByName(good.agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("count")))
+    seen = spark.createDataFrame(list(counts.items()), "reason string, observed long")
+    return seen.join(found, "reason", "left").select("reason", "observed", F.coalesce("count", F.lit(0)).alias("stored"))
+
+
 def q_multi_grid_counts(spark, sf_dir):
     x = crossings(_consecutive(spark, sf_dir), list(MULTI_GRIDS), temporal_split="day")
     return cell_stats(x).select("grid", *CELL_OUT, "value")
@@ -436,6 +462,15 @@ def q_tiles_round_trip(spark, sf_dir):
                     F.aggregate("bins", F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
+def q_tile_set_merged(spark, sf_dir):
+    """A tile set from two batches of users, described per level."""
+    path, seg = _folder(spark, "tile-set"), _consecutive(spark, sf_dir)
+    for part in (0, 1):
+        batch = seg.where(F.col("id").cast("bigint") % 2 == part)
+        merge_tile_set(bin_counts(bin_hits(batch, MAX_LEVEL)), path, "hits", "all paths")
+    return describe_tile_set(spark, path)
+
+
 # ------------------------------------------------------------------- pipelines
 
 def _legacy(spark, sf_dir, grid):
@@ -527,6 +562,9 @@ QUERIES: dict[str, Query] = {
     "count_export_round_trip": q_count_export_round_trip,
     "stage_round_trip": q_stage_round_trip,
     "tiles_round_trip": q_tiles_round_trip,
+    "published_partitions": q_published_partitions,
+    "reject_counts": q_reject_counts,
+    "tile_set_merged": q_tile_set_merged,
     "pipeline_tripline_ids": q_pipeline_tripline_ids,
     "pipeline_tripline_velocity": q_pipeline_tripline_velocity,
     "pipeline_tripline_direction": q_pipeline_tripline_direction,

@@ -488,6 +488,21 @@ tr0 AS (
     Q["count_export_round_trip"] = with_(*cell_ctes) + (
         " SELECT lat AS latitude, lon AS longitude, value AS n, dt FROM cells")
     Q["stage_round_trip"] = Q["segments_consecutive"]
+    Q["published_partitions"] = with_(POINTS) + (
+        f" SELECT id, {ts('dt')} AS dt, CASE WHEN day(dt) % 3 = 0 THEN lat + {d(1)} ELSE lat END AS lat, lon,"
+        " CAST(day(dt) AS INTEGER) AS day FROM pts")
+    Q["reject_counts"] = """
+WITH r AS (SELECT CASE WHEN event_id % 43 = 0 THEN 'id' WHEN event_id % 37 = 0 THEN 'time'
+                       WHEN event_id % 50 = 0 THEN 'latitude' WHEN event_id % 41 = 0 THEN 'longitude' ELSE 'good' END AS reason
+           FROM events)
+SELECT v.reason, count(r.reason) AS observed, count(r.reason) AS stored
+FROM (VALUES ('good'), ('id'), ('time'), ('latitude'), ('longitude')) v(reason) LEFT JOIN r ON r.reason = v.reason
+GROUP BY v.reason"""
+    Q["tile_set_merged"] = with_(*base_c, rast, f"bc AS ({counts})") + (
+        " SELECT level, 'hits' AS name, 'all paths' AS description,"
+        " count(DISTINCT (tile_x, tile_y)) AS n_tiles, count(*) AS n_bins, CAST(sum(value) AS BIGINT) AS total,"
+        " max(value) AS maximum, min(tile_x) AS min_tile_x, max(tile_x) AS max_tile_x,"
+        " min(tile_y) AS min_tile_y, max(tile_y) AS max_tile_y FROM bc GROUP BY level")
     Q["tiles_round_trip"] = with_(*base_c, raster("segc", _levels(2), "bt")) + (
         " SELECT level, tile_x, tile_y, 'hits' AS name, 'all paths' AS description,"
         " CAST(count(*) AS DOUBLE) AS total FROM bt GROUP BY level, tile_x, tile_y")

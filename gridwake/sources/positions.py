@@ -11,7 +11,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,9 +100,42 @@ def _apply_on_error(pts: DataFrame, on_error: str) -> DataFrame:
                        F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>"))
                                           for c in ("id", "_dt", "_lat", "_lon")]))
         return pts.select("id", F.when(bad, F.raise_error(msg)).otherwise(F.col("dt")).alias("dt"), "lat", "lon")
+    if on_error == "mark":
+        return pts.select("id", "dt", "lat", "lon", reject_reason().alias("reason"), F.col("_dt").alias("raw_dt"),
+                          F.col("_lat").alias("raw_lat"), F.col("_lon").alias("raw_lon"))
     if on_error == "drop":
         return pts.where(~bad).select("id", "dt", "lat", "lon")
-    raise ValueError("on_error must be 'drop', 'keep' or 'fail'")
+    raise ValueError("on_error must be 'drop', 'keep', 'mark' or 'fail'")
+
+
+# why a row is no position; the first that applies counts
+REASONS = ("id", "time", "latitude", "longitude")
+
+
+def reject_reason() -> Column:
+    """The field that spoils a row, null for a good one."""
+    out = None
+    for reason, c in zip(REASONS, ("id", "dt", "lat", "lon")):
+        out = F.when(F.col(c).isNull(), reason) if out is None else out.when(F.col(c).isNull(), reason)
+    return out
+
+
+def store_positions(marked: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Write positions read with ``on_error="mark"`` in one pass over the
+    source: good rows and, by reason, rejected ones with their raw texts.
+    Returns both as frames over what is written, and the number of good rows
+    and of rejects per reason, observed while writing."""
+    spark = marked.sparkSession
+    reason = F.coalesce("reason", F.lit("none"))
+    seen = Observation()
+    observed = marked.withColumn("reason", reason).observe(
+        seen, *[F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in ("none", *REASONS)])
+    observed.write.partitionBy("reason").parquet(path)
+    counts = seen.get
+    stored = spark.read.schema(observed.schema).parquet(path)
+    good = stored.where("reason = 'none'").select("id", "dt", "lat", "lon")
+    bad = stored.where("reason <> 'none'").select("id", "reason", "raw_dt", "raw_lat", "raw_lon")
+    return good, bad, {"good": counts["none"], **{r: counts[r] for r in REASONS}}
 
 
 def points_from_table(spark: SparkSession, table: str, id_col: str, dt_col: str, lat_col: str,
