@@ -160,16 +160,16 @@ def test_many_grids_equal_one_grid_at_a_time(spark):
     grids = [Grid(), Grid(0.5, 1.0, Region(-10.0, -20.0, 10.0, 20.0), "a"), Grid(3.0, 3.0, Region(-90.0, -360.0, 90.0, 180.0), "b"),
              Grid(0.01, 0.02, Region(1.0, 1.0, 1.3, 1.2), "c"), Grid(0.25, 0.25, Region(5.0, 170.0, 9.0, 180.0), "d")]
     grids += [Grid(0.2, 0.2, Region(x := rng.uniform(-20, 18), y := rng.uniform(-20, 18), x + rng.uniform(0.1, 6), y + rng.uniform(0.1, 6)), f"r{i}")
-              for i in range(25)]
+              for i in range(7)]
     rows = [(rng.uniform(-20, 20), rng.uniform(-20, 20), rng.uniform(-20, 20), rng.uniform(-20, 20)) for _ in range(40)]
     rows += [(6.0, 179.0, 7.0, -179.5), (1.1, 1.1, 1.2, 1.15), (0.0, 0.0, 0.0, 1.0), (float("nan"), 1.0, 2.0, 1.5), (5.0, 180.0, 9.0, 170.0)]
     seg = segments_of(spark, rows)
-    for digits in ("exact", "reference"):
+    for digits, some in (("exact", grids), ("reference", grids[:4])):
         alone = None
-        for g in grids:
+        for g in some:
             x = crossings(seg, g, digits=digits)
             alone = x if alone is None else alone.unionByName(x)
-        together = crossings(seg, grids, digits=digits)
+        together = crossings(seg, some, digits=digits)
         assert together.count() == alone.count() > 1000
         assert together.exceptAll(alone).count() == 0
 

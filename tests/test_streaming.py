@@ -1,4 +1,5 @@
 import os
+import random
 import tempfile
 
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from gridwake.config import Grid, Limits, Region
 from gridwake.operators.paths import segments_consecutive
 from gridwake.sources.events import read_event_points
-from gridwake.streaming import stream_cell_counts, stream_segments
+from gridwake.streaming import stream_cell_counts, stream_segments, stream_segments_ordered
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,3 +86,56 @@ def test_stream_tripline_chained(spark):
     # every window that the watermark has passed is there: none is missing before the last one emitted
     last = max(k[2] for k in got)
     assert got == {k: v for k, v in exp.items() if k[2] <= last}
+
+
+def streamed(spark, slices, lateness_s, limits, name):
+    """Rows (id, seconds, lat, lon) per micro-batch, as the ordered stream gives them out."""
+    root = _scratch(spark)
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    schema = "id string, dt timestamp, lat double, lon double"
+    q = (stream_segments_ordered(spark.readStream.schema(schema).parquet(src), limits, lateness_s).writeStream
+         .format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", os.path.join(root, "ck")).start())
+    try:
+        for rows in slices:
+            df = spark.createDataFrame(rows, "id string, s long, lat double, lon double")
+            df.select("id", F.timestamp_seconds("s").alias("dt"), "lat", "lon").coalesce(1).write.mode("append").parquet(src)
+            q.processAllAvailable()
+        state = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    finally:
+        q.stop()
+    return spark.table(name).collect(), state
+
+
+def test_a_shuffled_stream_equals_the_batch(spark, points):
+    rng = random.Random(4)
+    rows = []
+    for i in range(6):
+        t = 1_700_000_000 + rng.randint(0, 3000)
+        for _ in range(80):
+            t += rng.randint(1, 900)
+            rows.append((f"s{i}", t, rng.uniform(10, 11), rng.uniform(10, 11)))
+    rows += [("same", 1_700_000_100, 10.0 + k % 5, 20.0) for k in range(20)]
+    # every row arrives up to an hour of event time late
+    arrival = sorted(rows, key=lambda r: r[1] + rng.randint(0, 3500))
+    slices = [arrival[i::1][k * 50:(k + 1) * 50] for i in [0] for k in range(-(-len(arrival) // 50))]
+    limits = Limits(time_s=3000.0, distance_km=200.0, inclusive=False)
+    end = max(r[1] for r in rows) + 100_000
+    got, state = streamed(spark, [*slices, [("end", end, 0.0, 0.0)], [("end", end + 1, 0.0, 0.0)]], 3600, limits, "shuffled")
+    assert {r.kind for r in got} == {"segment"}
+    found = sorted((r.id, r.adt, r.bdt, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got)
+    want = segments_consecutive(points(rows), limits)
+    assert found == sorted(tuple(r) for r in want.select("id", "adt", "bdt", "alat", "alon", "blat", "blon", "time_s").collect())
+    assert len(found) > 200 and state == 1            # idle ids have left no state
+
+
+def test_rows_that_come_too_late_are_given_out(spark):
+    base = 1_700_000_000
+    slices = [[("a", base, 1.0, 1.0), ("a", base + 60, 1.1, 1.0)], [("b", base + 10_000, 5.0, 5.0)],
+              [("b", base + 10_060, 5.1, 5.0)], [("a", base + 30, 1.05, 1.0), ("c", base + 20, 2.0, 2.0), ("a", base + 90, 1.2, 1.0)],
+              [("b", base + 30_000, 6.0, 5.0)], [("b", base + 30_001, 6.0, 5.1)]]
+    got, _ = streamed(spark, slices, 600, Limits(time_s=10.0 ** 5, distance_km=200.0, inclusive=False), "late_rows")
+    late = sorted((r.id, r.blat) for r in got if r.kind == "late")
+    assert late == [("a", 1.05), ("c", 2.0)]
+    assert sorted((r.alat, r.blat) for r in got if r.kind == "segment" and r.id == "a") == [(1.0, 1.1), (1.1, 1.2)]
