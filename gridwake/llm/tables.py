@@ -11,14 +11,24 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import intermediate as materialise
+from ..session import release
 
-__all__ = ["arrow_rows", "free_finished", "materialise", "read_table", "share", "shared_value", "worker_cache"]
+__all__ = ["arrow_rows", "free_finished", "fresh_name", "materialise", "read_table", "release", "share",
+           "shared_value", "worker_cache"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 TEXT_ROWS = 1000          # texts handed to Python at once by jobs that run at call time
 
 

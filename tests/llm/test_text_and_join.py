@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from gridwake.llm import jaccard_join as jj
 from gridwake.llm.components import connected_components
@@ -118,12 +119,35 @@ def test_threshold_is_exact():
     bands = jj.Bands(85, 100)
     tokens = np.sort(np.random.default_rng(1).integers(1, 1 << 63, 40, dtype=np.uint64))
     a, b, c = tokens[:20], tokens[:17], np.sort(np.r_[tokens[:16], tokens[30:33]])
-    i, j = jj.block_links([a], [b, c], 85, 100)
+    i, j = jj.block_links(jj.Block.of([a]), jj.Block.of([b, c]), 85, 100)
     assert list(zip(i, j)) == [(0, 0)]
-    own, sig = jj.cell_signatures([a, b], bands)
+    own, sig, need = jj.cell_signatures([a, b], bands)
     assert len(set(sig[own == 0]) & set(sig[own == 1])) >= jj.SHARED_CELLS
 
 
+def test_linked_sets_share_what_each_needs():
+    """Pairs right at the threshold, at all sizes: in some band both hold as
+    many common signatures as either needs."""
+    rng = np.random.default_rng(7)
+    for num, den in ((80, 100), (85, 100)):
+        bands = jj.Bands(num, den)
+        for _ in range(400):
+            n = int(rng.integers(1, 600))
+            both = rng.integers(1, 1 << 63, n, dtype=np.uint64)
+            spare = int((den - num) * n // num)          # tokens outside the intersection
+            k = int(rng.integers(0, spare + 1))
+            extra = rng.integers(1, 1 << 63, spare, dtype=np.uint64)
+            a, b = np.unique(np.r_[both, extra[:k]]), np.unique(np.r_[both, extra[k:]])
+            if den * n < num * (n + spare) or len(a) != n + k or len(b) != n + spare - k or spare == 0:
+                continue
+            own, sig, need = jj.cell_signatures([a, b], bands)
+            met = np.isin(sig, np.intersect1d(sig[own == 0], sig[own == 1]))
+            best = [{v: (met & (own == i) & (need == v)).sum() for v in np.unique(need[own == i])} for i in (0, 1)]
+            assert all(any(count >= v for v, count in found.items()) for found in best)
+            common = len(set(sig[own == 0]) & set(sig[own == 1]))
+            assert common >= max(need[own == i].min() for i in (0, 1))
+
+
 def test_edge_rows_and_empty_table(spark, edge, empty):
     got = jj.jaccard_join(edge, words=4, num=85, den=100).collect()
     want = brute([(r["doc_id"], r["text"]) for r in edge.collect()], 4, 85, 100)
@@ -136,6 +160,35 @@ def test_edge_rows_and_empty_table(spark, edge, empty):
     assert jj.keep_one_of_each_group(empty).count() == 0
 
 
+def test_components_only_mode_equals_the_join(spark, monkeypatch):
+    """One of each group, whatever the block size; families in many blocks."""
+    rng = random.Random(12)
+    texts = []
+    for size in (6, 12, 30, 80):
+        texts += family(rng, [f"u{rng.randrange(400)}" for _ in range(size)], 40, 7)
+    chain = [f"c{i}" for i in range(150)]
+    for i in range(12):
+        chain = list(chain)
+        chain[i * 12] = f"new{i}"
+        texts.append(" ".join(chain))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = sorted(d for d, *_, c, _ in brute(list(enumerate(texts)), 5, 80, 100) if c == d)
+    for classes in (128, 3):
+        monkeypatch.setattr(jj, "BLOCK_CLASSES", classes)
+        assert sorted(r["doc_id"] for r in jj.keep_one_of_each_group(df).collect()) == expected
+
+
+def test_a_repeated_id_is_no_key(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, None), (3, ""), (None, a), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clash = df.select("*", *[F.lit(c).alias(c) for c in ("_mark", "_word", "_mask", "mark", "component_id", "n", "one", "bit")])
+    for docs in (df, clash):
+        kept = sorted(((r["doc_id"], r["text"]) for r in jj.keep_one_of_each_group(docs).collect()), key=str)
+        assert kept == sorted([(1, a), (2, b), (3, None), (3, ""), (None, a), (None, a)], key=str)
+        assert jj.keep_one_of_each_group(docs).columns == docs.columns
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 360)]
