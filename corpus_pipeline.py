@@ -3,7 +3,13 @@ group of near copies, removal of benchmark leaks, redaction of secrets, and
 packing into token windows. Every stage works on all rows its predecessor
 kept; each result is written as Parquet and read again by the next.
 
-All stages but the last return the columns they were given (``documents``).
+All stages but the last return the columns they were given (``documents``),
+whatever else they are called. Null, empty, blank and very long texts go
+through every stage as its operator's module defines; rows without a
+``doc_id`` are never near copies of others and stay; rows repeated with the
+same id and text stay once, rows that share only the id are documents of
+their own. Of linked documents (a tie) the smallest id stays. An empty table
+stays empty.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from gridwake.llm.jaccard_join import keep_one_of_each_group
 from gridwake.llm.packing import pack
 from gridwake.llm.quality import keep_quality
 from gridwake.llm.secrets import redact
-from gridwake.llm.tables import materialise, read_table
+from gridwake.llm.tables import fresh_name, materialise, read_table, release
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +45,10 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked; ``n_chars`` follows the new text."""
-    masked = redact(docs.withColumn("_before", F.col("text")))
+    before = fresh_name(docs, "_before")
+    masked = redact(docs.withColumn(before, F.col("text")))
     if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.when(F.col("text") != F.col("_before"), F.length("text"))
+        masked = masked.withColumn("n_chars", F.when(F.col("text") != F.col(before), F.length("text"))
                                    .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return masked.select(*docs.columns)
 
@@ -66,5 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
