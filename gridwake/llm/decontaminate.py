@@ -25,7 +25,10 @@ of exactly their words (inside a line they would match common phrases).
 The item index goes to all tasks, so benchmarks are searched in blocks of at
 most ``BLOCK_CHARS`` characters, one pass over the texts per block.
 
-Defined results: null and empty texts and items match nothing. Repeated rows of texts report each; repeated items report each.
+Defined results: null and empty texts and items match nothing. Very long texts
+are searched whole. Repeated rows of texts report each; repeated items report
+each, and all items that tie are reported. Empty tables match nothing. Other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

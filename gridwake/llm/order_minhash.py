@@ -28,7 +28,8 @@ also handed to the bucket before it, and a window runs per bucket.
 
 Defined results: null texts are empty. Rows without an id have no next
 document (their cut-off quarter is replaced by nothing). Rows with equal ids
-follow each other in text order. Other columns are ignored.
+follow each other in text order; equal rows (ties) have equal results. An
+empty table gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

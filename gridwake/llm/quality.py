@@ -16,6 +16,11 @@ linear time as ``(|sum(v x)|^2 - sum(|v|^2 x^2)) / 2``.
 Training (driver, numpy, fixed seed) uses at most ``per_class`` labelled rows
 of each class; scoring runs in the tasks, one pass, no shuffle. An empty text
 has its structure and metadata features and so a score too.
+
+Defined results: a null text counts as empty. Very long texts are read whole.
+Repeated rows are scored each, equal texts (ties) alike; rows without an id
+are scored and count as held out. An empty table gives no rows. Other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations

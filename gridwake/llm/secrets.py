@@ -24,7 +24,10 @@ against checksums, identifiers, long words with digits, addresses, numbers
 and placeholders. Pass reviewed findings to replace it.
 
 Defined results: null and empty texts have no findings; repeated rows have
-their findings each; a null path says nothing. Other columns are ignored.
+their findings each; a null path says nothing. Very long texts are scanned
+whole, in time that grows with their length. Candidates that could begin at
+the same place (a tie) are taken in the order of the rules. An empty table
+gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

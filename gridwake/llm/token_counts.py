@@ -18,6 +18,11 @@ The piece model here has identity normalisation, a space put before every
 non-empty text, spaces written as U+2581, byte fallback, and ordinary-text
 treatment of special strings; ``PieceRanks`` checks the model for what it
 relies on.
+
+Defined results: null and empty texts have no tokens. Very long texts are
+counted whole. Pairs that tie in rank merge from left to right. Repeated rows
+are counted each. An empty table gives no rows. Other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
