@@ -9,12 +9,15 @@ import time
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from gridwake.llm import decontaminate as dc
+from gridwake.llm import license_scan as ls
 from gridwake.llm import secrets, warc
 from gridwake.llm.license_scan import license_scan
+from gridwake.llm.textunits import LOWER, NOT_ALNUM, Units, text_slices
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -269,6 +272,109 @@ def test_license_base_places_equal_brute_force(spark, documents, edge, empty):
     assert license_scan(empty).count() == 0
 
 
+def plain_license_scores(index, text):
+    """Every template at every relative position of any of its words in the
+    text, whatever the postings: heaviest ordered chain by plain recursion,
+    key phrases by comparing words. Returns the best score of each label's
+    templates that match."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOW))
+    out = {}
+    for k, t in enumerate(index.templates):
+        if t.base:
+            continue
+        own, weight, shift = t.words.split(), index.weight[k], index.shift[k]
+        rare = {own[o] for o in index.leads[k]}
+        where = {}
+        for p, w in enumerate(words):
+            where.setdefault(w, []).append(p)
+        starts = {p - o for o, w in enumerate(own) if w in rare and o in set(index.leads[k].tolist()) for p in where.get(w, [])}
+        best = 0.0
+        for s in starts:
+            keys = all(any(words[q:q + len(x)] == x for q in range(max(0, s + o - shift), s + o + shift + 1))
+                       for key in t.keys for x in [key.split()]
+                       for o in [next(i for i in range(len(own)) if own[i:i + len(x)] == x)])
+            if not keys:
+                continue
+            chain = {}                     # template position of the last word -> weight
+            for p in range(max(0, s - shift), min(len(words), s + len(own) + shift)):
+                fresh = {}
+                for o in range(max(0, p - s - shift), min(len(own), p - s + shift + 1)):
+                    if own[o] == words[p]:
+                        fresh[o] = weight[o] + max([v for q, v in chain.items() if q < o], default=0.0)
+                for o, v in fresh.items():
+                    chain[o] = max(chain.get(o, 0.0), v)
+            best = max([best, *chain.values()])
+        if best >= ls.MATCH - 1e-9:
+            out[k] = best
+    return out
+
+
+def edited_words(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        kind = rng.randrange(3)
+        if kind == 0:
+            words.insert(at, rng.choice(["one", "very", "software", "license"]))
+        elif kind == 1:
+            words.pop(at)
+        else:
+            words[at] = rng.choice(["thing", "other", "the"])
+    return words
+
+
+def test_license_matches_equal_a_plain_matcher():
+    """Intersected postings lose nothing that trying every place finds."""
+    rng = random.Random(6)
+    templates = ls.BASE + ls.NOTICES + ls.BODIES
+    index = ls.TemplateIndex(templates, {int(h): rng.randint(0, 400) for t in templates for h in ls._hashes(t.words)}, 1000)
+    filler = "lorem the of software and license any copy to ipsum dolor".split()
+    found = 0
+    for n in range(60):
+        body = rng.choice(templates).words.split()
+        text = [rng.choice(filler) for _ in range(rng.randint(0, 30))]
+        text += edited_words(rng, body, rng.randint(0, max(1, len(body) // 12))) + [rng.choice(filler) for _ in range(20)]
+        text = " ".join(text)
+        units = next(iter(text_slices(pa.array([text], pa.string()))))
+        where, word = ls._word_hits(index.vocabulary, Units(units, NOT_ALNUM, LOWER[units.buf]))
+        got = index.match(where, word)[1]
+        want = plain_license_scores(index, text)
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got), text
+        found += len(got)
+    assert found > 30
+
+
+def test_license_bodies_survive_small_edits(spark):
+    rng = random.Random(1)
+    rows, want = [], []
+    for i, t in enumerate(ls.BODIES):
+        body = t.words.split()
+        while True:
+            text = " ".join(edited_words(rng, body, len(body) // 25))
+            if all(k in text for k in t.keys):
+                break
+        rows.append((i, f"Copyright 2020 Some Body. {text.upper()} End of text."))
+        want.append(t.label)
+    rows.append((99, "permission is hereby granted, free of charge, to any one person obtaining a copy of this software"))
+    got = {r["doc_id"]: r["labels"].split(",") for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(label in got[i] for i, label in enumerate(want))
+    assert got[99] == ["mit"]
+
+
+def test_license_cost_does_not_follow_the_number_of_templates():
+    """A text whose words lead none of 500 more templates makes no more proposals."""
+    rng = random.Random(3)
+    more = tuple(ls.Template(f"t{i}", " ".join(f"w{rng.randrange(3000)}x" for _ in range(40))) for i in range(500))
+    text = ls.MIT_BODY * 3
+    sizes = []
+    for templates in (ls.BASE + ls.BODIES, ls.BASE + ls.BODIES + more):
+        index = ls.TemplateIndex(templates, {}, 10)
+        units = next(iter(text_slices(pa.array([text], pa.string()))))
+        hits = ls._word_hits(index.vocabulary, Units(units, NOT_ALNUM, LOWER[units.buf]))
+        sizes.append(len(index.proposals(*hits)[0]))
+    assert sizes[0] == sizes[1] > 0
+
+
 def test_license_notices_and_key_phrases(spark):
     texts = ["Redistribution and use in source and binary forms, with or without modification, are permitted",
              "Redistribution and usage in source and binary forms, with or without modification, are permitted",
@@ -419,3 +525,20 @@ def test_pipeline_stages_take_edge_rows(spark, edge, empty, sf):
     for docs in (edge, empty):
         for _, stage in pipeline.STAGES:
             assert stage(spark, docs, sf).count() >= 0
+
+
+def test_no_column_name_is_in_the_way_of_a_stage(spark, sf):
+    """Columns named like the stages' helpers come back as they were."""
+    import corpus_pipeline as pipeline
+    names = ("_before", "_before_", "_mark", "_word", "_mask", "_id", "_bucket", "mark", "d1", "key", "size", "need", "tokens",
+             "members", "copies", "predicted", "found", "cells")
+    rows = [(1, 'password = "hunter2!x9" and more words to keep it going', "en", "s", 5), (1, "another text under the same id", "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.lit("keepme").alias(c) for c in names])
+    for name, stage in pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert len(found) == 2 and all(r[c] == "keepme" for r in found for c in names), name
+    masked = [r for r in found if secrets.MASK in r["text"]]
+    assert len(masked) == 1 and "hunter2!x9" not in masked[0]["text"] and masked[0]["n_chars"] == len(masked[0]["text"])
