@@ -56,7 +56,7 @@ BLOCK_TOKENS = 1 << 16
 SHARED_CELLS = 2
 FILTER_BITS = 1 << 26      # 8 MB
 ROUNDS = 2
-PAIR_ROWS = 32            # block pairs handed to Python at once
+PAIR_ROWS = 12            # block pairs handed to Python at once
 _U = np.uint64
 
 
