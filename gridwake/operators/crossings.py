@@ -12,7 +12,9 @@ whole segment's velocity and bearing.
 
 Everything is one native projection + ``explode(sequence(lo, hi))`` +
 filter, so the fan-out is pruned by plain arithmetic before any row is
-produced and whole-stage codegen covers it.
+produced. Fused into one generated method with what follows, that is several
+times too long for HotSpot to compile, so such stages are generated operator
+by operator (see ``small_methods``).
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from ..config import COORD_TOLERANCE, MIN_INTERPOLATION_SPEED, Grid, label_digits
 from ..functions.geo import bearing_deg, haversine_km
 from ..functions.timefn import bucket_start, temporal_bucket
+from ..session import small_methods
 
 DATELINE_MODES = ("short_way", "literal")
 
@@ -44,6 +47,7 @@ def _grids(grid: Grid | Sequence[Grid]) -> list[Grid]:
 # coarse cells (degrees) that a grid's region is indexed by; a region takes the first size of which it covers few
 CELL_SIZES = (0.5, 3.0, 18.0, 108.0, 1000.0)
 CELLS_PER_GRID = 16
+ROUND_DIGITS = 9          # up to here degrees times 10^digits are whole numbers that a double holds
 
 
 class _Params:
@@ -62,13 +66,23 @@ class _Params:
         literal: one branch per number that occurs."""
         out = None
         for n in sorted({v[name] for v in self.values}):
+            rounded = _round_centre(value, n) if self.digits == "exact" else F.round(value, n)
             if self.single:
-                return F.round(value, n)
-            branch = (F.col("_grid")[name] == n, F.round(value, n))
+                return rounded
+            branch = (F.col("_grid")[name] == n, rounded)
             out = F.when(*branch) if out is None else out.when(*branch)
         return out
 
 
+def _round_centre(value: Column, digits: int) -> Column:
+    """``F.round`` for cell centres, which have that many digits but for the
+    noise of one product: far from a tie, so whole numbers give the same
+    double without a decimal per crossing. Not for very fine steps."""
+    if not 0 <= digits <= ROUND_DIGITS:
+        return F.round(value, digits)
+    return F.floor(value * F.lit(10.0 ** digits) + 0.5) / F.lit(10.0 ** digits)
+
+
 def _parameters(g: Grid, digits: str) -> dict:
     r = g.region
     return {
@@ -265,6 +279,7 @@ def crossings(segments: DataFrame, grid: Grid | Sequence[Grid] = Grid(),
     if through and len(grids) > 1:
         raise ValueError("through=True takes one grid at a time")
     p = _Params(grids, digits)
+    small_methods(segments.sparkSession)
 
     lon1, lon2 = F.col("alon"), F.col("blon")
     over = F.abs(lon1 - lon2) > 180

@@ -44,6 +44,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+METHOD_BYTES = 8000           # HotSpot interprets longer methods for ever, unless started with JIT_FLAGS
+
+
+def small_methods(spark: SparkSession) -> None:
+    """Let stages whose fused method HotSpot would not compile run operator by
+    operator, each in methods short enough. A session setting, which changes
+    no result; a lower limit that the caller has set stays."""
+    if int(spark.conf.get(METHOD_LIMIT)) > METHOD_BYTES:
+        spark.conf.set(METHOD_LIMIT, str(METHOD_BYTES))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 

@@ -228,3 +228,22 @@ def test_id_parts_joined_are_the_whole_list(spark):
         found.sort(key=lambda r: r.part)
         assert [r.part for r in found] == list(range(found[0].n_parts))
         assert (",".join(r.ids for r in found), found[0].n_tracks) == whole[cell]
+
+
+def test_cell_centres_round_as_round_does(spark):
+    from gridwake.operators.crossings import _round_centre
+    idx = spark.range(-4000, 4000).select(F.col("id").alias("k"))
+    for res, digits in ((0.1, 2), (0.25, 3), (0.5, 2), (1.0, 1), (10.0, 1), (0.05, 3), (0.003, 4), (0.0007, 5), (1 / 3, 17)):
+        value = (F.col("k") + 0.5) * F.lit(res)
+        assert idx.where(~_round_centre(value, digits).eqNullSafe(F.round(value, digits))).isEmpty(), res
+
+
+def test_stages_too_long_for_the_jit_are_not_fused(spark, points):
+    from gridwake.session import METHOD_BYTES, METHOD_LIMIT
+    spark.conf.unset(METHOD_LIMIT)
+    crossings(seg_of(points, [("a", 0, 0.05, 0.05), ("a", 3600, 0.05, 0.25)]), Grid(0.1, 0.1, WORLD))
+    assert int(spark.conf.get(METHOD_LIMIT)) == METHOD_BYTES
+    spark.conf.set(METHOD_LIMIT, "4000")
+    crossings(seg_of(points, [("a", 0, 0.05, 0.05), ("a", 3600, 0.05, 0.25)]), Grid(0.1, 0.1, WORLD))
+    assert spark.conf.get(METHOD_LIMIT) == "4000"
+    spark.conf.unset(METHOD_LIMIT)
