@@ -35,7 +35,7 @@ from ..functions.geo import elapsed_seconds, haversine_km, speed_kmh
 from ..session import intermediate
 from .anchored_chunks import anchored_chunk_segments
 from . import sequence
-from .sequence import (BUCKET, equi_depth, is_split, partition_by_bucket, time_bucket, with_previous,
+from .sequence import (BUCKET, equi_depth, key_rows, partition_by_bucket, spread, time_bucket, with_previous,
                        with_previous_whole, with_previous_within)
 
 SEGMENT_SCHEMA = T.StructType([
@@ -54,6 +54,7 @@ SEGMENT_COLUMNS = SEGMENT_SCHEMA.fieldNames()
 
 ORDER = ["dt", "lat", "lon"]
 PIECE_ROWS = 2_000_000        # rows of an id that one task follows at once
+TASK_ROWS = 50_000            # rows of a task whose segments are cut at every grid line they meet
 TAIL_SHARE = 4                # tail copies serve limits up to this fraction of a bucket
 
 
@@ -89,22 +90,27 @@ def _segment_projection(prev: str, zero_time_velocity: float) -> list[Column]:
 
 def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
                          split_seconds: int | str = "auto",
-                         zero_time_velocity: float = math.inf, target_rows: int | None = None) -> DataFrame:
+                         zero_time_velocity: float = math.inf, target_rows: int | None = None,
+                         task_rows: int | None = None) -> DataFrame:
     """Consecutive rule (every row becomes the next start).
 
     ``split_seconds``: time-bucket width that splits each id over tasks;
     ``"auto"`` splits only ids with more than ``target_rows`` rows (default
     ``sequence.TARGET_ROWS``), into buckets of that many (one small aggregate
-    job, a few more if there are such ids)."""
+    job, a few more if there are such ids). ``task_rows`` (with ``"auto"``)
+    bounds the rows that one task pairs, ids being whole unless they are split,
+    for segments that many rows are made of at once."""
     inclusive = bool(limits.inclusive) if limits.inclusive is not None else False
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", "lat", "lon")
            .where(F.col("dt").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()))
     target = target_rows or sequence.TARGET_ROWS
     if split_seconds == "auto":
-        if is_split(pts, "id", target):
+        top, total = key_rows(pts, "id")
+        if top > target:
             paired = with_previous(equi_depth(pts, "id", "dt", ORDER, target), "id", ORDER, [], F.col(BUCKET))
+            paired = spread(paired, total, task_rows, "id", "dt") if task_rows else paired
         else:
-            paired = with_previous_whole(pts, "id", ORDER)
+            paired = with_previous_whole(spread(pts, total, task_rows, "id") if task_rows else pts, "id", ORDER)
     elif limits.time_s * TAIL_SHARE <= (split := int(split_seconds)):
         # pairs further apart than the time limit are never emitted, so each
         # bucket only needs the previous bucket's last time-limit seconds:
@@ -127,7 +133,7 @@ def segments_consecutive(points: DataFrame, limits: Limits = Limits(),
 def segments_anchored(points: DataFrame, limits: Limits = Limits(),
                       split_seconds: int | str = "auto",
                       zero_time_velocity: float = -1.0, piece_rows: int | None = None,
-                      target_rows: int | None = None) -> DataFrame:
+                      target_rows: int | None = None, task_rows: int | None = None) -> DataFrame:
     """Anchored rule (a rejected row does not become the next start).
 
     Plan: pair each good row with the previous good row (skew-safe window).
@@ -143,7 +149,8 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     with about ``piece_rows`` good rows (default ``PIECE_ROWS``), so sparse
     stretches are not cut up and dense ones are. The annotated
     rows are written once to the intermediate folder; this, the maps and
-    ``split_seconds="auto"`` run Spark actions at call time.
+    ``split_seconds="auto"`` run Spark actions at call time. ``task_rows``
+    (with ``"auto"``) spreads the segments as in ``segments_consecutive``.
 
     Infinite coordinates count as non-numeric; NaN never breaks a limit and
     never counts as movement.
@@ -154,9 +161,11 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     pts = (points.select(F.col("id").cast("string").alias("id"), "dt", _finite("lat"), _finite("lon"))
            .where(F.col("dt").isNotNull()))
     good = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    target = target_rows or sequence.TARGET_ROWS
+    top, total = key_rows(pts, "id") if split_seconds == "auto" else (0, 0)
     if split_seconds != "auto":
         bucket = time_bucket(F.col("dt"), int(split_seconds))
-    elif is_split(pts, "id", target := target_rows or sequence.TARGET_ROWS):
+    elif top > target:
         pts, bucket = equi_depth(pts, "id", "dt", ORDER, target), F.col(BUCKET)
     else:
         bucket = F.lit(0).cast("long")
@@ -226,7 +235,8 @@ def segments_anchored(points: DataFrame, limits: Limits = Limits(),
     slow_in = (rows.where(F.col("fd").isNotNull() & before_cut & (me >= F.col("fd.anchor")))
                .select("id", F.col("_piece").alias("chunk"), F.unix_timestamp("dt").alias("ts"), "lat", "lon",
                        F.col("dt").alias("_dt")))
-    return fast.unionByName(anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity))
+    out = fast.unionByName(anchored_chunk_segments(slow_in, T_, D_, inclusive, zero_time_velocity))
+    return spread(out, total, task_rows, "id", *(["bdt"] if top > target else [])) if task_rows else out
 
 
 def count_segments(segments: DataFrame, by_id: bool = False) -> DataFrame:

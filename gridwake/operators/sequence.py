@@ -42,11 +42,29 @@ SAMPLES = 64                  # sampled rows per bucket of a cut cell
 _CUTS = 1 << 24               # buckets that one cell may be cut into
 
 
+def key_rows(points: DataFrame, key: str) -> tuple[int, int]:
+    """Rows of the largest key and of all keys (one aggregate, two scalars
+    back to the driver)."""
+    top, total = (points.where(F.col(key).isNotNull()).groupBy(key).count()
+                  .agg(F.max("count"), F.sum("count")).first())
+    return top or 0, total or 0
+
+
 def is_split(points: DataFrame, key: str, target_rows: int) -> bool:
-    """Whether any key has more than ``target_rows`` rows (one aggregate, a
-    scalar back to the driver)."""
-    top = (points.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()[0])
-    return (top or 0) > target_rows
+    """Whether any key has more than ``target_rows`` rows."""
+    return key_rows(points, key)[0] > target_rows
+
+
+def spread(rows: DataFrame, total: int, task_rows: int, *by: str) -> DataFrame:
+    """``rows`` partitioned by the columns ``by`` over one task per
+    ``task_rows`` of ``total`` rows, and over all cores before that; one such
+    lot stays as it is. For rows that multiply later on: Spark sizes the tasks
+    of a shuffle by the bytes it moves, not by what is made of them."""
+    tasks = math.ceil(total / task_rows)
+    if tasks <= 1:
+        return rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(tasks, min(cores, math.ceil(10 * total / task_rows))), *by)
 
 
 def equi_depth(points: DataFrame, key: str, ts: str, order: Sequence[str], target_rows: int) -> DataFrame:

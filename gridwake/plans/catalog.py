@@ -18,7 +18,7 @@ from ..config import TEMPORAL_SPLITS, Grid, Limits, Region
 from ..functions.geo import bearing_deg, mercator_pixel, tile_of_pixel
 from ..functions.timefn import format_ts, temporal_bucket
 from ..operators.crossings import crossings, filter_segments_region
-from ..operators.paths import count_segments, segments_anchored, segments_consecutive
+from ..operators.paths import TASK_ROWS, count_segments, segments_anchored, segments_consecutive
 from ..operators.stats import cell_stats, cell_track_id_parts, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
 from ..session import ensure_checkpoint_dir
@@ -79,7 +79,8 @@ def _consecutive(spark, sf_dir):
 
 
 def _fine_crossings(spark, sf_dir):
-    return crossings(_consecutive(spark, sf_dir), GRID_FINE, temporal_split="hour")
+    seg = segments_consecutive(_points(spark, sf_dir), LIMITS_CONSECUTIVE, task_rows=TASK_ROWS)
+    return crossings(seg, GRID_FINE, temporal_split="hour")
 
 
 # ------------------------------------------------------------------- sources

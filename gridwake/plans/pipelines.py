@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 
 from ..config import Grid, Limits, Region
 from ..operators.crossings import crossings
-from ..operators.paths import segments_anchored, segments_consecutive
+from ..operators.paths import TASK_ROWS, segments_anchored, segments_consecutive
+from ..operators.sequence import spread
 from ..operators.stats import cell_stats, cell_track_ids, cell_track_pairs
 from ..operators.tiles import bin_counts, bin_hits, dense_tiles
 from ..sinks.writers import write_cell_tables, write_stage, write_tiles
@@ -25,13 +26,13 @@ PATH_MODES = ("anchored", "consecutive")
 
 def build_segments(points: DataFrame, limits: Limits, path_mode: str,
                    split_seconds: int | str = "auto",
-                   zero_time_velocity: float | None = None) -> DataFrame:
+                   zero_time_velocity: float | None = None, task_rows: int | None = None) -> DataFrame:
     if path_mode == "anchored":
         return segments_anchored(points, limits, split_seconds,
-                                 -1.0 if zero_time_velocity is None else zero_time_velocity)
+                                 -1.0 if zero_time_velocity is None else zero_time_velocity, task_rows=task_rows)
     if path_mode == "consecutive":
         return segments_consecutive(points, limits, split_seconds,
-                                    math.inf if zero_time_velocity is None else zero_time_velocity)
+                                    math.inf if zero_time_velocity is None else zero_time_velocity, task_rows=task_rows)
     raise ValueError(f"path_mode must be one of {PATH_MODES}")
 
 
@@ -56,7 +57,7 @@ def legacy_tripline_options(**overrides) -> TriplineOptions:
 
 def tripline_pipeline(points: DataFrame, opts: TriplineOptions = TriplineOptions()) -> dict[str, DataFrame]:
     """points -> segments -> crossings -> per-cell count / velocity / direction / ids."""
-    seg = build_segments(points, opts.limits, opts.path_mode, opts.split_seconds)
+    seg = build_segments(points, opts.limits, opts.path_mode, opts.split_seconds, task_rows=TASK_ROWS)
     x = _grid_crossings(seg, opts)
     return {"segments": seg, "crossings": x, **_cell_tables(x, opts)}
 
@@ -92,7 +93,8 @@ def write_tripline(points: DataFrame, base_path: str, opts: TriplineOptions = Tr
     spark, base = points.sparkSession, base_path.rstrip("/")
     paths = {n: f"{base}/{n}" for n in ("segments", "crossings", "track_pairs", "track_ids")}
     write_stage(build_segments(points, opts.limits, opts.path_mode, opts.split_seconds), paths["segments"])
-    write_stage(_grid_crossings(spark.read.parquet(paths["segments"]), opts), paths["crossings"])
+    seg = spark.read.parquet(paths["segments"])
+    write_stage(_grid_crossings(spread(seg, seg.count(), TASK_ROWS, "id", "bdt"), opts), paths["crossings"])
     tables = _cell_tables(spark.read.parquet(paths["crossings"]), opts)
     for name in ("track_pairs", "track_ids"):
         write_stage(tables[name], paths[name])

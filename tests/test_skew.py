@@ -119,3 +119,23 @@ def test_a_stored_layout_needs_no_exchange(spark, points, tmp_path):
     g = sorted((r.id, r.alat, r.alon, r.blat, r.blon, r.time_s) for r in got.collect())
     assert g == loop_consecutive(rows, 1800.0, 100.0)
     spark.sql(f"drop table {table}")
+
+
+def test_rows_of_a_task_do_not_grow_with_the_table(spark, points):
+    """Segments to be cut at grid lines lie in tasks of a bounded number of
+    rows, track pairs are counted there without another shuffle, and the rows
+    are the same."""
+    from gridwake.config import Grid
+    from gridwake.operators.crossings import crossings
+    from gridwake.operators.stats import cell_track_pairs
+    rows = [(f"u{u}", 60 * i, 10.0 + u * 0.01 + i * 0.01, 20.0 + i * 0.03) for u in range(40) for i in range(30)]
+    limits = Limits(time_s=86400, distance_km=1000)
+    for rule in (segments_consecutive, segments_anchored):
+        plain, wide = rule(points(rows), limits), rule(points(rows), limits, task_rows=40)
+        assert wide.rdd.getNumPartitions() >= 30
+        assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, plain.collect())) != []
+        pairs = cell_track_pairs(crossings(wide, Grid(0.1, 0.1)))
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (pairs, wide.select("*"))]
+        assert plans[0].count("Exchange") == plans[1].count("Exchange") > 0
+        per_task = wide.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert per_task <= 6 * 30
