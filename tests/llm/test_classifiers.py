@@ -100,3 +100,38 @@ def test_edge_rows(spark, edge, empty, labels):
     same = quality.quality_scores(edge, odd).where("predicted = 1").where(F.col("doc_id").isNotNull())
     assert sorted(r[0] for r in same.select("doc_id").collect()) == sorted(
         r[0] for r in kept.where("doc_id is not null").select("doc_id").collect())
+
+
+def test_toxicity_learns_from_every_training_row(spark):
+    """Toxic rows past the first 1,500 by the hash of their id hold a word of
+    their own; it is learned too, and how rows are dealt changes nothing."""
+    from pyspark.sql import Window, functions as F
+    plain = F.concat(F.lit("w"), F.col("doc_id") % 91, F.lit(" quiet day v"), F.col("doc_id") % 53)
+    late = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")) > 1500
+    ids = spark.range(4800).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    ids = ids.where(~(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2)).withColumn("late", late)
+    word = F.when(F.col("toxic") == 0, "").when(F.col("late"), " zork").otherwise(" blip")
+    docs = ids.select("doc_id", F.concat(plain, word).alias("text"), F.lit("en").alias("lang"))
+    probe = spark.createDataFrame([(-1, "quiet day zork", "en"), (-2, "quiet day", None), (-3, "blip quiet day", "xx")],
+                                  "doc_id long, text string, lang string")
+    labels = ids.select("doc_id", "toxic")
+    assert ids.where("toxic = 1 and late").count() > 100
+    assert toxicity.training_shards(docs, labels, 4, 2).count() == ids.count()
+    got = {r["doc_id"]: r for r in toxicity.toxicity_scores(docs.unionByName(probe), labels).collect()}
+    assert got[-1]["score"] > 0.5 > got[-2]["score"] and got[-3]["score"] > 0.5
+    again = toxicity.toxicity_scores(docs.unionByName(probe).repartition(7, "text"), labels.repartition(3)).collect()
+    assert len(again) == len(got)                # scores of float32 products, which the cut of a batch may touch
+    assert all(abs(r["score"] - got[r["doc_id"]]["score"]) < 1e-6 for r in again)
+    assert {r["threshold"] for r in again} == {r["threshold"] for r in got.values()}
+
+
+def test_best_thresholds_equal_a_loop(spark):
+    rows = [("a", int(i * 7919 % 13 == 0), (i * 37) % 50) for i in range(200)] + [("b", 0, 3), ("b", 0, 4)]
+    got = toxicity.best_thresholds(spark.createDataFrame(rows, "lang string, label int, bin long")).collect()
+    assert [r["lang"] for r in got] == ["a"] and got[0]["n"] == 200
+
+    def f1(cut):
+        taken = [r for r in rows[:200] if r[2] >= cut]
+        return 2 * sum(r[1] for r in taken) / (len(taken) + sum(r[1] for r in rows[:200]))
+    best = max((f1(b), b) for b in {r[2] for r in rows[:200]})
+    assert got[0]["threshold"] == best[1] / toxicity.SCORE_BINS
