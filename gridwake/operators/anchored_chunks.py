@@ -165,9 +165,10 @@ def key_groups(batch: pa.RecordBatch, columns: list[str]) -> Iterator[tuple[tupl
     for c in columns:
         code = pc.dictionary_encode(batch.column(c), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
         change[1:] |= code[1:] != code[:-1]
-    cuts = [*np.flatnonzero(change).tolist(), batch.num_rows]
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
-        key = tuple(batch.column(c)[lo].as_py() for c in columns)
+    starts = np.flatnonzero(change)
+    keys = zip(*(batch.column(c).take(pa.array(starts)).to_pylist() for c in columns))
+    cuts = [*starts.tolist(), batch.num_rows]
+    for key, lo, hi in zip(keys, cuts[:-1], cuts[1:]):
         yield tuple("NaN" if isinstance(v, float) and v != v else v for v in key), lo, hi
 
 
@@ -185,35 +186,39 @@ def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool, first:
     in ``blat``). A chunk may stretch over batches: only its anchor, caps and
     last rows are carried."""
 
-    def emit(key, kind, a, b):
-        n = len(a[0])
-        out = [pa.array(np.full(n, kind, np.int32))]
-        for value, field in zip(_plain(key), ("string", "int64", "bool_", "int64", "float64", "float64")):
-            out.append(pa.array([value] * n, getattr(pa, field)()))
-        out += [pa.array(a[0], pa.int64()), pa.array(a[1], pa.float64()), pa.array(a[2], pa.float64())]
-        out += ([pa.array(b[0], pa.int64()), pa.array(b[1], pa.float64()), pa.array(b[2], pa.float64())] if b else
-                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())])
+    def emitted(parts):
+        """One batch of all ``(key, kind, a, b)``, which are short."""
+        sizes = [len(a[0]) for _, _, a, _ in parts]
+        of = pa.array(np.repeat(np.arange(len(parts)), sizes))
+        without = np.repeat([b is None for *_, b in parts], sizes)
+        out = [pa.array([kind for _, kind, _, _ in parts], pa.int32()).take(of)]
+        for values, field in zip(zip(*(_plain(p[0]) for p in parts)), ("string", "int64", "bool_", "int64", "float64", "float64")):
+            out.append(pa.array(values, getattr(pa, field)()).take(of))
+        for side, blank in ((2, None), (3, without)):
+            for i, kind in enumerate((np.int64, np.float64, np.float64)):
+                pieces = [np.zeros(n, kind) if p[side] is None else np.asarray(p[side][i], kind) for p, n in zip(parts, sizes)]
+                out.append(pa.array(np.concatenate(pieces), mask=blank))
         return pa.record_batch(out, names=[part.split()[0] for part in SCAN_DDL.split(", ")])
 
     def close(key, anchor, ended, tail, caps):
         if not ended:
-            yield emit(key, 1, [[v] for v in anchor], None)
+            yield key, 1, [[v] for v in anchor], None
         if first:
             at = chain_ends(tail[1], tail[2], dist_limit)
             if at:
-                yield emit(key, 2, [c[at] for c in tail], None)
+                yield key, 2, [c[at] for c in tail], None
             n = len(caps.caps)
             lat, lon, radius = zip(*caps.caps)
-            yield emit(key, 3, [[int(tail[0][-1])] * n, lat, lon], [[0] * n, radius, [0.0] * n])
+            yield key, 3, [[int(tail[0][-1])] * n, lat, lon], [[0] * n, radius, [0.0] * n]
 
     def scan(batches):
-        key, anchor, ended, tail, caps = None, None, False, None, None
+        key, anchor, ended, tail, caps, parts = None, None, False, None, None, []
         for batch in batches:
             ts, lat, lon = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("ts", "lat", "lon"))
             for now, lo, hi in key_groups(batch, _KEY):
                 if now != key:
                     if key is not None:
-                        yield from close(key, anchor, ended, tail, caps)
+                        parts.extend(close(key, anchor, ended, tail, caps))
                     key, ended, tail, caps = now, False, None, Caps(dist_limit)
                     anchor = _plain(key)[3:] if key[2] else None
                 row = [ts[lo:hi], lat[lo:hi], lon[lo:hi]]
@@ -229,10 +234,15 @@ def chunk_scanner(time_limit: float, dist_limit: float, inclusive: bool, first:
                 moved = np.abs(row[1][a] - row[1][b]) + np.abs(row[2][a] - row[2][b]) > 0
                 a, b = a[moved], b[moved]
                 if len(a):
-                    yield emit(key, 0, [c[a] for c in row], [c[b] for c in row])
+                    parts.append((key, 0, [c[a] for c in row], [c[b] for c in row]))
                 anchor = (int(row[0][last]), float(row[1][last]), float(row[2][last]))
+            if parts:
+                yield emitted(parts)
+                parts = []
         if key is not None:
-            yield from close(key, anchor, ended, tail, caps)
+            parts.extend(close(key, anchor, ended, tail, caps))
+        if parts:
+            yield emitted(parts)
     return scan
 
 

@@ -404,3 +404,26 @@ def test_nan_and_infinite_coordinates(points):
     assert sorted((r.id, r.alat, r.blat) for r in far) == [("b", 1.1, 70.0), ("b", 70.0, 1.2)]
     got = segments_anchored(points(rows), Limits(time_s=86400.0, distance_km=300.0)).collect()
     assert sorted((r.id, r.alat, r.blat) for r in got) == [("a", 1.1, 1.2), ("b", 1.0, 1.1), ("b", 1.1, 1.2)]
+
+
+def test_a_scan_answers_in_few_batches():
+    """Short chunks share an output batch; each keeps its key, steps and exit."""
+    import pyarrow as pa
+    from gridwake.operators.anchored_chunks import chunk_scanner
+    n, per = 300, 4
+    rows = pa.table({
+        "id": pa.array(["a"] * n * per), "chunk": pa.array([i // per for i in range(n * per)], pa.int64()),
+        "entered": pa.array([i >= per for i in range(n * per)]),
+        "ets": pa.array([None if i < per else 60 * (i // per * per) - 60 for i in range(n * per)], pa.int64()),
+        "elat": pa.array([None if i < per else 1.0 for i in range(n * per)], pa.float64()),
+        "elon": pa.array([None if i < per else float("nan") if i < 2 * per else 0.001 * (i // per * per) for i in range(n * per)], pa.float64()),
+        "ts": pa.array([60 * i for i in range(n * per)], pa.int64()),
+        "lat": pa.array([1.0] * n * per), "lon": pa.array([0.001 * (i + 1) for i in range(n * per)])})
+    out = list(chunk_scanner(86400.0, 300.0, True, first=True)(rows.to_batches(max_chunksize=600)))
+    assert len(out) <= 3
+    got = pa.Table.from_batches(out).to_pylist()
+    assert sorted(r["chunk"] for r in got if r["kind"] == 1) == list(range(n))
+    assert all(r["bts"] is None and r["blat"] is None for r in got if r["kind"] in (1, 2))
+    steps = [r for r in got if r["kind"] == 0]
+    assert all(r["bts"] == r["ats"] + 60 and r["chunk"] == r["bts"] // 60 // per for r in steps)
+    assert sum(r["chunk"] == 0 for r in steps) == per - 1 and sum(r["chunk"] == 5 for r in steps) == per
